@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bikeflow.functions.clock import span
-from bikeflow.functions.geo import area_km2
+from bikeflow.functions.clock import local_to_utc, span
+from bikeflow.functions.geo import area_km2, distance_m, point_wkt, snap, web_mercator
+from bikeflow.functions.numbers import half_up, unit_draw
 from bikeflow.operators import aggregates as agg
+from bikeflow.operators import allocation as alloc
+from bikeflow.operators import clusters as clus
 from bikeflow.operators import dimension as dimn
 from bikeflow.operators import events as ev
 from bikeflow.operators import latest as lat
+from bikeflow.operators import proximity as prox
 from bikeflow.operators import quality as qual
+from bikeflow.operators import regions as reg
 from bikeflow.plans.runtime import scratch
 from bikeflow.sources import archive, feeds, geojson, views
 
@@ -474,3 +479,231 @@ def check_report(spark, d):
 @query
 def poll_gaps(spark, d):
     return qual.poll_gaps(views.status(spark, d), limit_s=1800)
+
+
+# ---- spatial ----------------------------------------------------------------------
+
+PLACE = (-74.0, 40.65)
+WIDTH = 0.004
+
+
+def _diamonds(spark, d):
+    """A diamond of half-width ``WIDTH`` degrees around every station."""
+    corners = [(WIDTH, 0.0), (0.0, WIDTH), (-WIDTH, 0.0), (0.0, -WIDTH)]
+    ring = F.array(
+        *[F.struct((F.col("lon") + a).alias("lon"), (F.col("lat") + b).alias("lat")) for a, b in corners]
+    )
+    return views.stations(spark, d).select(F.col("station_key").alias("polygon_id"), ring.alias("ring"))
+
+
+@query
+def point_columns(spark, d):
+    rows = dimn.with_point(views.incoming_stations(spark, d))
+    lon, lat_ = F.col("geom.lon"), F.col("geom.lat")
+    x, y = web_mercator(lon, lat_)
+    return rows.select(
+        "station_id",
+        point_wkt(snap(lon, 0.0001), snap(lat_, 0.0001)).alias("wkt"),
+        F.round(x, 3).alias("x"),
+        F.round(y, 3).alias("y"),
+    )
+
+
+@query
+def trip_distances(spark, d):
+    """Great-circle length of every pair of stations that trips connect."""
+    pairs = views.trips(spark, d).groupBy("start_station_key", "end_station_key").agg(
+        F.count(F.lit(1)).alias("trips")
+    )
+    st = views.stations(spark, d)
+    a = st.select(F.col("station_key").alias("start_station_key"), F.col("lon").alias("x1"), F.col("lat").alias("y1"))
+    b = st.select(F.col("station_key").alias("end_station_key"), F.col("lon").alias("x2"), F.col("lat").alias("y2"))
+    metres = distance_m(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    return pairs.join(a, "start_station_key").join(b, "end_station_key").select(
+        "start_station_key", "end_station_key", "trips", half_up(metres, 3).alias("metres")
+    )
+
+
+@query
+def nearest_to_largest(spark, d):
+    return prox.nearest_to(views.stations(spark, d))
+
+
+@query
+def knn_join(spark, d):
+    return prox.knn_join(views.stations(spark, d)).withColumn("meters", half_up(F.col("meters"), 3))
+
+
+@query
+def knn_join_metres(spark, d):
+    near = prox.knn_join(views.stations(spark, d), k=10, order_by="metres")
+    return near.withColumn("meters", half_up(F.col("meters"), 3))
+
+
+@query
+def within_radius(spark, d):
+    return prox.within_radius(views.stations(spark, d), *PLACE, 2000).select("station_key", "name")
+
+
+@query
+def radius_agg(spark, d):
+    return prox.radius_agg(views.status(spark, d), views.stations(spark, d), *PLACE, 5000)
+
+
+@query
+def agg_by_keys(spark, d):
+    keys = views.stations(spark, d).filter(F.col("capacity") >= 40)
+    return prox.agg_by_keys(views.status(spark, d), keys)
+
+
+@query
+def convex_hull(spark, d):
+    return reg.convex_hull(views.stations(spark, d)).select(F.inline("ring"))
+
+
+@query
+def polygon_areas(spark, d):
+    return _diamonds(spark, d).select("polygon_id", half_up(area_km2(F.col("ring")), 6).alias("km2"))
+
+
+@query
+def network_density(spark, d):
+    return reg.network_density(views.stations(spark, d))
+
+
+@query
+def density_clusters(spark, d):
+    return clus.dbscan(views.stations(spark, d))
+
+
+@query
+def cluster_sizes(spark, d):
+    return clus.cluster_sizes(clus.dbscan(views.stations(spark, d)))
+
+
+@query
+def service_areas(spark, d):
+    return reg.service_areas(views.stations(spark, d))
+
+
+@query
+def service_area_features(spark, d):
+    areas = reg.service_areas(views.stations(spark, d), n=None, drop_empty=True)
+    return geojson.to_feature_collection(
+        areas, geojson.polygon_geometry(F.col("ring")), ["name", "capacity", "service_km2"], ["station_key"]
+    )
+
+
+@query
+def service_grid(spark, d):
+    return prox.service_grid(views.stations(spark, d)).withColumn("km2", half_up(F.col("km2"), 6))
+
+
+@query
+def points_in_polygons(spark, d):
+    return prox.points_in_polygons(views.stations(spark, d), _diamonds(spark, d))
+
+
+def _flows(spark, d):
+    trips = views.trips(spark, d)
+    od = agg.od_pairs(trips, _as_of(trips, "started_at"), hours=OD_HOURS)
+    return prox.flow_lines(od, views.stations(spark, d))
+
+
+@query
+def flow_lines(spark, d):
+    line = F.col("line")
+    return _flows(spark, d).select(
+        "start_station_key", "end_station_key", "from_name", "to_name", "trips", "km",
+        line[0]["lon"].alias("from_lon"), line[0]["lat"].alias("from_lat"),
+        line[1]["lon"].alias("to_lon"), line[1]["lat"].alias("to_lat"),
+    )
+
+
+@query
+def flow_features(spark, d):
+    ends = [(F.col("line")[i]["lon"], F.col("line")[i]["lat"]) for i in (0, 1)]
+    return geojson.to_feature_collection(
+        _flows(spark, d).withColumnsRenamed({"from_name": "from", "to_name": "to"}),
+        geojson.line_geometry(*ends), ["from", "to", "trips", "km"],
+        ["start_station_key", "end_station_key"],
+    )
+
+
+# ---- weighted choice and profiles ---------------------------------------------------
+
+
+def _rounded_pool(pool: DataFrame) -> DataFrame:
+    return pool.select(
+        "start_station_key", "end_station_key",
+        *[half_up(F.col(c), p).alias(c) for c, p in (("meters", 3), ("w_lo", 9), ("w_hi", 9))],
+    )
+
+
+@query
+def decay_pool(spark, d):
+    return _rounded_pool(alloc.decay_pool(views.stations(spark, d)))
+
+
+@query
+def capacity_cdf(spark, d):
+    return alloc.capacity_cdf(views.stations(spark, d))
+
+
+@query
+def origin_draws(spark, d):
+    """Every status row draws a station by capacity: the keyless bucket lookup."""
+    rows = views.status(spark, d).select("status_id").withColumn("u", unit_draw(F.lit("origin"), "status_id"))
+    return alloc.bucket_join(rows, "u", alloc.capacity_cdf(views.stations(spark, d))).select(
+        "status_id", "station_key"
+    )
+
+
+@query
+def expected_od(spark, d):
+    pool = alloc.decay_pool(views.stations(spark, d))
+    flows = alloc.expected_od(ev.departures(views.status(spark, d)), pool)
+    return flows.withColumn("expected", half_up(F.col("expected"), 6))
+
+
+@query
+def trip_attributes(spark, d):
+    """Attributes for every trip row, drawn by its stations and start."""
+    trips = views.trips(spark, d).select("started_at", "start_station_key", "end_station_key", "meters").distinct()
+    key = ["start_station_key", "end_station_key", "second", "meters"]
+    keyed = trips.withColumn("second", F.unix_seconds("started_at")).withColumn(
+        "meters", F.col("meters").cast("bigint")
+    )
+    return alloc.trip_attributes(keyed, key).groupBy("rideable_type", "member_casual").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("duration_s").alias("seconds")
+    )
+
+
+@query
+def observed_trips(spark, d):
+    pool = alloc.decay_pool(views.stations(spark, d))
+    trips = alloc.observed_trips(views.status(spark, d), pool, since=SINCE, lookback_s=LOOKBACK_S)
+    return trips.withColumn("meters", half_up(F.col("meters"), 3))
+
+
+def _days(spark, d):
+    return views.trips(spark, d).select(F.to_date("started_at").alias("day")).distinct()
+
+
+@query
+def hour_profile(spark, d):
+    return alloc.hour_profile(_days(spark, d)).withColumn("share", half_up(F.col("share"), 9))
+
+
+@query
+def apportion(spark, d):
+    return alloc.apportion(_days(spark, d))
+
+
+@query
+def local_instants(spark, d):
+    """Trip starts read as New York wall-clock time, per UTC hour."""
+    instants = local_to_utc(F.col("started_at"), "America/New_York")
+    return views.trips(spark, d).groupBy(F.date_trunc("hour", instants).alias("hour")).agg(
+        F.count(F.lit(1)).alias("trips")
+    )

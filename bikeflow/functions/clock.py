@@ -36,8 +36,14 @@ def utc_to_local(ts: Column, zone: str) -> Column:
 
 
 def local_to_utc(ts: Column, zone: str) -> Column:
-    """UTC instant of a wall-clock time in ``zone``; the zone decides about DST."""
-    return F.to_utc_timestamp(ts, zone)
+    """UTC instant of a wall-clock time in ``zone``; the zone decides about DST.
+
+    A time that occurs twice when clocks go back an hour means the later one
+    (standard time); a time skipped in spring moves on by the gap.
+    """
+    first = F.to_utc_timestamp(ts, zone)
+    second = first + span(3600)
+    return F.when(F.from_utc_timestamp(second, zone) == ts, second).otherwise(first)
 
 
 def time_bucket(ts: Column, minutes: int) -> Column:

@@ -28,15 +28,14 @@ def distance_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column
     return F.lit(2.0 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
 
 
-def degree_box(lat: Column, metres: float) -> tuple[Column, Column]:
+def degree_box(lat: Column, metres: Column) -> tuple[Column, Column]:
     """Half-widths (lon, lat) in degrees of a box that surely holds ``metres``."""
-    half_lat = F.degrees(F.lit(metres / EARTH_RADIUS_M)) * F.lit(1.0 + 1e-9)
+    half_lat = F.degrees(metres / F.lit(EARTH_RADIUS_M)) * F.lit(1.0 + 1e-9)
     cosine = F.cos(F.radians(F.least(F.abs(lat) + half_lat, F.lit(90.0))))
-    sine = F.sin(F.lit(min(metres / (2.0 * EARTH_RADIUS_M), 1.5707963)))
-    reach = F.when(
-        cosine > sine, F.degrees(F.lit(2.0) * F.asin(F.least(sine / cosine, F.lit(1.0))))
-    ).otherwise(F.lit(360.0))
-    return reach * F.lit(1.0 + 1e-9), half_lat
+    sine = F.sin(F.least(metres / F.lit(2.0 * EARTH_RADIUS_M), F.lit(1.5707963)))
+    narrow = F.degrees(F.lit(2.0) * F.asin(F.least(sine / cosine, F.lit(1.0))))
+    half_lon = F.when(cosine > sine, narrow).otherwise(F.lit(360.0))
+    return half_lon * F.lit(1.0 + 1e-9), half_lat
 
 
 def snap(value: Column, step: float) -> Column:
@@ -56,6 +55,16 @@ def point_wkt(lon: Column, lat: Column, digits: int = 4) -> Column:
     )
 
 
+def local_metres(lat0: float):
+    """Projector to metres around the parallel ``lat0``, for use in place of ``web_mercator``."""
+
+    def project(lon: Column, lat: Column) -> tuple[Column, Column]:
+        scale = F.cos(F.radians(F.lit(lat0))) * F.lit(EARTH_RADIUS_M)
+        return F.radians(lon) * scale, F.radians(lat) * F.lit(EARTH_RADIUS_M)
+
+    return project
+
+
 def web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
     """Lon/lat degrees to spherical web-mercator units."""
     x = F.lit(MERCATOR_RADIUS_M) * F.radians(lon)

@@ -524,3 +524,254 @@ ORACLES["poll_gaps"] = with_views(
   FROM (SELECT DISTINCT polled_at FROM status) WINDOW w AS (ORDER BY polled_at))
 WHERE gap_seconds > 1800""",
 )
+
+# ---- spatial ---------------------------------------------------------------------
+
+RADIUS_M = "CAST(6371008.8 AS DOUBLE)"
+
+
+def metres(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    dlat, dlon = f"(radians({lat2} - {lat1}) / 2)", f"(radians({lon2} - {lon1}) / 2)"
+    return (
+        f"(2 * {RADIUS_M} * asin(sqrt(least(sin({dlat}) * sin({dlat}) + cos(radians({lat1})) * "
+        f"cos(radians({lat2})) * sin({dlon}) * sin({dlon}), 1))))"
+    )
+
+
+def degrees(a: str, b: str) -> str:
+    dx, dy = f"({a}.lon - {b}.lon)", f"({a}.lat - {b}.lat)"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
+MERCATOR_X = "(CAST(6378137 AS DOUBLE) * radians(lon))"
+MERCATOR_Y = "(CAST(6378137 AS DOUBLE) * ln(tan(CAST(0.7853981633974483 AS DOUBLE) + radians(lat) / 2)))"
+
+
+def knn(k: int, order: str) -> str:
+    return f"""near AS (
+  SELECT * FROM (
+    SELECT a.station_key, b.station_key AS neighbour_key,
+           CAST(row_number() OVER (PARTITION BY a.station_key ORDER BY {order}, b.station_key) AS INTEGER) AS rank,
+           {metres("a.lon", "a.lat", "b.lon", "b.lat")} AS meters
+    FROM stations a JOIN stations b ON a.station_key <> b.station_key) WHERE rank <= {k})"""
+
+
+ORACLES["point_columns"] = with_views(
+    "incoming",
+    f"""SELECT station_id, 'POINT(' || {_wkt("lon")} || ' ' || {_wkt("lat")} || ')' AS wkt,
+  round({MERCATOR_X}, 3) AS x, round({MERCATOR_Y}, 3) AS y FROM incoming WHERE lat <> 0 AND lon <> 0""",
+)
+ORACLES["trip_distances"] = with_views(
+    "trips stations",
+    f"""SELECT start_station_key, end_station_key, trips,
+  {half_up(metres("a.lon", "a.lat", "b.lon", "b.lat"), 3)} AS metres
+FROM (SELECT start_station_key, end_station_key, count(*) AS trips FROM trips GROUP BY 1, 2)
+JOIN stations a ON a.station_key = start_station_key JOIN stations b ON b.station_key = end_station_key""",
+)
+ORACLES["nearest_to_largest"] = with_views(
+    "stations",
+    f""", anchor AS (SELECT * FROM stations ORDER BY capacity DESC NULLS LAST, station_key LIMIT 1)
+SELECT a.name AS busiest_station, s.name AS alternative,
+  {half_up(metres("a.lon", "a.lat", "s.lon", "s.lat"))} AS metres
+FROM anchor a JOIN stations s ON s.lon <> a.lon OR s.lat <> a.lat
+ORDER BY {degrees("a", "s")}, s.station_key LIMIT 5""",
+)
+ORACLES["knn_join"] = with_views(
+    "stations",
+    f", {knn(60, degrees('a', 'b'))} SELECT station_key, neighbour_key, rank, {half_up('meters', 3)} AS meters FROM near",
+)
+ORACLES["knn_join_metres"] = with_views(
+    "stations",
+    f""", {knn(10, metres("a.lon", "a.lat", "b.lon", "b.lat"))}
+SELECT station_key, neighbour_key, rank, {half_up("meters", 3)} AS meters FROM near""",
+)
+_PLACE = metres("CAST(-74.0 AS DOUBLE)", "CAST(40.65 AS DOUBLE)", "lon", "lat")
+ORACLES["within_radius"] = with_views(
+    "stations", f"SELECT station_key, name FROM stations WHERE {_PLACE} <= 2000"
+)
+ORACLES["radius_agg"] = with_views(
+    "status stations",
+    f"""SELECT count(*) AS observations, {mean("bikes", 1)} AS avg_bikes
+FROM status JOIN stations USING (station_key) WHERE {_PLACE} <= 5000""",
+)
+ORACLES["agg_by_keys"] = with_views(
+    "status stations",
+    f"""SELECT count(*) AS observations, {mean("bikes", 1)} AS avg_bikes
+FROM status JOIN stations USING (station_key) WHERE capacity >= 40""",
+)
+
+# Gift wrapping: from the westernmost station, always the next one by turning angle.
+HULL = """pts AS (SELECT DISTINCT lon, lat FROM stations),
+wrap(i, lon, lat, heading) AS (
+  SELECT * FROM (SELECT 0, lon, lat, -pi() / 2 FROM pts ORDER BY lon, lat LIMIT 1)
+  UNION ALL
+  SELECT i + 1, nxt.lon, nxt.lat, nxt.heading FROM (
+    SELECT w.i, min({'turn': fmod(atan2(p.lat - w.lat, p.lon - w.lon) - w.heading + 4 * pi(), 2 * pi()),
+                     'far': -((p.lon - w.lon) * (p.lon - w.lon) + (p.lat - w.lat) * (p.lat - w.lat)),
+                     'lon': p.lon, 'lat': p.lat, 'heading': atan2(p.lat - w.lat, p.lon - w.lon)}) AS nxt
+    FROM wrap w JOIN pts p ON p.lon <> w.lon OR p.lat <> w.lat GROUP BY w.i)
+  WHERE (nxt.lon, nxt.lat) NOT IN (SELECT (lon, lat) FROM pts ORDER BY lon, lat LIMIT 1)),
+hull AS (SELECT i, lon, lat FROM wrap),
+loop AS (SELECT lon, lat, coalesce(lead(lon) OVER (ORDER BY i), first(lon) OVER (ORDER BY i)) AS lon2,
+                coalesce(lead(lat) OVER (ORDER BY i), first(lat) OVER (ORDER BY i)) AS lat2 FROM hull)"""
+_SPHERE_TERM = "radians(lon2 - lon) * (2 + sin(radians(lat)) + sin(radians(lat2)))"
+_SPHERE_AREA = f"(abs(sum({_SPHERE_TERM})) * ({RADIUS_M} * {RADIUS_M} / 2 / 1e6))"
+ORACLES["convex_hull"] = with_views("stations", f", {HULL} SELECT lon, lat FROM hull", recursive=True)
+ORACLES["network_density"] = with_views(
+    "stations",
+    f""", {HULL}, area AS (SELECT {_SPHERE_AREA} AS km2 FROM loop), n AS (SELECT count(*) AS stations FROM stations)
+SELECT {half_up("km2", 2)} AS network_km2, stations, {half_up("stations / km2", 2)} AS stations_per_km2
+FROM area, n""",
+    recursive=True,
+)
+_W = "CAST(0.004 AS DOUBLE)"
+ORACLES["polygon_areas"] = with_views(
+    "stations",
+    f""", edges AS (
+  SELECT station_key, lon + a AS lon, lat + b AS lat, lon + a2 AS lon2, lat + b2 AS lat2
+  FROM stations, (VALUES ({_W}, 0, 0, {_W}), (0, {_W}, -{_W}, 0), (-{_W}, 0, 0, -{_W}), (0, -{_W}, {_W}, 0)) c(a, b, a2, b2))
+SELECT station_key AS polygon_id, {half_up(_SPHERE_AREA, 6)} AS km2 FROM edges GROUP BY station_key""",
+)
+DBSCAN = f"""xy AS (SELECT station_key, {MERCATOR_X} AS x, {MERCATOR_Y} AS y FROM stations),
+nb AS (SELECT a.station_key AS a, b.station_key AS b FROM xy a JOIN xy b
+       ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 400),
+core AS (SELECT a AS c FROM nb GROUP BY a HAVING count(*) >= 5),
+links AS (SELECT a, b FROM nb WHERE a IN (FROM core) AND b IN (FROM core)),
+reach(c, r) AS (SELECT c, c FROM core UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.r),
+label AS (SELECT c, min(r) AS label FROM reach GROUP BY c),
+clustered AS (
+  SELECT s.station_key, coalesce(any_value(own.label), min(l.label)) AS cluster
+  FROM stations s LEFT JOIN label own ON own.c = s.station_key
+  LEFT JOIN nb ON nb.a = s.station_key LEFT JOIN label l ON l.c = nb.b GROUP BY s.station_key)"""
+ORACLES["density_clusters"] = with_views("stations", f", {DBSCAN} SELECT * FROM clustered", recursive=True)
+ORACLES["cluster_sizes"] = with_views(
+    "stations",
+    f""", {DBSCAN}, sizes AS (SELECT cluster, count(*) AS stations FROM clustered GROUP BY 1
+  ORDER BY stations DESC, cluster NULLS LAST LIMIT 10)
+SELECT coalesce(CAST(cluster AS VARCHAR), 'unclustered') AS cluster, stations FROM sizes""",
+    recursive=True,
+)
+_STEP = "CAST(0.005 AS DOUBLE)"
+ORACLES["service_grid"] = with_views(
+    "stations",
+    f""", edge AS (SELECT min(lon) AS lon0, max(lon) AS lon1, min(lat) AS lat0, max(lat) AS lat1 FROM stations),
+cells AS (
+  SELECT i, j, lon0 + (i + CAST(0.5 AS DOUBLE)) * {_STEP} AS lon, lat0 + (j + CAST(0.5 AS DOUBLE)) * {_STEP} AS lat
+  FROM edge, range(CAST(greatest(ceil((lon1 - lon0) / {_STEP}), 1) AS BIGINT)) a(i),
+       range(CAST(greatest(ceil((lat1 - lat0) / {_STEP}), 1) AS BIGINT)) b(j)),
+owner AS (SELECT i, j, c.lat, min({{'d': {degrees("c", "s")}, 'k': s.station_key}}).k AS station_key
+          FROM cells c, stations s GROUP BY i, j, c.lat)
+SELECT station_key, count(*) AS cells, {half_up(f"sum((sin(radians(lat + {_STEP} / 2)) - sin(radians(lat - {_STEP} / 2))) * radians({_STEP}) * ({RADIUS_M} * {RADIUS_M} / 1e6))", 6)} AS km2
+FROM owner GROUP BY station_key""",
+)
+ORACLES["points_in_polygons"] = with_views(
+    "stations",
+    f"""SELECT p.station_key AS polygon_id, s.station_key FROM stations p JOIN stations s
+  ON abs(s.lon - p.lon) + abs(s.lat - p.lat) < {_W}""",
+)
+ORACLES["flow_lines"] = with_views(
+    "trips stations",
+    f""", {_OD} SELECT start_station_key, end_station_key, a.name AS from_name, b.name AS to_name, trips,
+  {half_up(metres("a.lon", "a.lat", "b.lon", "b.lat") + " / 1000", 2)} AS km,
+  a.lon AS from_lon, a.lat AS from_lat, b.lon AS to_lon, b.lat AS to_lat
+FROM od JOIN stations a ON a.station_key = start_station_key JOIN stations b ON b.station_key = end_station_key""",
+)
+
+# ---- weighted choice and profiles --------------------------------------------------
+
+POOL = f"""{knn(60, degrees("a", "b"))},
+cum AS (
+  SELECT station_key AS s, neighbour_key AS e, meters,
+         sum(exp(-meters / 1500)) OVER (PARTITION BY station_key ORDER BY neighbour_key ROWS UNBOUNDED PRECEDING) AS run,
+         sum(exp(-meters / 1500)) OVER (PARTITION BY station_key) AS tot,
+         lead(neighbour_key) OVER (PARTITION BY station_key ORDER BY neighbour_key) AS nxt FROM near),
+pool AS (
+  SELECT s AS start_station_key, e AS end_station_key, meters,
+         coalesce(lag(run / tot) OVER (PARTITION BY s ORDER BY e), 0) AS w_lo,
+         CASE WHEN nxt IS NULL THEN 1 ELSE run / tot END AS w_hi FROM cum)"""
+ORACLES["decay_pool"] = with_views(
+    "stations",
+    f""", {POOL} SELECT start_station_key, end_station_key, {half_up("meters", 3)} AS meters,
+  {half_up("w_lo", 9)} AS w_lo, {half_up("w_hi", 9)} AS w_hi FROM pool""",
+)
+CDF = """cdf AS (
+  SELECT station_key, CAST(run - cap AS DOUBLE) / CAST(tot AS DOUBLE) AS w_lo, CAST(run AS DOUBLE) / CAST(tot AS DOUBLE) AS w_hi FROM (
+    SELECT station_key, coalesce(capacity, 1) AS cap,
+           sum(coalesce(capacity, 1)) OVER (ORDER BY station_key ROWS UNBOUNDED PRECEDING) AS run,
+           sum(coalesce(capacity, 1)) OVER () AS tot FROM stations))"""
+ORACLES["capacity_cdf"] = with_views("stations", f", {CDF} SELECT * FROM cdf")
+ORACLES["origin_draws"] = with_views(
+    "status stations",
+    f""", {CDF} SELECT status_id, cdf.station_key
+FROM (SELECT status_id, {draw("'origin'", "status_id")} AS u FROM status) JOIN cdf ON u >= w_lo AND u < w_hi""",
+)
+ORACLES["expected_od"] = with_views(
+    "deltas stations",
+    f""", {POOL}, gone AS (
+  SELECT station_key AS start_station_key, {big("sum(least(-delta, 8))")} AS n FROM deltas WHERE delta < 0 GROUP BY 1)
+SELECT start_station_key, end_station_key, n, {half_up("n * (w_hi - w_lo)", 6)} AS expected
+FROM pool JOIN gone USING (start_station_key)""",
+)
+
+
+def attributes(*key: str) -> str:
+    kind, pace, member = (draw(f"'{salt}'", *key) for salt in ("type", "speed", "member"))
+    electric = f"{kind} < CAST(0.55 AS DOUBLE)"
+    speed = f"(CASE WHEN {electric} THEN CAST(4.6 AS DOUBLE) ELSE CAST(3.2 AS DOUBLE) END)"
+    noise = f"(CAST(0.7 AS DOUBLE) + CAST(0.6 AS DOUBLE) * {pace})"
+    return f"""CASE WHEN {electric} THEN 'electric_bike' ELSE 'classic_bike' END AS rideable_type,
+  CASE WHEN {member} < CAST(0.78 AS DOUBLE) THEN 'member' ELSE 'casual' END AS member_casual,
+  CAST(greatest(60, round_even(90 + meters / ({speed} * {noise}), 0)) AS INTEGER) AS duration_s"""
+
+
+ORACLES["trip_attributes"] = with_views(
+    "trips",
+    f"""SELECT rideable_type, member_casual, count(*) AS trips, {big("sum(duration_s)")} AS seconds FROM (
+  SELECT {attributes("start_station_key", "end_station_key", "second", "CAST(meters AS BIGINT)")} FROM (
+    SELECT DISTINCT start_station_key, end_station_key, epoch_us(started_at) // 1000000 AS second, meters FROM trips))
+GROUP BY 1, 2""",
+)
+ORACLES["observed_trips"] = with_views(
+    "status stations",
+    f""", {_LEFT}, {POOL}, bikes AS (
+  SELECT station_key, polled_at, status_id, CAST(unnest(range(1, n + 1)) AS INTEGER) AS unit FROM left_dock),
+trip AS (
+  SELECT b.*, end_station_key, meters, {attributes("status_id", "unit")},
+         epoch_us(polled_at) - CAST(floor({draw("'start'", "status_id", "unit")} * 60000000) AS BIGINT) AS started
+  FROM bikes b JOIN pool ON start_station_key = station_key
+    AND {draw("'dest'", "status_id", "unit")} >= w_lo AND {draw("'dest'", "status_id", "unit")} < w_hi
+  WHERE {draw("'keep'", "status_id", "unit")} < CAST(0.55 AS DOUBLE))
+SELECT status_id, unit, make_timestamp(started) AS started_at,
+  make_timestamp(started + CAST(duration_s AS BIGINT) * 1000000) AS ended_at, station_key AS start_station_key, end_station_key,
+  duration_s, {half_up("meters", 3)} AS meters, rideable_type, member_casual, 'observed' AS source
+FROM trip""",
+)
+
+
+def _hump(height: float, centre: float, width: float) -> str:
+    return f"CAST({height} AS DOUBLE) * exp(-pow(h - CAST({centre} AS DOUBLE), 2) / CAST({width} AS DOUBLE))"
+
+
+PROFILE = f"""days AS (SELECT DISTINCT CAST(started_at AS DATE) AS day FROM trips),
+weighted AS (
+  SELECT day, CAST(h AS INTEGER) AS h, CASE WHEN isodow(day) < 6
+    THEN CAST(0.2 AS DOUBLE) + {_hump(2.4, 8.3, 4)} + {_hump(3, 17.8, 5)} + {_hump(0.5, 12.5, 8)}
+    ELSE CAST(0.2 AS DOUBLE) + {_hump(2.2, 14.5, 22)} END AS w
+  FROM days, range(24) t(h)),
+profile AS (SELECT day, h, w / sum(w) OVER (PARTITION BY day) AS share FROM weighted)"""
+ORACLES["hour_profile"] = with_views(
+    "trips", f", {PROFILE} SELECT day, h, {half_up('share', 9)} AS share FROM profile"
+)
+ORACLES["apportion"] = with_views(
+    "trips",
+    f""", {PROFILE} SELECT day, h, CAST(round_even(share * 120000
+    * (CAST(0.55 AS DOUBLE) + CAST(0.45 AS DOUBLE) * sin((dayofyear(day) - 100) / CAST(365 AS DOUBLE) * (2 * pi())))
+    * (CASE WHEN isodow(day) < 6 THEN 1 ELSE CAST(0.82 AS DOUBLE) END), 0) AS INTEGER) AS n,
+  timezone('UTC', timezone('America/New_York', CAST(day AS TIMESTAMP) + to_hours(h))) AS starts_at
+FROM profile""",
+)
+ORACLES["local_instants"] = with_views(
+    "trips",
+    """SELECT date_trunc('hour', timezone('UTC', timezone('America/New_York', started_at))) AS hour, count(*) AS trips
+FROM trips GROUP BY 1""",
+)
