@@ -22,6 +22,9 @@ from bikeflow.operators import quality as qual
 from bikeflow.operators import regions as reg
 from bikeflow.plans.runtime import scratch
 from bikeflow.sources import archive, feeds, geojson, views
+from bikeflow.sources.schemas import EVENTS
+from bikeflow.streaming import departures as sdep
+from bikeflow.streaming import landing as sland
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -707,3 +710,54 @@ def local_instants(spark, d):
     return views.trips(spark, d).groupBy(F.date_trunc("hour", instants).alias("hour")).agg(
         F.count(F.lit(1)).alias("trips")
     )
+
+
+# ---- streaming: each job runs once over the available files ---------------------------
+
+
+def _landed_documents(spark, d) -> DataFrame:
+    """The status documents as files, and a stream over them."""
+    path = scratch(spark, "documents")
+    views.status_docs(spark, d).write.text(path)
+    return sland.read_documents(spark, path, one_per_file=False)
+
+
+def _status_stream(spark, d) -> DataFrame:
+    # The glob makes the one table file a folder-like source.
+    events = spark.readStream.schema(EVENTS).parquet(f"{d}/events*.parquet")
+    return views.status_of(events)
+
+
+@query
+def stream_landing(spark, d):
+    sink = scratch(spark, "landing")
+    sland.stream_append_status(
+        _landed_documents(spark, d), sink, scratch(spark, "landing-state")
+    ).awaitTermination()
+    return sland.read_landing(spark, sink)
+
+
+@query
+def stream_sync(spark, d):
+    target = sland.SyncTarget(spark, scratch(spark, "sync"))
+    sland.stream_sync(
+        _landed_documents(spark, d), lambda: views.stations(spark, d).drop("station_key"),
+        target, scratch(spark, "sync-state"), sland.ONCE,
+    ).awaitTermination()
+    return target.facts().join(target.stations().select("station_key", "station_id"), "station_key").select(
+        "station_id", "polled_at", "last_reported", "num_bikes_available", "is_renting", "is_returning"
+    )
+
+
+@query
+def stream_poll_totals(spark, d):
+    sink = scratch(spark, "poll-totals")
+    sland.stream_poll_totals(_status_stream(spark, d), sink, scratch(spark, "poll-state")).awaitTermination()
+    return sland.read_poll_totals(spark, sink)
+
+
+@query
+def stream_departures(spark, d):
+    sink = scratch(spark, "departures")
+    sdep.stream_departures(_status_stream(spark, d), sink, scratch(spark, "departure-state")).awaitTermination()
+    return spark.read.parquet(sink)

@@ -145,14 +145,12 @@ JOIN (VALUES ('station_status', '/status'), ('station_information', '/stations')
 JOIN (VALUES ('en'), ('fr'), ('')) l(language) ON (page_id % 3 = 0) = (l.language = '')"""
 ORACLES["feed_catalog"] = _FEEDS
 ORACLES["feed_lookup"] = _FEEDS + " WHERE f.name = 'station_status' AND l.language <> 'fr'"
-ORACLES["landing_collapsed"] = with_views(
-    "landing",
-    """SELECT * EXCLUDE (rn) FROM (
+_COLLAPSED = """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY polled_at, station_id ORDER BY last_reported DESC,
     num_bikes_available DESC, num_ebikes_available DESC, num_docks_available DESC,
     num_bikes_disabled DESC, num_docks_disabled DESC, is_installed DESC, is_renting DESC, is_returning DESC) AS rn
-  FROM landing) WHERE rn = 1""",
-)
+  FROM landing) WHERE rn = 1"""
+ORACLES["landing_collapsed"] = with_views("landing", _COLLAPSED)
 ORACLES["assign_keys"] = with_views(
     "incoming",
     """SELECT station_id, station_key FROM stations
@@ -775,3 +773,21 @@ ORACLES["local_instants"] = with_views(
     """SELECT date_trunc('hour', timezone('UTC', timezone('America/New_York', started_at))) AS hour, count(*) AS trips
 FROM trips GROUP BY 1""",
 )
+
+# ---- streaming ------------------------------------------------------------------------
+
+ORACLES["stream_landing"] = ORACLES["landing_collapsed"]
+ORACLES["stream_sync"] = with_views(
+    "landing",
+    f"""SELECT station_id, polled_at, last_reported, num_bikes_available,
+  is_renting = 1 AS is_renting, is_returning = 1 AS is_returning FROM ({_COLLAPSED})""",
+)
+ORACLES["stream_poll_totals"] = with_views(
+    "status",
+    f"""SELECT polled_at, count(*) AS stations, {big("sum(bikes)")} AS bikes, {big("sum(ebikes)")} AS ebikes,
+  {big("sum(docks)")} AS docks FROM status GROUP BY polled_at""",
+)
+ORACLES["stream_departures"] = with_views(
+    "deltas",
+    "SELECT station_key, polled_at, status_id, least(-delta, 8) AS n FROM deltas WHERE delta < 0",
+)
