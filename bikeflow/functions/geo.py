@@ -94,17 +94,32 @@ def area_km2(ring: Column) -> Column:
     return F.when(F.size(ring) >= 3, area).otherwise(F.lit(0.0))
 
 
-def in_ring(lon: Column, lat: Column, ring: Column) -> Column:
-    """Ray-casting test of a point against a ring."""
+def ring_edges(ring: Column) -> Column:
+    """Edges of a ring that can cross a parallel: one struct per edge, ready for ``inside_edges``."""
     loop = _closed(ring)
-    edges = F.arrays_zip(
-        F.slice(loop, 1, F.size(ring)).alias("a"), F.slice(loop, 2, F.size(ring)).alias("b")
+    edges = F.zip_with(
+        F.slice(loop, 1, F.size(ring)),
+        F.slice(loop, 2, F.size(ring)),
+        lambda a, b: F.struct(
+            a["lon"].alias("x"),
+            a["lat"].alias("y"),
+            b["lat"].alias("to"),
+            F.try_divide(b["lon"] - a["lon"], b["lat"] - a["lat"]).alias("slope"),
+        ),
     )
+    return F.filter(edges, lambda e: e["y"] != e["to"])
+
+
+def inside_edges(lon: Column, lat: Column, edges: Column) -> Column:
+    """Ray-casting test: an odd number of edges lies east of the point."""
 
-    def crosses(edge: Column) -> Column:
-        a, b = edge["a"], edge["b"]
-        straddles = (a["lat"] > lat) != (b["lat"] > lat)
-        at = (b["lon"] - a["lon"]) * (lat - a["lat"]) / (b["lat"] - a["lat"]) + a["lon"]
-        return F.when(straddles, lon < at).otherwise(F.lit(False))
+    def crosses(e: Column) -> Column:
+        straddles = (e["y"] > lat) != (e["to"] > lat)
+        return straddles & (lon < e["slope"] * (lat - e["y"]) + e["x"])
 
     return F.size(F.filter(edges, crosses)) % F.lit(2) == 1
+
+
+def in_ring(lon: Column, lat: Column, ring: Column) -> Column:
+    """Whether a point lies inside a ring."""
+    return inside_edges(lon, lat, ring_edges(ring))

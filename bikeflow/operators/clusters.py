@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from bikeflow.functions.geo import web_mercator
 from bikeflow.functions.metrics import Box, Planar
 from bikeflow.plans.components import components
-from bikeflow.plans.runtime import cut
+from bikeflow.plans.runtime import cut, spread
 
 PAIR_LIMIT = 4096      # box pairs with at most this many point pairs are compared directly
 BAND = 1 << 31
@@ -156,7 +156,7 @@ def dbscan(
         .withColumn("cx", F.floor("tx")).withColumn("cy", F.floor("ty"))
         .withColumn("gid", _cell_id(F.col("cx"), F.col("cy")))
     )
-    spots = cut(spots)
+    spots = cut(spread(spots, "loc"))
     cells = spots.groupBy("gid").agg(F.sum("w").alias("cell_w"), F.count(F.lit(1)).alias("cell_m"))
     biggest = cells.agg(F.max("cell_m")).first()[0] or 0
     large = biggest * biggest > PAIR_LIMIT

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bikeflow.functions.geo import EARTH_RADIUS_M, degree_box, distance_m, in_ring
+from bikeflow.functions.geo import EARTH_RADIUS_M, degree_box, distance_m, inside_edges, ring_edges
 from bikeflow.functions.metrics import METRICS, Box, Planar
 from bikeflow.functions.numbers import half_up, ratio
+from bikeflow.plans.runtime import spread
 from bikeflow.plans.tiles import Tiling, boxes_to_tiles, candidates, strip_radius, tile_points
 
 POINT_TILE = 64
@@ -171,14 +172,14 @@ def points_in_polygons(
     points = _placed(stations).select("station_key", F.col("lon").alias("x"), F.col("lat").alias("y"))
     tiling = tile_points(points, "station_key", POINT_TILE, max_rows)
     lons, lats = F.transform("ring", lambda p: p["lon"]), F.transform("ring", lambda p: p["lat"])
-    boxes = polygons.select(
-        "polygon_id", "ring",
+    boxes = spread(polygons, "polygon_id").select(
+        "polygon_id", ring_edges(F.col("ring")).alias("edges"),
         F.array_min(lons).alias("bx0"), F.array_max(lons).alias("bx1"),
         F.array_min(lats).alias("by0"), F.array_max(lats).alias("by1"),
     )
     pairs = boxes_to_tiles(boxes, tiling).select(*boxes.columns, "tile").join(tiling.points, "tile")
     boxed = F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1"))
-    return pairs.filter(boxed & in_ring(F.col("x"), F.col("y"), F.col("ring"))).select(
+    return pairs.filter(boxed & inside_edges(F.col("x"), F.col("y"), F.col("edges"))).select(
         "polygon_id", "station_key"
     )
 

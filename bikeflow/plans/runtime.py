@@ -40,5 +40,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread a small frame over all tasks before an operator multiplies its rows.
+
+    A dimension fits in one file and so starts in one task; without this the join
+    that expands it would stay there.
+    """
+    return df.repartition(parallelism(df.sparkSession), *columns)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

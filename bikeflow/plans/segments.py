@@ -39,11 +39,11 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: s
 def add_segments(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None
 ) -> tuple[DataFrame, bool]:
-    """Add ``_seg`` (0 for keys that need no cut); the flag tells whether any key was cut."""
+    """Add ``_seg`` (null for keys that need no cut); the flag tells whether any key was cut."""
     spark = df.sparkSession
     total = df.count()
     limit = max_rows or max(SEGMENT_ROWS, total // parallelism(spark))
-    plain = df.withColumn(SEG, F.lit(0))
+    plain = df.withColumn(SEG, F.lit(None).cast("int"))
     if total <= limit:
         return plain, False
 
@@ -99,7 +99,8 @@ def add_segments(
     block = F.size(F.filter(F.col("_heads"), lambda h: h <= at))
     inside = F.size(F.filter(F.element_at("_blocks", F.greatest(block, F.lit(1))), lambda s: s <= at))
     seg = (
-        F.when(F.col("_heads").isNull() | (block == 0), F.lit(0))
+        F.when(F.col("_heads").isNull(), F.lit(None))
+        .when(block == 0, F.lit(0))
         .otherwise((block - 1) * F.lit(FANOUT) + inside)
     )
     joined = df.join(splits, _same_keys(df, splits, keys, "_s_"), "left")
@@ -120,14 +121,19 @@ def with_previous(
     spec = Window.partitionBy(*by_key).orderBy(*order)
     out = cut.withColumn("_prev", F.lag(payload).over(spec))
     if was_cut:
-        tails = cut.groupBy(*keys, SEG).agg(F.max_by(payload, _order_struct(order)).alias("_tail"))
+        tails = (
+            cut.filter(F.col(SEG).isNotNull())
+            .groupBy(*keys, SEG)
+            .agg(F.max_by(payload, _order_struct(order)).alias("_tail"))
+        )
         carry = tails.select(
             *[F.col(k).alias("_c_" + k) for k in keys],
             F.col(SEG).alias("_c_seg"),
             F.lag("_tail").over(Window.partitionBy(*keys).orderBy(SEG)).alias("_carry"),
         ).filter(F.col("_c_seg") > 0)
+        # One row per segment of a hot key, so at most about twice the shuffle partitions.
         out = out.join(
-            carry, _same_keys(out, carry, keys, "_c_") & (out[SEG] == carry["_c_seg"]), "left"
+            F.broadcast(carry), _same_keys(out, carry, keys, "_c_") & (out[SEG] == carry["_c_seg"]), "left"
         ).withColumn("_prev", F.coalesce("_prev", "_carry"))
     return out.select(*df.columns, *[F.col("_prev")[a].alias(a) for a in columns])
 
@@ -150,7 +156,7 @@ def running_sum(
     )
     out = cut.withColumn(alias, F.sum(value).over(spec))
     if was_cut:
-        totals = cut.groupBy(*keys, SEG).agg(F.sum(value).alias("_t"))
+        totals = cut.filter(F.col(SEG).isNotNull()).groupBy(*keys, SEG).agg(F.sum(value).alias("_t"))
         before = (
             Window.partitionBy(*keys)
             .orderBy(SEG)
@@ -161,8 +167,9 @@ def running_sum(
             F.col(SEG).alias("_c_seg"),
             F.sum("_t").over(before).alias("_carry"),
         ).filter(F.col("_c_seg") > 0)
+        # One row per segment of a hot key, so at most about twice the shuffle partitions.
         out = out.join(
-            carry, _same_keys(out, carry, keys, "_c_") & (out[SEG] == carry["_c_seg"]), "left"
+            F.broadcast(carry), _same_keys(out, carry, keys, "_c_") & (out[SEG] == carry["_c_seg"]), "left"
         ).withColumn(alias, F.col(alias) + F.coalesce("_carry", F.lit(0)))
     return out.select(*df.columns, alias)
 

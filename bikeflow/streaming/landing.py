@@ -35,9 +35,8 @@ def read_documents(
     A file holds one document, or one per line when ``one_per_file`` is false.
     """
     return (
-        spark.readStream.option("wholetext", one_per_file)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .text(path)
+        spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+        .text(path, wholetext=one_per_file)
         .select(F.col("value").alias("json"))
     )
 
