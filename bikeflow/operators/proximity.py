@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bikeflow.functions.geo import EARTH_RADIUS_M, degree_box, distance_m, inside_edges, ring_edges
-from bikeflow.functions.metrics import METRICS, Box, Planar
+from bikeflow.functions.metrics import METRICS, Planar
 from bikeflow.functions.numbers import half_up, ratio
 from bikeflow.plans.runtime import spread
-from bikeflow.plans.tiles import Tiling, boxes_to_tiles, candidates, strip_radius, tile_points
+from bikeflow.plans.tiles import Tiling, boxes_to_tiles, candidates, tile_points
 
 POINT_TILE = 64
+BLOCK = 8    # lattice cells per side that look for stations together
 
 
 def _placed(stations: DataFrame) -> DataFrame:
@@ -60,13 +61,8 @@ def nearest_spots(tiling: Tiling, k: int, metric=Planar) -> DataFrame:
     ``near`` is sorted by distance and key. The tiling holds ``locations`` with more
     than ``k`` positions per tile.
     """
-    own = tiling.points.join(tiling.tiles, "tile")
-    # The own tile holds k others unless there are too few points at all.
-    bound = F.when(F.col("n") > k, metric.upper(F.col("x"), F.col("y"), Box.of())).otherwise(
-        F.lit(float("inf"))
-    )
-    queries = own.select(
-        F.col("loc").alias("qid"), F.col("x").alias("qx"), F.col("y").alias("qy"), bound.alias("radius")
+    queries = tiling.points.select(
+        F.col("loc").alias("qid"), F.col("x").alias("qx"), F.col("y").alias("qy"), F.col("tile").alias("batch")
     )
     found = candidates(queries, tiling, k + 1, metric).select(
         "qid", "qx", "qy", "d", "x", "y", F.explode("keys").alias("key")
@@ -177,7 +173,9 @@ def points_in_polygons(
         F.array_min(lons).alias("bx0"), F.array_max(lons).alias("bx1"),
         F.array_min(lats).alias("by0"), F.array_max(lats).alias("by1"),
     )
-    pairs = boxes_to_tiles(boxes, tiling).select(*boxes.columns, "tile").join(tiling.points, "tile")
+    asked = boxes.select(F.col("polygon_id").alias("batch"), "bx0", "bx1", "by0", "by1", F.lit(0.0).alias("reach"))
+    hits = boxes_to_tiles(asked, tiling).select(F.col("batch").alias("polygon_id"), F.col("node").alias("tile"))
+    pairs = hits.join(boxes, "polygon_id").join(tiling.points, "tile")
     boxed = F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1"))
     return pairs.filter(boxed & inside_edges(F.col("x"), F.col("y"), F.col("edges"))).select(
         "polygon_id", "station_key"
@@ -199,11 +197,12 @@ def service_grid(stations: DataFrame, step: float = 0.005, max_rows: int | None
         .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), cells_y - 1)).alias("j"))
         .select(
             F.struct("i", "j").alias("qid"),
+            F.struct(F.floor(F.col("i") / BLOCK).alias("i"), F.floor(F.col("j") / BLOCK).alias("j")).alias("batch"),
             (F.col("lon0") + (F.col("i") + 0.5) * step).alias("qx"),
             (F.col("lat0") + (F.col("j") + 0.5) * step).alias("qy"),
         )
     )
-    near = candidates(strip_radius(lattice, tiling), tiling, 1)
+    near = candidates(lattice, tiling, 1)
     owner = near.groupBy("qid", "qy").agg(F.min_by("loc", F.struct("d", "loc")).alias("station_key"))
     return owner.groupBy("station_key").agg(
         F.count(F.lit(1)).alias("cells"), F.sum(cell_km2(F.col("qy"), step)).alias("km2")

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bikeflow.functions import geo, polygons
+from bikeflow.functions.metrics import METRICS
 from bikeflow.operators import allocation, clusters, proximity, regions
 from bikeflow.plans import components as comp
 from bikeflow.plans import tiles
@@ -78,19 +79,33 @@ def test_knn_metres_differs_from_degrees(points, stations):
 def test_every_tile_is_filled_evenly(stations):
     spots = proximity.locations(stations, 3)
     assert spots.select(F.max(F.size("keys"))).first()[0] == 3
-    made = tiles.tile_points(spots, "loc", 10)
+    made = tiles.tile_points(spots, "loc", 10, max_rows=30)
     sizes = [r["n"] for r in made.tiles.collect()]
     assert min(sizes) >= 10 and max(sizes) < 20 and sum(sizes) == spots.count()
 
 
-def test_within_lists_every_point_in_reach(points, stations, rows):
+@pytest.mark.parametrize("metric", ["degrees", "metres"])
+def test_candidates_hold_the_nearest_and_respect_the_radius(points, stations, metric):
+    distance = math.dist if metric == "degrees" else haversine
+    radius = 0.01 if metric == "degrees" else 1000.0
     distinct = {p: min(k for k, q in points.items() if q == p) for p in points.values()}
-    made = tiles.tile_points(proximity.locations(stations, 1), "loc", 8)
-    queries = made.points.select(
-        F.col("loc").alias("qid"), F.col("x").alias("qx"), F.col("y").alias("qy"), F.lit(0.02).alias("radius")
+    made = tiles.tile_points(proximity.locations(stations, 1), "loc", 2)
+    assert len(made.levels()) > 1
+    rng = random.Random(9)
+    asked = {i: (-74.1 + rng.random() * 0.3, 40.55 + rng.random() * 0.3) for i in range(60)}
+    queries = stations.sparkSession.createDataFrame(
+        [(i, x, y, i // 7) for i, (x, y) in asked.items()], "qid bigint, qx double, qy double, batch int"
     )
-    got = {(r["qid"], r["loc"]) for r in tiles.within(queries, made).collect()}
-    assert got == {(a, b) for p, a in distinct.items() for q, b in distinct.items() if math.dist(p, q) <= 0.02}
+    open_, limited = (
+        tiles.candidates(q, made, 2, METRICS[metric]).collect()
+        for q in (queries, queries.withColumn("radius", F.lit(radius)))
+    )
+    for i, q in asked.items():
+        order = sorted((distance(q, p), k) for p, k in distinct.items())
+        found = {r["loc"] for r in open_ if r["qid"] == i}
+        assert {k for _, k in order[:2]} <= found
+        near = {r["loc"] for r in limited if r["qid"] == i}
+        assert {k for d, k in order[:2] if d <= radius} <= near <= {k for d, k in order if d <= radius}
 
 
 def test_nearest_to_skips_co_located(station_rows):
