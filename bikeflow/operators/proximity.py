@@ -51,7 +51,7 @@ def locations(stations: DataFrame, keep: int) -> DataFrame:
         .withColumn("_i", F.row_number().over(spot))
         .filter(F.col("_i") <= keep)
         .groupBy("x", "y")
-        .agg(F.min("station_key").alias("loc"), F.array_sort(F.collect_list("station_key")).alias("keys"))
+        .agg(F.min("station_key").alias("loc"), F.sort_array(F.collect_list("station_key")).alias("keys"))
     )
 
 
@@ -75,7 +75,7 @@ def nearest_spots(tiling: Tiling, k: int, metric=Planar) -> DataFrame:
         .agg(
             F.first("qx").alias("qx"),
             F.first("qy").alias("qy"),
-            F.array_sort(F.collect_list(F.struct("d", "key", "x", "y"))).alias("near"),
+            F.sort_array(F.collect_list(F.struct("d", "key", "x", "y"))).alias("near"),
         )
     )
 

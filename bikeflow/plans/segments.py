@@ -37,11 +37,18 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: s
 
 
 def add_segments(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_rows: int | None = None,
+    total: int | None = None,
 ) -> tuple[DataFrame, bool]:
-    """Add ``_seg`` (null for keys that need no cut); the flag tells whether any key was cut."""
+    """Add ``_seg`` (null for keys that need no cut); the flag tells whether any key was cut.
+
+    Counts the rows first unless the caller knows their ``total``.
+    """
     spark = df.sparkSession
-    total = df.count()
+    total = df.count() if total is None else total
     limit = max_rows or max(SEGMENT_ROWS, total // parallelism(spark))
     plain = df.withColumn(SEG, F.lit(None).cast("int"))
     if total <= limit:
@@ -145,9 +152,10 @@ def running_sum(
     value: str,
     alias: str,
     max_rows: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Add the inclusive running sum of ``value`` in ``order`` within ``keys``."""
-    cut, was_cut = add_segments(df, keys, order, max_rows)
+    cut, was_cut = add_segments(df, keys, order, max_rows, total)
     by_key = [*keys, SEG] if was_cut else list(keys)
     spec = (
         Window.partitionBy(*by_key)
@@ -180,7 +188,8 @@ def row_numbers(
     alias: str,
     keys: Sequence[str] = (),
     max_rows: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Add dense 1-based numbers in ``order``, over the whole frame or within ``keys``."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_sum(ones, keys, order, "_one", alias, max_rows).drop("_one")
+    return running_sum(ones, keys, order, "_one", alias, max_rows, total).drop("_one")
