@@ -60,6 +60,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _features(made: DataFrame, coordinates: str, props: str) -> DataFrame:
+    """Features of GeoJSON documents as rows."""
+    feature = f"struct<geometry:struct<coordinates:{coordinates}>,properties:struct<{props}>>"
+    parsed = F.from_json("json", f"struct<features:array<{feature}>>")
+    return made.select(F.explode(parsed["features"]).alias("f"))
+
+
 def _as_of(df: DataFrame, ts: str):
     return df.select(F.max(ts)).scalar()
 
@@ -180,11 +187,15 @@ def landing_summary(spark, d):
 
 @query
 def station_features(spark, d):
+    """The live map as GeoJSON, read back to rows."""
     live = lat.station_map(views.status(spark, d), views.stations(spark, d))
-    return geojson.to_feature_collection(
+    made = geojson.to_feature_collection(
         live, geojson.point_geometry(F.col("lon"), F.col("lat")),
         ["name", "capacity", "bikes", "ebikes", "docks"], ["station_key"],
     )
+    at = F.col("f.geometry.coordinates")
+    props = "name:string,capacity:int,bikes:int,ebikes:int,docks:int"
+    return _features(made, "array<double>", props).select("f.properties.*", at[0].alias("lon"), at[1].alias("lat"))
 
 
 # ---- latest state, snapshots and summaries --------------------------------------
@@ -625,12 +636,19 @@ def flow_lines(spark, d):
 
 @query
 def flow_features(spark, d):
+    """The flow map as GeoJSON, read back to rows."""
     ends = [(F.col("line")[i]["lon"], F.col("line")[i]["lat"]) for i in (0, 1)]
-    return geojson.to_feature_collection(
+    made = geojson.to_feature_collection(
         _flows(spark, d).withColumnsRenamed({"from_name": "from", "to_name": "to"}),
         geojson.line_geometry(*ends), ["from", "to", "trips", "km"],
         ["start_station_key", "end_station_key"],
     )
+    at = F.col("f.geometry.coordinates")
+    return _features(made, "array<array<double>>", "from:string,to:string,trips:bigint,km:double").select(
+        F.col("f.properties.from").alias("from_name"), F.col("f.properties.to").alias("to_name"),
+        "f.properties.trips", "f.properties.km",
+        at[0][0].alias("from_lon"), at[0][1].alias("from_lat"), at[1][0].alias("to_lon"), at[1][1].alias("to_lat"),
+    )
 
 
 # ---- weighted choice and profiles ---------------------------------------------------

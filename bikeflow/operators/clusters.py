@@ -19,7 +19,7 @@ from bikeflow.functions.metrics import Box, Planar
 from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut, spread
 
-PAIR_LIMIT = 4096      # box pairs with at most this many point pairs are compared directly
+PAIR_LIMIT = 16384     # box pairs with at most this many point pairs are compared directly
 BAND = 1 << 31
 
 

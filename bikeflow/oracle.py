@@ -269,6 +269,12 @@ ORACLES["station_map"] = with_views(
   coalesce(ebikes, 0) AS ebikes, coalesce(docks, 0) AS docks
 FROM stations LEFT JOIN latest USING (station_key)""",
 )
+ORACLES["station_features"] = with_views(
+    "status stations",
+    _LATEST
+    + """SELECT name, capacity, coalesce(bikes, 0) AS bikes, coalesce(ebikes, 0) AS ebikes,
+  coalesce(docks, 0) AS docks, lon, lat FROM stations LEFT JOIN latest USING (station_key)""",
+)
 ORACLES["trip_summary"] = with_views(
     "trips",
     f"""SELECT source, count(*) AS trips, strftime(min(started_at), '%Y-%m-%d %H:%M') AS first,
@@ -675,6 +681,14 @@ ORACLES["flow_lines"] = with_views(
 FROM od JOIN stations a ON a.station_key = start_station_key JOIN stations b ON b.station_key = end_station_key""",
 )
 
+ORACLES["flow_features"] = with_views(
+    "trips stations",
+    f""", {_OD} SELECT a.name AS from_name, b.name AS to_name, trips,
+  {half_up(metres("a.lon", "a.lat", "b.lon", "b.lat") + " / 1000", 2)} AS km,
+  a.lon AS from_lon, a.lat AS from_lat, b.lon AS to_lon, b.lat AS to_lat
+FROM od JOIN stations a ON a.station_key = start_station_key JOIN stations b ON b.station_key = end_station_key""",
+)
+
 # ---- weighted choice and profiles --------------------------------------------------
 
 POOL = f"""{knn(60, degrees("a", "b"))},

@@ -142,7 +142,7 @@ def brute_dbscan(xy, eps, minpts):
     return label
 
 
-@pytest.mark.parametrize("pair_limit", [4096, 1])
+@pytest.mark.parametrize("pair_limit", [16384, 1])
 @pytest.mark.parametrize("eps", [400.0, 1500.0])
 def test_dbscan(points, stations, monkeypatch, pair_limit, eps):
     # A limit of one point pair forces the boxes to be split all the way.
