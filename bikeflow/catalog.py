@@ -20,7 +20,7 @@ from bikeflow.operators import latest as lat
 from bikeflow.operators import proximity as prox
 from bikeflow.operators import quality as qual
 from bikeflow.operators import regions as reg
-from bikeflow.plans.runtime import scratch
+from bikeflow.plans.runtime import scratch, spread
 from bikeflow.sources import archive, feeds, geojson, views
 from bikeflow.sources.schemas import EVENTS
 from bikeflow.streaming import departures as sdep
@@ -148,14 +148,14 @@ def retain_trips(spark, d):
 def retain_landing(spark, d):
     landing = feeds.parse_status(views.status_docs(spark, d))
     kept = dimn.retain(landing, "polled_at", 10, _as_of(landing, "polled_at"))
-    return kept.groupBy(F.to_date("polled_at").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    return kept.groupBy(F.to_date("polled_at").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
 def trip_archive(spark, d):
     st = views.stations(spark, d)
     path = scratch(spark, "trip-archive")
-    views.trips(spark, d).select(
+    spread(views.trips(spark, d)).select(
         F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"),
         F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss").alias("ended_at"),
         F.concat(F.lit("S"), F.col("start_station_key").cast("string")).alias("start_station_id"),
@@ -713,12 +713,13 @@ def _days(spark, d):
 
 @query
 def hour_profile(spark, d):
-    return alloc.hour_profile(_days(spark, d)).withColumn("share", half_up(F.col("share"), 9))
+    shares = alloc.hour_profile(_days(spark, d)).withColumn("share", half_up(F.col("share"), 9))
+    return shares.withColumn("day", F.col("day").cast("string"))
 
 
 @query
 def apportion(spark, d):
-    return alloc.apportion(_days(spark, d))
+    return alloc.apportion(_days(spark, d)).withColumn("day", F.col("day").cast("string"))
 
 
 @query

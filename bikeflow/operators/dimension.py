@@ -47,10 +47,13 @@ def upsert_stations(dim: DataFrame, incoming: DataFrame, max_rows: int | None =
     keep what they had. Stations absent from the list stay. Rows without a usable
     position are ignored. Write only rows whose ``_change`` is not ``same``.
     """
+    fields = [F.col(c).alias("n_" + c) for c in STATION_COLUMNS[1:]]
+    # Of repeated ids the greatest row counts, so that every use below sees the same one.
     fresh = (
         incoming.filter(has_point(F.col("lon"), F.col("lat")))
-        .dropDuplicates(["station_id"])
-        .select(F.col("station_id"), *[F.col(c).alias("n_" + c) for c in STATION_COLUMNS[1:]])
+        .groupBy("station_id")
+        .agg(F.max(F.struct(*fields)).alias("_r"))
+        .select("station_id", "_r.*")
     )
     known = dim.select("station_key", *STATION_COLUMNS)
     arrived = fresh.join(known.select("station_id"), "station_id", "left_anti")

@@ -199,7 +199,7 @@ WHERE started_at >= (SELECT max(started_at) FROM trips) - INTERVAL 180 DAY GROUP
 )
 ORACLES["retain_landing"] = with_views(
     "landing",
-    """SELECT CAST(polled_at AS DATE) AS day, count(*) AS rows FROM landing
+    """SELECT CAST(CAST(polled_at AS DATE) AS VARCHAR) AS day, count(*) AS rows FROM landing
 WHERE polled_at >= (SELECT max(polled_at) FROM landing) - INTERVAL 10 DAY GROUP BY 1""",
 )
 ORACLES["trip_archive"] = with_views(
@@ -772,11 +772,11 @@ weighted AS (
   FROM days, range(24) t(h)),
 profile AS (SELECT day, h, w / sum(w) OVER (PARTITION BY day) AS share FROM weighted)"""
 ORACLES["hour_profile"] = with_views(
-    "trips", f", {PROFILE} SELECT day, h, {half_up('share', 9)} AS share FROM profile"
+    "trips", f", {PROFILE} SELECT CAST(day AS VARCHAR) AS day, h, {half_up('share', 9)} AS share FROM profile"
 )
 ORACLES["apportion"] = with_views(
     "trips",
-    f""", {PROFILE} SELECT day, h, CAST(round_even(share * 120000
+    f""", {PROFILE} SELECT CAST(day AS VARCHAR) AS day, h, CAST(round_even(share * 120000
     * (CAST(0.55 AS DOUBLE) + CAST(0.45 AS DOUBLE) * sin((dayofyear(day) - 100) / CAST(365 AS DOUBLE) * (2 * pi())))
     * (CASE WHEN isodow(day) < 6 THEN 1 ELSE CAST(0.82 AS DOUBLE) END), 0) AS INTEGER) AS n,
   timezone('UTC', timezone('America/New_York', CAST(day AS TIMESTAMP) + to_hours(h))) AS starts_at

@@ -23,5 +23,7 @@ def replace_stations(docs: DataFrame, path: str) -> DataFrame:
     """Write the newest station list over the old one and read it back."""
     rows = dated_stations(docs)
     newest = rows.filter(F.col("last_updated") == rows.select(F.max("last_updated")).scalar())
-    newest.drop("last_updated").dropDuplicates(["station_id"]).write.mode("overwrite").parquet(path)
+    fields = [c for c in newest.columns if c not in ("last_updated", "station_id")]
+    one_each = newest.groupBy("station_id").agg(F.max(F.struct(*fields)).alias("_r"))
+    one_each.select("station_id", "_r.*").write.mode("overwrite").parquet(path)
     return docs.sparkSession.read.parquet(path)
