@@ -779,4 +779,4 @@ def stream_poll_totals(spark, d):
 def stream_departures(spark, d):
     sink = scratch(spark, "departures")
     sdep.stream_departures(_status_stream(spark, d), sink, scratch(spark, "departure-state")).awaitTermination()
-    return spark.read.parquet(sink)
+    return sdep.read_departures(spark, sink)

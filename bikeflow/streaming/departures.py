@@ -1,98 +1,105 @@
-"""Departures across micro-batches, with the last level held per station."""
+"""Departures across micro-batches, with the last level held per station.
+
+The held levels are a small table, one row per station, written once per batch next
+to the departures. Inside a batch the deltas come from the same segmented window as in
+the batch operator, so a station with a third of a batch's rows is split over tasks;
+only the first row of a station needs the held level. Both folders are keyed by the
+batch number, and a batch repeated after a failure overwrites its own output.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT = "station_key bigint, polled_us bigint, status_id bigint, delta int, gap_seconds double"
-STATE = "polled_us bigint, status_id bigint, level int"
-CHUNK = 10_000
-
-
-def _delta_step(forget_ms: int):
-    def step(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        # A batch is bounded by the source's files per trigger; three numbers per row stay.
-        parts = [f[["polled_us", "status_id", "level"]].to_numpy(dtype=np.int64) for f in frames]
-        rows = np.concatenate(parts) if parts else np.empty((0, 3), dtype=np.int64)
-        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-        if state.exists:
-            held = np.array([state.get], dtype=np.int64)
-            # Rows at or before the held snapshot came too late to form a delta.
-            newer = (rows[:, 0] > held[0, 0]) | ((rows[:, 0] == held[0, 0]) & (rows[:, 1] > held[0, 1]))
-            rows = np.concatenate([held, rows[newer]])
-        if not len(rows):
-            return
-        last = rows[-1]
-        state.update((int(last[0]), int(last[1]), int(last[2])))
-        state.setTimeoutTimestamp(max(int(last[0]) // 1000, state.getCurrentWatermarkMs()) + forget_ms)
-        delta, gap = np.diff(rows[:, 2]), np.diff(rows[:, 0]) / 1e6
-        moved = rows[1:]
-        for i in range(0, len(moved), CHUNK):
-            part = slice(i, i + CHUNK)
-            yield pd.DataFrame(
-                {
-                    "station_key": key[0],
-                    "polled_us": moved[part, 0],
-                    "status_id": moved[part, 1],
-                    "delta": delta[part].astype(np.int32),
-                    "gap_seconds": gap[part],
-                }
-            )
-
-    return step
-
-
-def stream_deltas(status: DataFrame, late_after: str = "1 hour", forget_s: int = 7 * 86400) -> DataFrame:
-    """Level changes of a status stream, also between rows of different micro-batches.
-
-    A station that stays silent for ``forget_s`` beyond the watermark loses its held
-    level, so its next row starts anew instead of forming one delta over the outage.
+
+from bikeflow.functions.clock import seconds_between, span
+from bikeflow.operators.events import LEVEL
+from bikeflow.plans.segments import with_previous
+
+KEY, TS, TIE = "station_key", "polled_at", "status_id"
+HELD = "station_key bigint, polled_at timestamp, status_id bigint, level int"
+
+
+def _held(spark: SparkSession, path: str, epoch: int, forget_s: float) -> DataFrame:
+    """Last row per station before batch ``epoch``, without stations silent for ``forget_s``."""
+    try:
+        log = spark.read.parquet(path).filter(F.col("batch") < epoch)
+    except AnalysisException:
+        return spark.createDataFrame([], HELD)
+    rows = log.filter(F.col("batch") == log.select(F.max("batch")).scalar()).drop("batch")
+    newest = rows.select(F.max(TS)).scalar()
+    return rows.filter(F.col(TS) >= newest - span(forget_s))
+
+
+def batch_deltas(rows: DataFrame, held: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Deltas of one batch against itself and the held rows.
+
+    Rows at or before a station's held snapshot came too late to form a delta and are
+    left out.
     """
-    rows = status.withWatermark("polled_at", late_after).select(
-        "station_key", "polled_at",
-        F.unix_micros("polled_at").alias("polled_us"),
-        "status_id",
-        F.col("num_bikes_available").cast("bigint").alias("level"),
-    )
-    out = rows.groupBy("station_key").applyInPandasWithState(
-        _delta_step(forget_s * 1000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return out.select(
-        "station_key", F.timestamp_micros("polled_us").alias("polled_at"), "status_id", "delta", "gap_seconds"
+    before = held.select(KEY, F.struct(TS, TIE, "level").alias("_held"))
+    later = F.col("_held").isNull() | (F.struct(TS, TIE) > F.struct("_held." + TS, "_held." + TIE))
+    fresh = rows.join(before, KEY, "left").filter(later)
+    seen = with_previous(fresh, [KEY], [TS, TIE], {"_ts": TS, "_level": "level"}, max_rows)
+    first = F.col("_ts").isNull()
+    previous = F.when(first, F.col("_held.level")).otherwise(F.col("_level"))
+    since = F.when(first, F.col("_held." + TS)).otherwise(F.col("_ts"))
+    return seen.select(
+        KEY, TS, TIE, "level",
+        (F.col("level") - previous).alias("delta"),
+        seconds_between(F.col(TS), since).alias("gap_seconds"),
     )
 
 
+def departure_writer(
+    sink: str, state: str, cap: int = 8, forget_s: float = 7 * 86400, max_rows: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: departures to ``sink``, held levels to ``state``."""
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        rows = batch.select(KEY, TS, TIE, F.col(LEVEL).alias("level")).persist()
+        try:
+            held = _held(rows.sparkSession, state, epoch, forget_s)
+            left = batch_deltas(rows, held, max_rows).filter(F.col("delta") < 0)
+            left.select(KEY, TS, TIE, F.least(-F.col("delta"), F.lit(cap)).alias("n")).write.mode(
+                "overwrite"
+            ).parquet(f"{sink}/batch={epoch}")
+            last = F.max(F.struct(TS, TIE, "level")).alias("_r")
+            known = rows.unionByName(held).groupBy(KEY).agg(last).select(KEY, "_r.*")
+            known.write.mode("overwrite").parquet(f"{state}/batch={epoch}")
+        finally:
+            rows.unpersist()
+
+    return run
+
+
 def stream_departures(
     status: DataFrame,
     sink: str,
     checkpoint: str,
     cap: int = 8,
-    late_after: str = "1 hour",
-    forget_s: int = 7 * 86400,
+    forget_s: float = 7 * 86400,
+    max_rows: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append the departures of a status stream to ``sink``; batch twin: ``events.departures``."""
-    left = stream_deltas(status, late_after, forget_s).filter(F.col("delta") < 0)
+    """Departures of a status stream; batch twin: ``events.departures``.
+
+    A station that was silent for ``forget_s`` before the newest held row starts anew
+    instead of forming one delta over the outage.
+    """
+    write = departure_writer(sink, f"{checkpoint}/held-levels", cap, forget_s, max_rows)
     return (
-        left.select(
-            "station_key", "polled_at", "status_id", F.least(-F.col("delta"), F.lit(cap)).alias("n")
-        )
-        .writeStream.format("parquet")
-        .option("path", sink)
+        status.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def read_departures(spark: SparkSession, sink: str) -> DataFrame:
+    """All departures written so far."""
+    return spark.read.parquet(sink).drop("batch")

@@ -120,10 +120,10 @@ def test_departures_across_batches_equal_the_batch_result(spark, status_files, t
     sink, state = str(tmp_path / "left"), str(tmp_path / "state")
     for i in range(0, 120, 30):
         status_files(data[i : i + 30])
-        run(departures.stream_departures(status_files.stream(), sink, state))
+        run(departures.stream_departures(status_files.stream(), sink, state, max_rows=4))
     batch = events.departures(spark.read.parquet(status_files.path))
-    assert rows(spark.read.parquet(sink), "status_id", "n") == rows(batch, "status_id", "n")
-    assert spark.read.parquet(sink).count() > 20
+    assert rows(departures.read_departures(spark, sink), "status_id", "n") == rows(batch, "status_id", "n")
+    assert departures.read_departures(spark, sink).count() > 20
 
 
 def test_late_row_makes_no_negative_gap(spark, status_files, tmp_path, rows):
@@ -132,7 +132,7 @@ def test_late_row_makes_no_negative_gap(spark, status_files, tmp_path, rows):
         status_files(data)
         run(departures.stream_departures(status_files.stream(), sink, state))
     # The row for 60 s arrives after 120 s was seen; 180 s still compares with 120 s.
-    assert rows(spark.read.parquet(sink), "status_id", "n") == [(2, 3), (4, 1)]
+    assert rows(departures.read_departures(spark, sink), "status_id", "n") == [(2, 3), (4, 1)]
 
 
 def test_a_silent_station_starts_anew(spark, status_files, tmp_path, rows):
@@ -142,4 +142,14 @@ def test_a_silent_station_starts_anew(spark, status_files, tmp_path, rows):
         status_files(data)
         run(departures.stream_departures(status_files.stream(), sink, state, forget_s=2 * day))
     # Station 1 was forgotten on day 5; station 2 spoke in time and was not.
-    assert rows(spark.read.parquet(sink), "status_id") == [(3,), (6,)]
+    assert rows(departures.read_departures(spark, sink), "status_id") == [(3,), (6,)]
+
+
+def test_a_repeated_batch_replaces_its_output(spark, status_rows, tmp_path, rows):
+    write = departures.departure_writer(str(tmp_path / "left"), str(tmp_path / "held"))
+    write(status_rows([(1, 1, 0, 9)]), 0)
+    for _ in range(2):
+        write(status_rows([(2, 1, 60, 5), (3, 1, 120, 4)]), 1)
+    write(status_rows([(4, 1, 180, 1)]), 2)
+    got = rows(departures.read_departures(spark, str(tmp_path / "left")), "status_id", "n")
+    assert got == [(2, 4), (3, 1), (4, 3)]
