@@ -1,10 +1,11 @@
 """Departures across micro-batches, with the last level held per station.
 
-The held levels are a small table, one row per station, written once per batch next
-to the departures. Inside a batch the deltas come from the same segmented window as in
-the batch operator, so a station with a third of a batch's rows is split over tasks;
-only the first row of a station needs the held level. Both folders are keyed by the
-batch number, and a batch repeated after a failure overwrites its own output.
+The held levels are a small table, one row per station. Inside a batch the deltas come
+from the same segmented window as in the batch operator, so a station with a third of a
+batch's rows is split over tasks; only the first row of a station needs the held level.
+Departures are keyed by the batch number; held levels alternate between two slots, so a
+batch reads what the one before left and overwrites only its own slot. A batch repeated
+after a failure therefore replaces its own output.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ KEY, TS, TIE = "station_key", "polled_at", "status_id"
 HELD = "station_key bigint, polled_at timestamp, status_id bigint, level int"
 
 
+def _slot(path: str, epoch: int) -> str:
+    return f"{path}/slot-{epoch % 2}"
+
+
 def _held(spark: SparkSession, path: str, epoch: int, forget_s: float) -> DataFrame:
     """Last row per station before batch ``epoch``, without stations silent for ``forget_s``."""
     try:
-        log = spark.read.parquet(path).filter(F.col("batch") < epoch)
+        rows = spark.read.parquet(_slot(path, epoch - 1))
     except AnalysisException:
         return spark.createDataFrame([], HELD)
-    rows = log.filter(F.col("batch") == log.select(F.max("batch")).scalar()).drop("batch")
     newest = rows.select(F.max(TS)).scalar()
     return rows.filter(F.col(TS) >= newest - span(forget_s))
 
@@ -70,7 +74,7 @@ def departure_writer(
             ).parquet(f"{sink}/batch={epoch}")
             last = F.max(F.struct(TS, TIE, "level")).alias("_r")
             known = rows.unionByName(held).groupBy(KEY).agg(last).select(KEY, "_r.*")
-            known.write.mode("overwrite").parquet(f"{state}/batch={epoch}")
+            known.write.mode("overwrite").parquet(_slot(state, epoch))
         finally:
             rows.unpersist()
 
