@@ -167,9 +167,11 @@ def _alike(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
 
 def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket but of different components that sizes and sketches leave open."""
-    sizes = members.groupBy(F.col("band").alias("_b")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
-    ).filter("_n > 2 and _lo <> _hi")
+    sizes = cut(
+        members.groupBy(F.col("band").alias("_b"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+        .filter("_n > 2 and _lo <> _hi")
+    )
     n_blocks = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
     placed = (
         members.join(sizes, F.col("band") == F.col("_b"))
@@ -214,7 +216,9 @@ def near_duplicates(
     # Classes of equal sets, found on the sums of their hashes.
     sets = ["n", "set_a", "set_b"]
     small = marks.filter("n > 0").select("doc_id", *sets)
-    classes = small.groupBy(*[F.col(c).alias("_" + c) for c in sets]).agg(F.min("doc_id").alias("rep"))
+    # Checkpointed, like all groups below that rows are joined with: the join then has a plain exchange on either
+    # side, and AQE can split a group that holds a large part of the rows.
+    classes = cut(small.groupBy(*[F.col(c).alias("_" + c) for c in sets]).agg(F.min("doc_id").alias("rep")))
     same_set = (F.col("n") == F.col("_n")) & (F.col("set_a") == F.col("_set_a")) & (F.col("set_b") == F.col("_set_b"))
     class_of = cut(small.join(classes, same_set).select("doc_id", "rep"))
     nodes = cut(class_of.select(F.col("rep").alias("node")).distinct())
@@ -223,7 +227,9 @@ def near_duplicates(
 
     # Step 2: every member of a bucket with the smallest one.
     in_band = marks.select("doc_id", F.explode("bands").alias("band")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    hubs = in_band.groupBy(F.col("band").alias("_b")).agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("_m")).filter("hub <> _m")
+    hubs = cut(
+        in_band.groupBy(F.col("band").alias("_b")).agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("_m")).filter("hub <> _m")
+    )
     shared = cut(in_band.join(hubs.select("_b", "hub"), F.col("band") == F.col("_b")).select("doc_id", "band", "hub"))
     active = cut(marks.select("doc_id", "n", "sketch").join(shared.select(F.col("doc_id").alias("_i")), F.col("doc_id") == F.col("_i"), "left_semi"))
     with_hub = shared.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()

@@ -84,8 +84,10 @@ def matches(docs: DataFrame, length: int = 50, gram: int = 20) -> DataFrame:
     if not 0 <= length - gram < 1 << SHIFT:
         raise ValueError("gram must be at most length, and their difference below 256")
     seeds = cut(_seeds(docs, length, gram))
-    often = seeds.groupBy(F.hash("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    shared = cut(seeds.join(often.select("_a"), F.hash("anchor") == F.col("_a")).drop("_a"))
+    # Groups are checkpointed before rows are joined with them: the join then has a plain exchange on either side, and
+    # AQE can split an anchor that holds a large part of the rows.
+    often = cut(seeds.groupBy(F.hash("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_a"))
+    shared = cut(seeds.join(often, F.hash("anchor") == F.col("_a")).drop("_a"))
     # One class per anchor and run of words, with the smallest document that has it.
     classes = cut(
         shared.groupBy(F.col("anchor").alias("_a"), F.col("span").alias("_s")).agg(F.min("doc_id").alias("low"))
@@ -95,14 +97,19 @@ def matches(docs: DataFrame, length: int = 50, gram: int = 20) -> DataFrame:
         .select("doc_id", "run", "low", "anchor")
     )
     whole = members.filter("doc_id > low")
-    several = classes.groupBy(F.col("_a").alias("_m")).agg(
-        F.min("_s").alias("a"), F.max("_s").alias("b"), F.min("low").alias("least"), F.max("low").alias("most")
-    ).filter("a <> b and least <> most")
-    first_of = members.filter("doc_id = low").join(several.select("_m"), F.col("anchor") == F.col("_m"))
+    several = cut(
+        classes.groupBy(F.col("_a").alias("_m"))
+        .agg(F.min("_s").alias("a"), F.max("_s").alias("b"), F.min("low").alias("least"), F.max("low").alias("most"))
+        .filter("a <> b and least <> most").select("_m")
+    )
+    first_of = members.filter("doc_id = low").join(several, F.col("anchor") == F.col("_m"))
     windows = cut(_extended(docs, first_of.select("doc_id", "run").distinct(), length))
-    lowest = windows.groupBy(F.col("window").alias("_w")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
+    lowest = cut(
+        windows.groupBy(F.col("window").alias("_w")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
+        .filter("low <> top")
+    )
     found = cut(
-        windows.join(lowest.filter("low <> top"), (F.col("window") == F.col("_w")) & (F.col("doc_id") > F.col("low")))
+        windows.join(lowest, (F.col("window") == F.col("_w")) & (F.col("doc_id") > F.col("low")))
         .select("doc_id", "start").distinct()
     )
     # The other members of a class are in larger documents and matched over the whole run already.
