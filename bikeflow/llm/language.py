@@ -24,58 +24,54 @@ CHUNK = 1 << 18  # bytes scored at once
 
 
 class Model:
-    """Code lengths in bits: ``cost[node * n_symbols + symbol]`` has one number per language."""
+    """Code lengths in bits: ``cost[node * n_symbols + symbol]`` has one number per language.
 
-    def __init__(self, counts: dict[str, dict[int, int]], max_cells: int = 1 << 24) -> None:
-        self.languages = sorted(counts)
-        seen = sorted({(g >> s) & 255 for grams in counts.values() for g in grams for s in (0, 8, 16, 24)} | {10})
+    ``grams`` has for each language its four-byte grams (as big-endian integers) and their counts. The tables hold ``max_cells`` numbers or
+    little more: beyond, the rarest contexts of three bytes are coded in two.
+    """
+
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], max_cells: int = 1 << 23) -> None:
+        self.languages = sorted(grams)
+        parts = [grams[lang] for lang in self.languages]
+        gram = np.concatenate([np.zeros(0, np.int64), *[g for g, _ in parts]])
+        count = np.concatenate([np.zeros(0), *[n for _, n in parts]])
+        lang = np.repeat(np.arange(len(parts)), [len(g) for g, _ in parts])
+        seen = np.unique(np.r_[10, *[(gram >> s) & 255 for s in (0, 8, 16, 24)]])
         self.symbol = np.full(256, len(seen), np.int64)  # one more for all bytes that were never seen
         self.symbol[seen] = np.arange(len(seen))
         self.n_symbols = a = len(seen) + 1
-        n_langs = max(len(self.languages), 1)
-
-        # How often each symbol followed each context of 0 to 3 symbols, by language.
-        follow = [defaultdict(lambda: defaultdict(lambda: [0] * n_langs)) for _ in range(ORDER + 1)]
-        weight: dict[tuple, int] = defaultdict(int)
-        for k, lang in enumerate(self.languages):
-            for gram, count in counts[lang].items():
-                sym = [int(self.symbol[(gram >> s) & 255]) for s in (24, 16, 8, 0)]
-                for order in range(ORDER + 1):
-                    follow[order][tuple(sym[ORDER - order : ORDER])][sym[ORDER]][k] += count
-                weight[tuple(sym[:ORDER])] += count
-        room = max(max_cells // (a * n_langs) - sum(len(f) for f in follow[:ORDER]) - 1, 0)
-        kept = set(sorted(weight, key=lambda c: (-weight[c], c))[:room])
-
-        node_of: dict[tuple, int] = {}
-        rows: list[np.ndarray] = []
-        uniform = np.full((a, n_langs), 8.0)
+        n_langs = max(len(parts), 1)
+        sym = [self.symbol[(gram >> s) & 255] for s in (24, 16, 8, 0)]
+        full = (sym[0] * a + sym[1]) * a + sym[2]
+
+        blocks = [np.full((1, a, n_langs), 8.0, np.float32)]  # node 0: no context, all bytes alike
+        contexts, first = np.zeros(1, np.int64), 0
+        self.node = np.zeros(a**ORDER, np.int32)
         for order in range(ORDER + 1):
-            for context in sorted(follow[order]):
-                if order == ORDER and context not in kept:
-                    continue
-                shorter = rows[node_of[context[1:]]] if order else uniform
-                row = shorter.copy()
-                table = np.zeros((a, n_langs))
-                for symbol, per_lang in follow[order][context].items():
-                    table[symbol] = per_lang
-                n, d = table.sum(axis=0), (table > 0).sum(axis=0)
-                known = n > 0  # a language that never saw the context codes in the shorter one, at no cost
-                escape = np.log2(np.where(known, (n + d) / np.maximum(d, 1), 1.0))
-                row += escape
-                with np.errstate(divide="ignore"):
-                    own = np.log2(np.where(known, n + d, 1.0)) - np.log2(table)
-                row = np.where(table > 0, own, row)
-                node_of[context] = len(rows)
-                rows.append(row)
-        if not rows:
-            node_of[()] = 0
-            rows.append(uniform)
-        self.cost = np.concatenate(rows).astype(np.float32)
-        node = np.full((a, a, a), node_of[()], np.int32)
-        for context, i in sorted(node_of.items(), key=lambda x: len(x[0])):
-            if context:
-                node[(Ellipsis, *context)] = i
-        self.node = node.ravel()
+            own = full % a**order
+            total = np.bincount(np.unique(own, return_inverse=True)[1], count) if len(own) else np.zeros(0)
+            known = np.unique(own)
+            if order == ORDER:
+                room = max(max_cells // (a * n_langs) - sum(map(len, blocks)), 0)
+                known = np.sort(known[np.lexsort((known, -total))[:room]])
+            # The next shorter context lacks the oldest byte.
+            shorter = np.searchsorted(contexts, known % a ** (order - 1)) if order else np.zeros(len(known), np.int64)
+            block = blocks[-1][shorter]
+            table = np.zeros(block.shape, np.float32)
+            at = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
+            here = known[at] == own if len(known) else np.zeros(len(own), bool)
+            np.add.at(table, (at[here], sym[3][here], lang[here]), count[here])
+            n, d = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
+            # A language that never saw the context codes in the shorter one, at no cost.
+            block += np.where(n > 0, np.log2(np.maximum(n + d, 1) / np.maximum(d, 1)), 0)
+            inside = table > 0
+            block[inside] = (np.log2(np.maximum(n + d, 1)) - np.log2(np.maximum(table, 1)))[inside]
+            first += len(blocks[-1])
+            blocks.append(block)
+            contexts = known
+            if len(known):
+                self.node.reshape(a ** (ORDER - order), a**order)[:, known] = first + np.arange(len(known))
+        self.cost = np.concatenate(blocks).reshape(-1, n_langs)
 
     def bits(self, text: bytes) -> np.ndarray:
         """The code length of the text in each language."""
@@ -103,7 +99,7 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 
 
 def train(
-    docs: DataFrame, docs_per_language: int = 500, grams_per_language: int = 100_000, folds: int = 5,
+    docs: DataFrame, docs_per_language: int = 500, grams_per_language: int = 50_000, folds: int = 5,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> Model:
     """A model of the languages in ``lang_col``.
@@ -133,11 +129,9 @@ def train(
 
     counted = map_batches(drawn.select("lang", "text"), count, "lang string, gram bigint, n bigint")
     top = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts: dict[str, dict[int, int]] = {r.lang: {} for r in sizes}
     limit = grams_per_language * max(len(sizes), 1)
-    for r in top.orderBy(F.desc("n"), "lang", "gram").limit(limit).collect():
-        counts[r.lang][r.gram] = r.n
-    return Model({k: v for k, v in counts.items() if v})
+    found = top.orderBy(F.desc("n"), "lang", "gram").limit(limit).toArrow().to_pandas()
+    return Model({k: (g["gram"].to_numpy(), g["n"].to_numpy(float)) for k, g in found.groupby("lang")})
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", folds: int = 5) -> DataFrame:
