@@ -118,12 +118,16 @@ def unmatched_landing(fact: DataFrame, landing: DataFrame, dim: DataFrame) -> Da
 def apply_cdc(base: DataFrame, changes: DataFrame, key: str = "station_key", ver: str = "ver") -> DataFrame:
     """``base`` after its change rows: highest version per key, deleted keys gone.
 
-    ``changes`` has the columns of ``base`` plus ``ver`` and ``op`` (I, U, D).
+    ``changes`` has the columns of ``base`` plus ``ver`` and ``op`` (I, U, D). Of equal versions a
+    delete counts before an update, an update before an insert, then the greatest row.
     """
     columns = [c for c in base.columns if c != key]
     start = base.select(key, *columns).withColumn(ver, F.lit(-1).cast("bigint")).withColumn("op", F.lit("I"))
     rows = start.unionByName(changes.select(key, *columns, F.col(ver).cast("bigint").alias(ver), "op"))
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*columns, "op"), ver).alias("_r"))
+    rank = F.when(F.col("op") == "D", 2).when(F.col("op") == "U", 1).otherwise(0)
+    newest = rows.groupBy(key).agg(
+        F.max_by(F.struct(*columns, "op"), F.struct(F.col(ver), rank.alias("_rank"), *columns)).alias("_r")
+    )
     return newest.filter(F.col("_r.op") != "D").select(key, *[F.col("_r." + c).alias(c) for c in columns])
 
 

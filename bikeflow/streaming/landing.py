@@ -103,9 +103,9 @@ class SyncTarget:
     def facts(self, before: int | None = None) -> DataFrame | None:
         return self._read("status", before)
 
-    def unmatched(self) -> DataFrame | None:
+    def unmatched(self, before: int | None = None) -> DataFrame | None:
         """Landing rows that no station was known for when they arrived."""
-        return self._read("unmatched", None)
+        return self._read("unmatched", before)
 
     def write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
@@ -114,23 +114,35 @@ class SyncTarget:
 def sync_micro_batch(
     target: SyncTarget, station_list: Callable[[], DataFrame]
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of the copy: dimension first, then newer facts.
+    """The ``foreachBatch`` function of the copy: dimension first, then the facts it lacks.
 
-    Only inserted and updated stations are written. Facts newer than the mark whose
-    station is still unknown are written apart, because the mark moves past them.
+    Only inserted and updated stations are written. A landing row is loaded if no earlier batch
+    has its station and poll, whatever the order in which documents arrive. Rows whose station is still
+    unknown are written apart and tried again in later batches.
     """
 
     def run(batch: DataFrame, epoch: int) -> None:
         merged = upsert_stations(target.stations(epoch), station_list())
         target.write(merged.filter(F.col("_change") != "same").drop("_change"), "stations", epoch)
 
-        landing = collapse_landing(batch)
         dim = target.stations(epoch + 1)
-        earlier = target.facts(epoch)
-        if earlier is None:
-            earlier = landing.select("polled_at").limit(0)
-        target.write(incremental_load(earlier, landing, dim), "status", epoch)
-        target.write(unmatched_landing(earlier, landing, dim), "unmatched", epoch)
+        waiting = target.unmatched(epoch)
+        landed = batch if waiting is None else batch.unionByName(waiting.select(*batch.columns))
+        landing = collapse_landing(landed).persist()
+        try:
+            keyed = incremental_load(landing.select("polled_at").limit(0), landing, dim)
+            earlier = target.facts(epoch)
+            if earlier is not None:
+                span = landing.agg(F.min("polled_at").alias("a"), F.max("polled_at").alias("b")).first()
+                there = earlier.filter(F.col("polled_at").between(F.lit(span.a), F.lit(span.b)))
+                keyed = keyed.join(there.select("station_key", "polled_at"), ["station_key", "polled_at"], "left_anti")
+            target.write(keyed, "status", epoch)
+            left = unmatched_landing(landing.select("polled_at").limit(0), landing, dim)
+            if waiting is not None:  # what already waits is not written twice
+                left = left.join(waiting.select("station_id", "polled_at"), ["station_id", "polled_at"], "left_anti")
+            target.write(left, "unmatched", epoch)
+        finally:
+            landing.unpersist()
 
     return run
 

@@ -244,3 +244,11 @@ def test_reconcile_rows_counts_copies(spark, rows):
     b = spark.createDataFrame([(1, None), (3, "y")], "k int, v string")
     assert rows(quality.reconcile_rows(a, b), "k", "side", "copies") == [(1, "only_a", 1), (2, "only_a", 1), (3, "only_b", 1)]
     assert quality.reconcile_rows(a, a).count() == 0
+
+
+def test_equal_versions_do_not_depend_on_the_order_of_rows(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "station_key bigint, name string")
+    changes = [(1, "z", 5, "U"), (1, "a", 5, "D"), (2, "x", 3, "U"), (2, "y", 3, "U")]
+    for some in (changes, changes[::-1]):
+        frame = spark.createDataFrame(some, "station_key bigint, name string, ver bigint, op string")
+        assert [tuple(r) for r in dimension.apply_cdc(base, frame).collect()] == [(2, "y")]

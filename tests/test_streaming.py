@@ -81,14 +81,15 @@ def test_sync_loads_the_dimension_first_and_only_newer_facts(spark, folder, tmp_
     folder("3", document(60, [("a", 4), ("x", 2)]))
     go()
     assert rows(target.stations(), "station_key", "station_id", "name") == [(1, "a", "A2"), (2, "b", "B"), (3, "x", "X")]
-    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 4), (1, 5), (2, 3), (3, 2)]
+    # The row of x that waited is loaded now that x is known.
+    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 4), (1, 5), (2, 3), (3, 1), (3, 2)]
     # Unchanged stations are not written again: two in the first run, two in the second.
     assert spark.read.parquet(f"{target.path}/stations").count() == 4
 
     # A batch repeated after a failure replaces its own output.
     batch = feeds.parse_status(spark.createDataFrame([(document(60, [("a", 4), ("x", 2)]),)], "json string"))
     landing.sync_micro_batch(target, stations)(batch, 1)
-    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 4), (1, 5), (2, 3), (3, 2)]
+    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 4), (1, 5), (2, 3), (3, 1), (3, 2)]
     assert target.stations().count() == 3
 
 
@@ -153,3 +154,17 @@ def test_a_repeated_batch_replaces_its_output(spark, status_rows, tmp_path, rows
     write(status_rows([(4, 1, 180, 1)]), 2)
     got = rows(departures.read_departures(spark, str(tmp_path / "left")), "status_id", "n")
     assert got == [(2, 4), (3, 1), (4, 3)]
+
+
+@pytest.mark.parametrize("files", [1, 3, 1000])
+def test_sync_is_complete_in_any_order_and_number_of_batches(spark, folder, tmp_path, rows, files):
+    seconds = [300, 0, 240, 60, 420, 120, 360, 180]
+    for i, s in enumerate(seconds):
+        folder(str(i), document(s, [("a", s // 60), ("b", 1)]))
+    listed = json.dumps({"data": {"stations": [{"station_id": i, "name": i, "lat": 40.0, "lon": -73.0} for i in "ab"]}})
+    target = landing.SyncTarget(spark, str(tmp_path / "sync"))
+    docs = landing.read_documents(spark, folder.path, files_per_trigger=files)
+    stations = lambda: feeds.parse_stations(spark.createDataFrame([(listed,)], "json string"))
+    run(landing.stream_sync(docs, stations, target, str(tmp_path / "state"), landing.ONCE))
+    want = sorted([(1, s // 60) for s in seconds] + [(2, 1)] * 8)
+    assert rows(target.facts(), "station_key", "num_bikes_available") == want
