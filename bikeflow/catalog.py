@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from bikeflow.functions.clock import local_to_utc, span
 from bikeflow.functions.geo import area_km2, distance_m, point_wkt, snap, web_mercator
@@ -20,7 +21,7 @@ from bikeflow.operators import latest as lat
 from bikeflow.operators import proximity as prox
 from bikeflow.operators import quality as qual
 from bikeflow.operators import regions as reg
-from bikeflow.plans.runtime import scratch, spread
+from bikeflow.plans.runtime import scratch
 from bikeflow.sources import archive, feeds, geojson, views
 from bikeflow.sources.schemas import EVENTS
 from bikeflow.streaming import departures as sdep
@@ -153,22 +154,26 @@ def retain_landing(spark, d):
 
 @query
 def trip_archive(spark, d):
+    """Trips written in the column order of published archives, and read back by name."""
     st = views.stations(spark, d)
     path = scratch(spark, "trip-archive")
-    spread(views.trips(spark, d)).select(
+
+    def end(side: str) -> DataFrame:
+        return st.select(
+            F.col("station_key").alias(f"{side}_station_key"), F.col("name").alias(f"{side}_station_name"),
+            F.col("lat").alias(f"{side}_lat"), F.col("lon").alias(f"{side}_lng"),
+        )
+
+    def station_id(side: str) -> Column:
+        return F.concat(F.lit("S"), F.col(f"{side}_station_key").cast("string")).alias(f"{side}_station_id")
+
+    trips = views.trips(spark, d).join(end("start"), "start_station_key", "left").join(end("end"), "end_station_key", "left")
+    trips.select(
+        F.md5(F.concat_ws("|", "started_at", "start_station_key", "end_station_key", "meters")).alias("ride_id"),
+        "rideable_type",
         F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"),
         F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss").alias("ended_at"),
-        F.concat(F.lit("S"), F.col("start_station_key").cast("string")).alias("start_station_id"),
-        F.concat(F.lit("S"), F.col("end_station_key").cast("string")).alias("end_station_id"),
-        "start_station_key", "end_station_key", "member_casual",
-    ).join(
-        st.select(F.col("station_key").alias("start_station_key"), F.col("lat").alias("start_lat"), F.col("lon").alias("start_lng")),
-        "start_station_key", "left",
-    ).join(
-        st.select(F.col("station_key").alias("end_station_key"), F.col("lat").alias("end_lat"), F.col("lon").alias("end_lng")),
-        "end_station_key", "left",
-    ).select(
-        "started_at", "ended_at", "start_station_id", "end_station_id",
+        "start_station_name", station_id("start"), "end_station_name", station_id("end"),
         "start_lat", "start_lng", "end_lat", "end_lng", "member_casual",
     ).write.option("header", True).option("compression", "gzip").csv(path)
     return archive.read_trip_csv(spark, path).groupBy("member_casual").agg(
@@ -176,7 +181,10 @@ def trip_archive(spark, d):
         F.min("started_at").alias("first"),
         F.max("ended_at").alias("last"),
         F.count_distinct("start_station_id").alias("origins"),
+        F.count_distinct("end_station_id").alias("destinations"),
         F.count("end_lat").alias("placed"),
+        F.min("start_lat").alias("south"),
+        F.max("end_lng").alias("east"),
     )
 
 
@@ -221,8 +229,9 @@ def dim_profile(spark, d):
 
 @query
 def fact_profile(spark, d):
+    """The facts of stations that take no bikes back, at the newest snapshot of all."""
     status = views.status(spark, d)
-    return lat.fact_profile(status, _as_of(status, "polled_at") + span(114))
+    return lat.fact_profile(status.filter(~F.col("is_returning")), _as_of(status, "polled_at"))
 
 
 @query
@@ -447,8 +456,9 @@ def orphan_facts(spark, d):
 
 @query
 def freshness(spark, d):
+    """Age of the newest snapshot of a station that does not rent, at the newest snapshot of all."""
     status = views.status(spark, d)
-    return qual.freshness(status, _as_of(status, "polled_at") + span(114))
+    return qual.freshness(status.filter(~F.col("is_renting")), _as_of(status, "polled_at"))
 
 
 @query
@@ -690,7 +700,7 @@ def expected_od(spark, d):
 @query
 def trip_attributes(spark, d):
     """Attributes for every trip row, drawn by its stations and start."""
-    trips = views.trips(spark, d).select("started_at", "start_station_key", "end_station_key", "meters").distinct()
+    trips = views.trips(spark, d).select("started_at", "start_station_key", "end_station_key", "meters")
     key = ["start_station_key", "end_station_key", "second", "meters"]
     keyed = trips.withColumn("second", F.unix_seconds("started_at")).withColumn(
         "meters", F.col("meters").cast("bigint")
@@ -734,17 +744,28 @@ def local_instants(spark, d):
 # ---- streaming: each job runs once over the available files ---------------------------
 
 
-def _landed_documents(spark, d) -> DataFrame:
-    """The status documents as files, and a stream over them."""
+def _landed_documents(spark, d, files: int | None = None) -> DataFrame:
+    """The status documents as files, and a stream over them.
+
+    With ``files`` they are dealt out by hash, so that times are mixed, and each file is a batch of its own.
+    """
     path = scratch(spark, "documents")
-    views.status_docs(spark, d).write.text(path)
-    return sland.read_documents(spark, path, one_per_file=False)
+    docs = views.status_docs(spark, d)
+    (docs.repartition(files, docs.columns[0]) if files else docs).write.text(path)
+    return sland.read_documents(spark, path, files_per_trigger=1 if files else 1000, one_per_file=False)
 
 
-def _status_stream(spark, d) -> DataFrame:
-    # The glob makes the one table file a folder-like source.
-    events = spark.readStream.schema(EVENTS).parquet(f"{d}/events*.parquet")
-    return views.status_of(events)
+def _in_slices(spark, d, start: Callable[[DataFrame], StreamingQuery], slices: int = 5) -> None:
+    """Land the status rows in slices of time and run the job after each: it resumes from its checkpoint."""
+    events = spark.read.schema(EVENTS).parquet(f"{d}/events.parquet")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    ends = [str(lo + (hi - lo) * i / slices) for i in range(1, slices)] if lo else []
+    passed = [F.coalesce(F.col("ts") >= F.lit(e).cast("timestamp_ntz"), F.lit(False)).cast("int") for e in ends]
+    nth = sum(passed, F.lit(0))
+    path = scratch(spark, "events")
+    for i in range(len(ends) + 1):
+        events.filter(nth == i).write.mode("append").parquet(path)
+        start(views.status_of(spark.readStream.schema(EVENTS).parquet(path))).awaitTermination()
 
 
 @query
@@ -760,7 +781,7 @@ def stream_landing(spark, d):
 def stream_sync(spark, d):
     target = sland.SyncTarget(spark, scratch(spark, "sync"))
     sland.stream_sync(
-        _landed_documents(spark, d), lambda: views.stations(spark, d).drop("station_key"),
+        _landed_documents(spark, d, files=8), lambda: views.stations(spark, d).drop("station_key"),
         target, scratch(spark, "sync-state"), sland.ONCE,
     ).awaitTermination()
     return target.facts().join(target.stations().select("station_key", "station_id"), "station_key").select(
@@ -770,13 +791,13 @@ def stream_sync(spark, d):
 
 @query
 def stream_poll_totals(spark, d):
-    sink = scratch(spark, "poll-totals")
-    sland.stream_poll_totals(_status_stream(spark, d), sink, scratch(spark, "poll-state")).awaitTermination()
+    sink, state = scratch(spark, "poll-totals"), scratch(spark, "poll-state")
+    _in_slices(spark, d, lambda status: sland.stream_poll_totals(status, sink, state))
     return sland.read_poll_totals(spark, sink)
 
 
 @query
 def stream_departures(spark, d):
-    sink = scratch(spark, "departures")
-    sdep.stream_departures(_status_stream(spark, d), sink, scratch(spark, "departure-state")).awaitTermination()
+    sink, state = scratch(spark, "departures"), scratch(spark, "departure-state")
+    _in_slices(spark, d, lambda status: sdep.stream_departures(status, sink, state))
     return sdep.read_departures(spark, sink)

@@ -9,14 +9,14 @@ DRAW_SPACE = 4294967296.0
 
 
 def ratio(num: Column, den: Column, digits: int, scale: int = 1) -> Column:
-    """``round(scale * num / den, digits)``, half away from zero, on exact bigints.
+    """``round(scale * num / den, digits)``, half away from zero, on exact integers.
 
     Doubles round ties differently from decimals, so the quotient is never formed
-    in floating point. ``den`` must be positive; a zero denominator gives null.
+    in floating point, and the product has 38 digits. ``den`` must be positive; a zero denominator gives null.
     """
     unit = 10**digits
-    num = num.cast("bigint")
-    den = F.nullif(den.cast("bigint"), F.lit(0).cast("bigint"))
+    num = num.cast("decimal(38,0)")
+    den = F.nullif(den.cast("bigint"), F.lit(0).cast("bigint")).cast("decimal(38,0)")
     whole = F.call_function(
         "div", F.lit(2 * unit * scale) * F.abs(num) + den, F.lit(2) * den
     )

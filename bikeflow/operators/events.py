@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bikeflow.functions.clock import instant, seconds_between, span
@@ -94,26 +94,27 @@ def total_departures(status: DataFrame, max_rows: int | None = None) -> DataFram
     return snapshot_deltas(status, max_rows=max_rows).agg(_departed().alias("departed"))
 
 
-def delta_listing(status: DataFrame, n: int = 200, max_rows: int | None = None) -> DataFrame:
+def _first_deltas(status: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows by station and ``order``, each with its ``delta`` to the row before it.
+
+    A row's predecessor stands right before it in this order, so the first rows hold all they need, and
+    the facts are cut to ``n`` rows before anything is shuffled.
+    """
+    first = status.select("station_key", "polled_at", "status_id", LEVEL).orderBy("station_key", *order).limit(n)
+    before = F.lag(LEVEL).over(Window.partitionBy("station_key").orderBy(*order))
+    return first.withColumn("delta", F.col(LEVEL) - before).orderBy("station_key", *order)
+
+
+def delta_listing(status: DataFrame, n: int = 200) -> DataFrame:
     """First ``n`` deltas by station and time."""
-    return (
-        snapshot_deltas(status, max_rows=max_rows)
-        .orderBy("station_key", "polled_at", "status_id")
-        .limit(n)
-        .select("station_key", "polled_at", LEVEL, "delta")
-    )
+    listed = _first_deltas(status, n, ["polled_at", "status_id"])
+    return listed.select("station_key", "polled_at", LEVEL, "delta")
 
 
-def delta_by_level(status: DataFrame, n: int = 200, max_rows: int | None = None) -> DataFrame:
+def delta_by_level(status: DataFrame, n: int = 200) -> DataFrame:
     """Deltas between rows ordered by level instead of time, ties in time order."""
-    kept = status.select("station_key", "polled_at", "status_id", LEVEL)
-    order = [LEVEL, "polled_at", "status_id"]
-    return (
-        with_previous(kept, ["station_key"], order, {"_level": LEVEL}, max_rows)
-        .orderBy("station_key", *order)
-        .limit(n)
-        .select("station_key", LEVEL, (F.col(LEVEL) - F.col("_level")).alias("delta"))
-    )
+    listed = _first_deltas(status, n, [LEVEL, "polled_at", "status_id"])
+    return listed.select("station_key", LEVEL, "delta")
 
 
 def flow_balance(status: DataFrame, max_rows: int | None = None) -> DataFrame:

@@ -205,8 +205,10 @@ WHERE polled_at >= (SELECT max(polled_at) FROM landing) - INTERVAL 10 DAY GROUP
 ORACLES["trip_archive"] = with_views(
     "trips stations",
     """SELECT member_casual, count(*) AS trips, min(started_at) AS first, max(ended_at) AS last,
-  count(DISTINCT start_station_key) AS origins, count(s.lat) AS placed
-FROM trips LEFT JOIN stations s ON s.station_key = end_station_key GROUP BY 1""",
+  count(DISTINCT start_station_key) AS origins, count(DISTINCT end_station_key) AS destinations,
+  count(s.lat) AS placed, min(o.lat) AS south, max(s.lon) AS east
+FROM trips LEFT JOIN stations s ON s.station_key = end_station_key
+  LEFT JOIN stations o ON o.station_key = start_station_key GROUP BY 1""",
 )
 ORACLES["landing_summary"] = with_views(
     "landing",
@@ -240,7 +242,9 @@ ORACLES["fact_profile"] = with_views(
     "status",
     """SELECT count(*) AS rows, count(DISTINCT station_key) AS stations_seen,
   count(DISTINCT polled_at) AS polls, strftime(min(polled_at), '%Y-%m-%d %H:%M:%S') AS first_poll,
-  strftime(max(polled_at), '%Y-%m-%d %H:%M:%S') AS last_poll, 114 AS seconds_behind FROM status""",
+  strftime(max(polled_at), '%Y-%m-%d %H:%M:%S') AS last_poll,
+  CAST(round_even(((SELECT epoch_us(max(polled_at)) FROM status) - epoch_us(max(polled_at))) / 1e6, 0) AS INTEGER) AS seconds_behind
+FROM status WHERE NOT is_returning""",
 )
 ORACLES["recent_polls"] = with_views(
     "status",
@@ -496,7 +500,13 @@ ORACLES["orphan_facts"] = with_views(
     """SELECT station_key, count(*) AS facts FROM status
 WHERE station_key NOT IN (SELECT station_key FROM stations WHERE capacity IS NOT NULL) GROUP BY 1""",
 )
-ORACLES["freshness"] = "SELECT 114 AS seconds_old, count(*) AS rows, true AS ok FROM events"
+ORACLES["freshness"] = with_views(
+    "status",
+    """SELECT CAST(round_even((epoch_us(a) - epoch_us(newest)) / 1e6, 0) AS INTEGER) AS seconds_old, rows,
+  (epoch_us(a) - epoch_us(newest)) / 1e6 < 300 AS ok
+FROM (SELECT max(polled_at) AS a, max(polled_at) FILTER (WHERE NOT is_renting) AS newest,
+  count(*) FILTER (WHERE NOT is_renting) AS rows FROM status)""",
+)
 ORACLES["reconcile_counts"] = with_views(
     "landing",
     """SELECT 'fact' AS side, count(*) AS rows FROM status
@@ -740,7 +750,7 @@ ORACLES["trip_attributes"] = with_views(
     "trips",
     f"""SELECT rideable_type, member_casual, count(*) AS trips, {big("sum(duration_s)")} AS seconds FROM (
   SELECT {attributes("start_station_key", "end_station_key", "second", "CAST(meters AS BIGINT)")} FROM (
-    SELECT DISTINCT start_station_key, end_station_key, epoch_us(started_at) // 1000000 AS second, meters FROM trips))
+    SELECT start_station_key, end_station_key, epoch_us(started_at) // 1000000 AS second, meters FROM trips))
 GROUP BY 1, 2""",
 )
 ORACLES["observed_trips"] = with_views(

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bikeflow.sources.feeds import dated_stations
 from bikeflow.sources.schemas import TRIP_ARCHIVE
 
 
 def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Trip archive with a header row, matched to the fixed schema by position; plain or gzip."""
-    return (
-        spark.read.option("header", True)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSS]")
-        .schema(TRIP_ARCHIVE)
-        .csv(path)
-    )
+    """The columns of ``TRIP_ARCHIVE`` from CSV files with a header row, plain or gzip.
+
+    Columns are found by name, so their order and further columns do not matter; a missing one raises, and so
+    does a file whose header differs from the first one's. A value that is not of its type is null.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    missing = [f.name for f in TRIP_ARCHIVE if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"the archive lacks the columns {', '.join(missing)}")
+
+    def typed(name: str, kind: T.DataType) -> Column:
+        if isinstance(kind, T.TimestampType):
+            return F.try_to_timestamp(F.col(name), F.lit("yyyy-MM-dd HH:mm:ss[.SSS]"))
+        return F.col(name).try_cast(kind)
+
+    return raw.select(*[typed(f.name, f.dataType).alias(f.name) for f in TRIP_ARCHIVE])
 
 
 def replace_stations(docs: DataFrame, path: str) -> DataFrame:

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,11 +29,13 @@ def _slot(path: str, epoch: int) -> str:
 
 
 def _held(spark: SparkSession, path: str, epoch: int, forget_s: float) -> DataFrame:
-    """Last row per station before batch ``epoch``, without stations silent for ``forget_s``."""
-    try:
-        rows = spark.read.parquet(_slot(path, epoch - 1))
-    except AnalysisException:
+    """Last row per station before batch ``epoch``, without stations silent for ``forget_s``.
+
+    Only the first batch holds nothing; a later one whose slot cannot be read fails.
+    """
+    if epoch == 0:
         return spark.createDataFrame([], HELD)
+    rows = spark.read.parquet(_slot(path, epoch - 1))
     newest = rows.select(F.max(TS)).scalar()
     return rows.filter(F.col(TS) >= newest - span(forget_s))
 
@@ -43,7 +44,7 @@ def batch_deltas(rows: DataFrame, held: DataFrame, max_rows: int | None = None)
     """Deltas of one batch against itself and the held rows.
 
     Rows at or before a station's held snapshot came too late to form a delta and are
-    left out.
+    left out; ``late_rows`` returns them.
     """
     before = held.select(KEY, F.struct(TS, TIE, "level").alias("_held"))
     later = F.col("_held").isNull() | (F.struct(TS, TIE) > F.struct("_held." + TS, "_held." + TIE))
@@ -59,10 +60,16 @@ def batch_deltas(rows: DataFrame, held: DataFrame, max_rows: int | None = None)
     )
 
 
+def late_rows(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """The rows of one batch that ``batch_deltas`` leaves out."""
+    before = held.select(KEY, F.struct(TS, TIE).alias("_held"))
+    return rows.join(before, KEY).filter(F.struct(TS, TIE) <= F.col("_held")).drop("_held")
+
+
 def departure_writer(
     sink: str, state: str, cap: int = 8, forget_s: float = 7 * 86400, max_rows: int | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: departures to ``sink``, held levels to ``state``."""
+    """The ``foreachBatch`` function: departures to ``sink``, held levels and late rows to ``state``."""
 
     def run(batch: DataFrame, epoch: int) -> None:
         rows = batch.select(KEY, TS, TIE, F.col(LEVEL).alias("level")).persist()
@@ -72,6 +79,7 @@ def departure_writer(
             left.select(KEY, TS, TIE, F.least(-F.col("delta"), F.lit(cap)).alias("n")).write.mode(
                 "overwrite"
             ).parquet(f"{sink}/batch={epoch}")
+            late_rows(rows, held).write.mode("overwrite").parquet(f"{state}/late/batch={epoch}")
             last = F.max(F.struct(TS, TIE, "level")).alias("_r")
             known = rows.unionByName(held).groupBy(KEY).agg(last).select(KEY, "_r.*")
             known.write.mode("overwrite").parquet(_slot(state, epoch))
@@ -104,6 +112,11 @@ def stream_departures(
     )
 
 
+def read_late(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows that arrived at or before their station's held snapshot and formed no delta, with their ``batch``."""
+    return spark.read.parquet(f"{checkpoint}/held-levels/late")
+
+
 def read_departures(spark: SparkSession, sink: str) -> DataFrame:
     """All departures written so far."""
     return spark.read.parquet(sink).drop("batch")

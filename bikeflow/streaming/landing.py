@@ -22,7 +22,13 @@ from bikeflow.operators.dimension import (
     upsert_stations,
 )
 from bikeflow.sources.feeds import parse_status
+from bikeflow.sources.schemas import STATUS_COUNTS, STATUS_FLAGS
 
+FACTS = ", ".join(
+    ["station_key bigint", "polled_at timestamp", "last_reported timestamp"]
+    + [f"{c} int" for c in STATUS_COUNTS] + [f"{c} boolean" for c in STATUS_FLAGS] + ["day date", "batch int"]
+)
+FILES_PER_DAY = 8  # that a batch writes at most; a hot station's rows of one day are one file
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
 
@@ -76,15 +82,19 @@ def read_landing(spark: SparkSession, sink: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class SyncTarget:
-    """Folder of the dimension's change log and of the facts, both keyed by batch."""
+    """Folder of the dimension's change log and of the facts, both keyed by batch; facts lie by day first."""
 
     spark: SparkSession
     path: str
 
-    def _read(self, name: str, before: int | None) -> DataFrame | None:
+    def _read(self, name: str, before: int | None, schema: str | None = None) -> DataFrame | None:
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
         try:
-            rows = self.spark.read.parquet(f"{self.path}/{name}")
-        except AnalysisException:
+            rows = reader.parquet(f"{self.path}/{name}")
+        except AnalysisException as e:
+            # Only before the first batch is there no table; any other failure must not look like an empty one.
+            if before or e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         return rows if before is None else rows.filter(F.col("batch") < before)
 
@@ -101,7 +111,8 @@ class SyncTarget:
         return newest.select("_r.station_key", "station_id", *[F.col("_r." + c) for c in columns[1:]])
 
     def facts(self, before: int | None = None) -> DataFrame | None:
-        return self._read("status", before)
+        """The facts with their ``day`` and ``batch``; a filter on ``day`` reads only those days."""
+        return self._read("status", before, FACTS)
 
     def unmatched(self, before: int | None = None) -> DataFrame | None:
         """Landing rows that no station was known for when they arrived."""
@@ -110,6 +121,18 @@ class SyncTarget:
     def write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
 
+    def write_facts(self, df: DataFrame, batch: int) -> None:
+        """Replace the batch's own part of each day that it touches."""
+        (
+            df.withColumn("day", F.to_date("polled_at"))
+            .withColumn("batch", F.lit(batch))
+            .repartition("day", F.pmod(F.xxhash64("station_key"), F.lit(FILES_PER_DAY)))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch")
+            .parquet(f"{self.path}/status")
+        )
+
 
 def sync_micro_batch(
     target: SyncTarget, station_list: Callable[[], DataFrame]
@@ -133,10 +156,10 @@ def sync_micro_batch(
             keyed = incremental_load(landing.select("polled_at").limit(0), landing, dim)
             earlier = target.facts(epoch)
             if earlier is not None:
-                span = landing.agg(F.min("polled_at").alias("a"), F.max("polled_at").alias("b")).first()
-                there = earlier.filter(F.col("polled_at").between(F.lit(span.a), F.lit(span.b)))
+                days = [r.day for r in landing.select(F.to_date("polled_at").alias("day")).distinct().collect()]
+                there = earlier.filter(F.col("day").isin(days))  # one row per day of the batch
                 keyed = keyed.join(there.select("station_key", "polled_at"), ["station_key", "polled_at"], "left_anti")
-            target.write(keyed, "status", epoch)
+            target.write_facts(keyed, epoch)
             left = unmatched_landing(landing.select("polled_at").limit(0), landing, dim)
             if waiting is not None:  # what already waits is not written twice
                 left = left.join(waiting.select("station_id", "polled_at"), ["station_id", "polled_at"], "left_anti")
@@ -160,30 +183,26 @@ def stream_sync(
 
 
 def stream_poll_totals(
-    status: DataFrame, sink: str, checkpoint: str, late_after: str = "1 day", trigger: dict = ONCE
+    status: DataFrame, sink: str, checkpoint: str, trigger: dict = ONCE
 ) -> StreamingQuery:
-    """Running station, bike and dock totals per poll; updated polls are written per batch."""
-    totals = (
-        status.withWatermark("polled_at", late_after)
-        .groupBy("polled_at")
-        .agg(
+    """Station, bike and dock totals per poll, as partial totals of each batch.
+
+    Totals add up, so the stream keeps no state and needs no watermark: a row counts however late it is.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        totals = batch.groupBy("polled_at").agg(
             F.count(F.lit(1)).alias("stations"),
             F.sum("num_bikes_available").alias("bikes"),
             F.sum("num_ebikes_available").alias("ebikes"),
             F.sum("num_docks_available").alias("docks"),
         )
-    )
+        totals.write.mode("overwrite").parquet(f"{sink}/batch={epoch}")
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={epoch}")
-
-    return _start(totals.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
+    return _start(status.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 def read_poll_totals(spark: SparkSession, sink: str) -> DataFrame:
-    """Newest totals per poll."""
+    """Totals per poll over all batches."""
     columns = ["stations", "bikes", "ebikes", "docks"]
-    newest = spark.read.parquet(sink).groupBy("polled_at").agg(
-        F.max_by(F.struct(*columns), "batch").alias("_r")
-    )
-    return newest.select("polled_at", "_r.*")
+    return spark.read.parquet(sink).groupBy("polled_at").agg(*[F.sum(c).alias(c) for c in columns])

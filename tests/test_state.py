@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bikeflow.functions import clock, numbers
+from bikeflow.functions.numbers import ratio
 from bikeflow.operators import aggregates, dimension, latest, quality
 from bikeflow.sources import archive, feeds, geojson
 
@@ -252,3 +253,27 @@ def test_equal_versions_do_not_depend_on_the_order_of_rows(spark):
     for some in (changes, changes[::-1]):
         frame = spark.createDataFrame(some, "station_key bigint, name string, ver bigint, op string")
         assert [tuple(r) for r in dimension.apply_cdc(base, frame).collect()] == [(2, "y")]
+
+
+ARCHIVE = "started_at,ride_id,ended_at,end_lat,start_station_id,end_station_id,start_lat,start_lng,end_lng,member_casual"
+
+
+def test_trip_archive_is_read_by_name(spark, tmp_path, rows):
+    line = "2024-01-01 08:00:00,r1,2024-01-01 08:05:30.250,40.5,S1,S2,40.7,-74.0,-73.9,member"
+    for i in (1, 2):
+        (tmp_path / f"{i}.csv").write_text(f"{ARCHIVE}\n{line}\n,r2,never,,,,,x,,casual\n")
+    trips = archive.read_trip_csv(spark, str(tmp_path))
+    whole = trips.filter("member_casual = 'member'")
+    assert rows(whole, "start_station_id", "start_lat", "end_lat", "end_lng") == [("S1", 40.7, 40.5, -73.9)] * 2
+    assert trips.count() == 4 and trips.filter("ended_at is null and start_lng is null").count() == 2
+
+
+def test_trip_archive_without_a_column_raises(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(ARCHIVE.replace(",member_casual", "") + "\n")
+    with pytest.raises(ValueError, match="member_casual"):
+        archive.read_trip_csv(spark, str(tmp_path))
+
+
+def test_ratio_of_large_sums(spark):
+    big = spark.range(1).select(ratio(F.lit(6 * 10**13), F.lit(86400), 0, scale=86400).alias("r"))
+    assert big.first()["r"] == 6e13

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from bikeflow.operators import events
@@ -134,6 +135,30 @@ def test_late_row_makes_no_negative_gap(spark, status_files, tmp_path, rows):
         run(departures.stream_departures(status_files.stream(), sink, state))
     # The row for 60 s arrives after 120 s was seen; 180 s still compares with 120 s.
     assert rows(departures.read_departures(spark, sink), "status_id", "n") == [(2, 3), (4, 1)]
+    assert rows(departures.read_late(spark, state), "status_id", "batch") == [(3, 1)]
+
+
+def test_a_lost_slot_of_held_levels_is_an_error(spark, status_rows, tmp_path):
+    write = departures.departure_writer(str(tmp_path / "left"), str(tmp_path / "held"))
+    with pytest.raises(AnalysisException):
+        write(status_rows([(1, 1, 0, 9)]), 1)
+
+
+def test_facts_lie_by_day_and_empty_batches_are_no_error(spark, folder, tmp_path, rows):
+    listed = json.dumps({"data": {"stations": [{"station_id": "a", "name": "a", "lat": 40.0, "lon": -73.0}]}})
+    target = landing.SyncTarget(spark, str(tmp_path / "sync"))
+    stations = lambda: feeds.parse_stations(spark.createDataFrame([(listed,)], "json string"))
+    for i, (second, station) in enumerate([(0, "x"), (86400, "a"), (0, "a"), (86400, "a")]):
+        folder(str(i), document(second, [(station, 5 + i)]))
+        docs = landing.read_documents(spark, folder.path)
+        run(landing.stream_sync(docs, stations, target, str(tmp_path / "state"), landing.ONCE))
+    assert rows(target.facts(), "num_bikes_available", "batch") == [(6, 1), (7, 2)]
+    assert sorted(p.name for p in (tmp_path / "sync" / "status").glob("day=*")) == ["day=2024-01-01", "day=2024-01-02"]
+    one = target.facts().filter("day = date'2024-01-01'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and one.count() == 1
+    with pytest.raises(AnalysisException):
+        landing.SyncTarget(spark, str(tmp_path / "nowhere")).stations(3)
 
 
 def test_a_silent_station_starts_anew(spark, status_files, tmp_path, rows):

@@ -78,7 +78,6 @@ def test_key_numbers_continue_after_start(spark, rows):
     [
         lambda s, m: events.snapshot_deltas(s, max_rows=m),
         lambda s, m: events.hourly_flows(s, max_gap=5000, max_rows=m),
-        lambda s, m: events.delta_by_level(s, n=2000, max_rows=m),
         lambda s, m: events.flow_balance(s, max_rows=m),
         lambda s, m: events.departures(s, "2024-01-01 10:00:00", 3600, max_rows=m),
         lambda s, m: quality.poll_gaps(s, 100, max_rows=m),
