@@ -614,7 +614,7 @@ def service_areas(spark, d):
 def service_area_features(spark, d):
     areas = reg.service_areas(views.stations(spark, d), n=None, drop_empty=True)
     return geojson.to_feature_collection(
-        areas, geojson.polygon_geometry(F.col("ring")), ["name", "capacity", "service_km2"], ["station_key"]
+        areas, geojson.polygon_geometry(F.col("ring")), ["name", "capacity", F.col("service_km2").alias("km2")], ["station_key"]
     )
 
 
