@@ -105,8 +105,8 @@ def train(
     """A model of the languages in ``lang_col``.
 
     It learns from about ``docs_per_language`` documents of each, drawn by a hash of the id from all rows that are
-    labelled, have a text and are not ``held_out``. Their four-byte grams are counted in the tasks; the
-    ``grams_per_language`` most frequent ones of each reach the driver. Both bounds hold at any size of the input.
+    labelled, have a text and are not ``held_out``. Their four-byte grams are counted in the tasks; the most frequent
+    ones over all languages, ``grams_per_language`` times their number, reach the driver. Both bounds hold at any size of the input.
     """
     usable = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
