@@ -188,6 +188,15 @@ def trip_archive(spark, d):
     )
 
 
+@query
+def document_summary(spark, d):
+    """Status documents, every seventh hour's cut off in the middle."""
+    docs = views.status_docs(spark, d)
+    hour = F.call_function("div", F.get_json_object("json", "$.last_updated").cast("bigint"), F.lit(3600))
+    half = F.substring("json", F.lit(1), F.length("json") - 2)
+    return feeds.document_summary(docs.select(F.when(hour % 7 == 0, half).otherwise(F.col("json")).alias("json")))
+
+
 @query
 def landing_summary(spark, d):
     return dimn.landing_summary(feeds.parse_status(views.status_docs(spark, d)))
@@ -292,6 +301,19 @@ def stranding_pressure(spark, d):
     return agg.pressure(views.status(spark, d), views.stations(spark, d))
 
 
+@query
+def pressure_features(spark, d):
+    """The map of empty and full stations as GeoJSON, read back to rows."""
+    made = geojson.to_feature_collection(
+        agg.pressure(views.status(spark, d), views.stations(spark, d)),
+        geojson.point_geometry(F.col("lon"), F.col("lat")),
+        ["name", "observations", "pct_no_bikes", "pct_no_docks", "net"], ["station_key"],
+    )
+    at = F.col("f.geometry.coordinates")
+    props = "name:string,observations:bigint,pct_no_bikes:double,pct_no_docks:double,net:double"
+    return _features(made, "array<double>", props).select("f.properties.*", at[0].alias("lon"), at[1].alias("lat"))
+
+
 @query
 def trip_hours(spark, d):
     return agg.trip_hours(views.trips(spark, d))
@@ -582,7 +604,8 @@ def agg_by_keys(spark, d):
 
 @query
 def convex_hull(spark, d):
-    return reg.convex_hull(views.stations(spark, d)).select(F.inline("ring"))
+    """The hull as numbered corners."""
+    return reg.convex_hull(views.stations(spark, d)).select(F.posexplode("ring").alias("i", "p")).select("i", "p.*")
 
 
 @query
@@ -612,10 +635,13 @@ def service_areas(spark, d):
 
 @query
 def service_area_features(spark, d):
+    """The map of service areas as GeoJSON, read back to rows."""
     areas = reg.service_areas(views.stations(spark, d), n=None, drop_empty=True)
-    return geojson.to_feature_collection(
+    made = geojson.to_feature_collection(
         areas, geojson.polygon_geometry(F.col("ring")), ["name", "capacity", F.col("service_km2").alias("km2")], ["station_key"]
     )
+    props = "name:string,capacity:int,km2:double"
+    return _features(made, "array<array<array<double>>>", props).select("f.properties.*")
 
 
 @query
@@ -699,37 +725,23 @@ def expected_od(spark, d):
 
 @query
 def trip_attributes(spark, d):
-    """Attributes for every trip row, drawn by its stations and start."""
-    trips = views.trips(spark, d).select("started_at", "start_station_key", "end_station_key", "meters")
-    key = ["start_station_key", "end_station_key", "second", "meters"]
-    keyed = trips.withColumn("second", F.unix_seconds("started_at")).withColumn(
-        "meters", F.col("meters").cast("bigint")
-    )
-    return alloc.trip_attributes(keyed, key).groupBy("rideable_type", "member_casual").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum("duration_s").alias("seconds")
-    )
+    return alloc.trip_attributes(views.trips(spark, d))
 
 
 @query
 def observed_trips(spark, d):
-    pool = alloc.decay_pool(views.stations(spark, d))
-    trips = alloc.observed_trips(views.status(spark, d), pool, since=SINCE, lookback_s=LOOKBACK_S)
-    return trips.withColumn("meters", half_up(F.col("meters"), 3))
-
-
-def _days(spark, d):
-    return views.trips(spark, d).select(F.to_date("started_at").alias("day")).distinct()
+    return alloc.observed_trips(views.status(spark, d), views.trips(spark, d))
 
 
 @query
 def hour_profile(spark, d):
-    shares = alloc.hour_profile(_days(spark, d)).withColumn("share", half_up(F.col("share"), 9))
-    return shares.withColumn("day", F.col("day").cast("string"))
+    return alloc.hour_profile(views.trips(spark, d)).withColumn("share", half_up(F.col("share"), 9))
 
 
 @query
 def apportion(spark, d):
-    return alloc.apportion(_days(spark, d)).withColumn("day", F.col("day").cast("string"))
+    hours = alloc.apportion(views.trips(spark, d)).withColumn("expected", half_up(F.col("expected"), 6))
+    return hours.withColumn("day", F.col("day").cast("string"))
 
 
 @query

@@ -1,21 +1,20 @@
-"""Weighted choice and time profiles: from departures to apportioned trips."""
+"""Weighted choice, and measured profiles of trips by time, bike and rider."""
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bikeflow.functions.clock import iso_weekday, local_to_utc
-from bikeflow.functions.numbers import unit_draw
-from bikeflow.operators.events import departures, explode_count, thin
+from bikeflow.functions.clock import instant, iso_weekday, local_to_utc, utc_to_local
+from bikeflow.functions.numbers import half_up, ratio
+from bikeflow.operators.events import departures
 from bikeflow.operators.proximity import knn_join
 from bikeflow.plans.segments import running_sum
-from bikeflow.sources.schemas import TripParams
+from bikeflow.plans.skew import hot_keys
 
-MAX_SLICES = 65536
+SLICE_ROWS = 1_000_000    # rows of one key that a join group takes before its slices are made finer
 
 
 def decay_pool(
@@ -67,24 +66,41 @@ def bucket_join(
     """Rows of ``df`` with the bucket whose ``[w_lo, w_hi)`` holds their ``draw``.
 
     ``key`` names the matching key columns (left, right). The unit interval is cut
-    into slices and the slice joins along with the key: a row meets a few buckets
-    instead of all, and a hot key's rows spread over as many join groups as slices.
+    into slices and the slice joins along with the key, so a row meets a few buckets
+    instead of all. Without a key there is a slice for every four buckets; with one,
+    a key gets a slice for every ``SLICE_ROWS`` of its rows, so that a hot key spreads
+    over as many join groups as its rows ask for. The table of hot keys is broadcast:
+    it has at most one row per ``SLICE_ROWS`` rows.
     """
-    if slices is None:
-        slices = 16 if key else min(max(buckets.count() // 4, 1), MAX_SLICES)
-    first = F.floor(F.col("w_lo") * slices)
-    last = F.least(F.floor(F.col("w_hi") * slices), F.lit(slices - 1))
-    cut = buckets.filter(F.col("w_hi") > F.col("w_lo")).withColumn(
-        "_slice", F.explode(F.sequence(first, last))
-    )
-    rows = df.withColumn("_slice", F.floor(F.col(draw) * slices))
-    on = rows["_slice"] == cut["_slice"]
+    wide = buckets.filter(F.col("w_hi") > F.col("w_lo"))
+    whole = F.lit(1).cast("bigint")
+    rows = df
+    if slices is not None:
+        rows, wide = (x.withColumn("_slices", F.lit(slices).cast("bigint")) for x in (rows, wide))
+    elif key is None:
+        fine = F.greatest(F.ceil(buckets.select(F.count(F.lit(1)) / 4).scalar()), whole)
+        rows, wide = rows.withColumn("_slices", fine), wide.withColumn("_slices", fine)
+    else:
+        hot = hot_keys(df, [key[0]], SLICE_ROWS).select(F.col(key[0]).alias("_hot"), "_groups")
+
+        def sliced(x: DataFrame, name: str) -> DataFrame:
+            met = x.join(F.broadcast(hot), F.col(name) == F.col("_hot"), "left")
+            return met.select(*x.columns, F.coalesce("_groups", whole).alias("_slices"))
+
+        rows, wide = sliced(rows, key[0]), sliced(wide, key[1])
+
+    def slice_of(u: str) -> Column:
+        return F.least(F.floor(F.col(u) * F.col("_slices")), F.col("_slices") - 1)
+
+    cut = wide.withColumn("_slice", F.explode(F.sequence(slice_of("w_lo"), slice_of("w_hi")))).drop("_slices")
+    rows = rows.withColumn("_slice", slice_of(draw)).drop("_slices")
+    on = F.col("l._slice") == F.col("r._slice")
     if key:
-        on = on & (rows[key[0]] == cut[key[1]])
-    inside = (rows[draw] >= cut["w_lo"]) & (rows[draw] < cut["w_hi"])
+        on = on & (F.col(f"l.{key[0]}") == F.col(f"r.{key[1]}"))
+    inside = (F.col(f"l.{draw}") >= F.col("r.w_lo")) & (F.col(f"l.{draw}") < F.col("r.w_hi"))
     taken = [c for c in buckets.columns if c not in df.columns]
-    return rows.join(cut, on & inside).select(
-        *[rows[c] for c in df.columns], *[cut[c] for c in taken]
+    return rows.alias("l").join(cut.alias("r"), on & inside).select(
+        *[F.col(f"l.{c}") for c in df.columns], *[F.col(f"r.{c}") for c in taken]
     )
 
 
@@ -97,81 +113,80 @@ def expected_od(left: DataFrame, pool: DataFrame) -> DataFrame:
     )
 
 
-def trip_attributes(df: DataFrame, key: list[str], params: TripParams = TripParams()) -> DataFrame:
-    """Add bike type, rider type and duration, drawn deterministically per ``key``."""
-    electric = unit_draw(F.lit("type"), *key) < params.electric_share
-    speed = F.when(electric, params.speed_electric).otherwise(params.speed_classic)
-    pace = speed * (F.lit(0.7) + F.lit(0.6) * unit_draw(F.lit("speed"), *key))
-    riding = F.rint(F.lit(float(params.overhead_s)) + F.col("meters") / pace).cast("int")
-    member = unit_draw(F.lit("member"), *key) < params.member_share
-    return (
-        df.withColumn("rideable_type", F.when(electric, "electric_bike").otherwise("classic_bike"))
-        .withColumn("duration_s", F.greatest(F.lit(60), riding))
-        .withColumn("member_casual", F.when(member, "member").otherwise("casual"))
+def trip_attributes(trips: DataFrame) -> DataFrame:
+    """Rides by bike and rider type as measured: count, total and mean time, metres per second."""
+    seconds, metres = F.sum("duration_s"), F.sum("meters")
+    return trips.groupBy("rideable_type", "member_casual").agg(
+        F.count(F.lit(1)).alias("trips"),
+        seconds.cast("bigint").alias("seconds"),
+        half_up(F.avg("duration_s")).alias("avg_seconds"),
+        half_up(metres.cast("double") / F.nullif(seconds, F.lit(0).cast("bigint")), 3).alias("metres_per_second"),
     )
 
 
 def observed_trips(
     status: DataFrame,
-    pool: DataFrame,
-    params: TripParams = TripParams(),
+    trips: DataFrame,
     since: Column | dt.datetime | str | None = None,
     lookback_s: float = 120,
     max_rows: int | None = None,
 ) -> DataFrame:
-    """Trips derived from dock levels: one row per kept departing bike, ``source`` observed."""
-    left = departures(status, since, lookback_s, params.max_departures_per_minute, max_rows)
-    key = ["status_id", "unit"]
-    bikes = thin(explode_count(left), key, params.observed_scale).withColumn(
-        "r_dest", unit_draw(F.lit("dest"), *key)
+    """Bikes that dock levels saw leave a station, beside the trips recorded from there, after ``since``.
+
+    Both sides shrink to one row per station before they meet.
+    """
+    gone = departures(status, since, lookback_s, max_rows=max_rows).groupBy("station_key").agg(
+        F.sum("n").alias("departures")
     )
-    trips = trip_attributes(
-        bucket_join(bikes, "r_dest", pool, ("station_key", "start_station_key")), key, params
+    started = trips if since is None else trips.filter(F.col("started_at") > instant(since))
+    counted = started.groupBy(F.col("start_station_key").alias("station_key")).agg(
+        F.count(F.lit(1)).alias("trips")
     )
-    back = F.floor(unit_draw(F.lit("start"), *key) * 60_000_000)
-    started = F.unix_micros("polled_at") - back
-    return trips.select(
-        "status_id", "unit",
-        F.timestamp_micros(started).alias("started_at"),
-        F.timestamp_micros(started + F.col("duration_s").cast("bigint") * 1_000_000).alias("ended_at"),
-        F.col("station_key").alias("start_station_key"), "end_station_key",
-        "duration_s", "meters", "rideable_type", "member_casual",
-        F.lit("observed").alias("source"),
+    none = F.lit(0).cast("bigint")
+    both = gone.join(counted, "station_key", "full").select(
+        "station_key", F.coalesce("departures", none).alias("departures"), F.coalesce("trips", none).alias("trips")
     )
+    return both.withColumn("trips_per_departure", ratio(F.col("trips"), F.col("departures"), 3))
 
 
-def _hump(hour: Column, height: float, centre: float, width: float) -> Column:
-    return F.lit(height) * F.exp(-F.pow(hour - F.lit(centre), F.lit(2.0)) / F.lit(width))
+def _local_hours(trips: DataFrame, tz: str) -> DataFrame:
+    """Trips per local ``day`` and hour ``h``: everything below is computed from these few rows."""
+    local = utc_to_local(F.col("started_at"), tz)
+    placed = trips.filter(F.col("started_at").isNotNull())
+    return placed.groupBy(F.to_date(local).alias("day"), F.hour(local).alias("h")).agg(
+        F.count(F.lit(1)).alias("n")
+    ).withColumn("weekend", iso_weekday(F.col("day")) >= 6)
 
 
-def hour_weight(weekday: Column, hour: Column) -> Column:
-    """Weight of a local hour (fixed peak heights, centres and widths)."""
-    working = (
-        F.lit(0.2) + _hump(hour, 2.4, 8.3, 4.0) + _hump(hour, 3.0, 17.8, 5.0) + _hump(hour, 0.5, 12.5, 8.0)
-    )
-    weekend = F.lit(0.2) + _hump(hour, 2.2, 14.5, 22.0)
-    return F.when(weekday < 6, working).otherwise(weekend)
+def _shares(hours: DataFrame) -> DataFrame:
+    grid = hours.select("weekend").distinct().withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    counted = hours.groupBy("weekend", "h").agg(F.sum("n").alias("n"))
+    dense = grid.join(counted, ["weekend", "h"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    return dense.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("weekend")))
 
 
-def hour_profile(days: DataFrame) -> DataFrame:
-    """Share of each local hour in its ``day``; the 24 shares of a day add up to 1."""
-    grid = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
-    weighted = grid.withColumn("w", hour_weight(iso_weekday(F.col("day")), F.col("h").cast("double")))
-    return weighted.select(
-        "day", "h", (F.col("w") / F.sum("w").over(Window.partitionBy("day"))).alias("share")
-    )
+def hour_profile(trips: DataFrame, tz: str = "America/New_York") -> DataFrame:
+    """Measured share of each local hour in the trips of working days and of weekends."""
+    return _shares(_local_hours(trips, tz)).select("weekend", "h", F.col("n").alias("trips"), "share")
 
 
-def apportion(days: DataFrame, per_day: int = 120000, tz: str = "America/New_York") -> DataFrame:
-    """Trips per local hour of each day, with season and weekday factors, and the UTC hour start."""
-    weekday = iso_weekday(F.col("day"))
-    season = F.lit(0.55) + F.lit(0.45) * F.sin(
-        (F.dayofyear("day") - 100) / F.lit(365.0) * F.lit(2 * math.pi)
-    )
-    factor = F.when(weekday < 6, 1.0).otherwise(0.82)
+def apportion(trips: DataFrame, tz: str = "America/New_York") -> DataFrame:
+    """Expected and counted trips per local hour of each day with trips, and the UTC hour start.
+
+    Expected is the mean day times the measured factors of the day of the year and of
+    working days or weekends, times the measured share of the hour.
+    """
+    hours = _local_hours(trips, tz)
+    days = hours.groupBy("day", "weekend").agg(F.sum("n").alias("of_day")).withColumn("doy", F.dayofyear("day"))
+    mean = days.select(F.avg("of_day")).scalar()
+    season = days.groupBy("doy").agg((F.avg("of_day") / mean).alias("season"))
+    week = days.groupBy("weekend").agg((F.avg("of_day") / mean).alias("week"))
+    shares = _shares(hours).select("weekend", "h", "share")
     local = F.timestamp_seconds(F.unix_date("day").cast("bigint") * 86400 + F.col("h") * 3600)
-    return hour_profile(days).select(
+    grid = days.join(season, "doy").join(week, "weekend").join(shares, "weekend")
+    return grid.join(hours.select("day", "h", "n"), ["day", "h"], "left").select(
         "day", "h",
-        F.rint(F.col("share") * F.lit(float(per_day)) * season * factor).cast("int").alias("n"),
+        (mean * F.col("season") * F.col("week") * F.col("share")).alias("expected"),
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("trips"),
         local_to_utc(local, tz).alias("starts_at"),
     )

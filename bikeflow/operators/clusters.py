@@ -18,6 +18,7 @@ from bikeflow.functions.geo import web_mercator
 from bikeflow.functions.metrics import Box, Planar
 from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut, spread
+from bikeflow.plans.skew import grouped, split_join
 
 PAIR_LIMIT = 16384     # box pairs with at most this many point pairs are compared directly
 BAND = 1 << 31
@@ -160,7 +161,8 @@ def dbscan(
     cells = spots.groupBy("gid").agg(F.sum("w").alias("cell_w"), F.count(F.lit(1)).alias("cell_m"))
     biggest = cells.agg(F.max("cell_m")).first()[0] or 0
     large = biggest * biggest > PAIR_LIMIT
-    sized = spots.join(cells.select("gid", "cell_w"), "gid")
+    many = grouped(cells.select("gid", F.col("cell_m").alias("_n")), ["gid"])
+    sized = split_join(spots, cells.select("gid", "cell_w"), ["gid"], many)
     dense = sized.filter(F.col("cell_w") >= minpts).drop("cell_w")
     sparse = cut(sized.filter(F.col("cell_w") < minpts))
 
@@ -215,9 +217,9 @@ def dbscan(
         .select(F.col("l_gid").alias("loc"), "label")
     )
     attached = same.unionByName(beside).groupBy("loc").agg(F.min("label").alias("label"))
-    clustered = cores.join(cell_label, "gid").select("loc", "label").unionByName(attached)
+    clustered = split_join(cores, cell_label, ["gid"]).select("loc", "label").unionByName(attached)
     by_spot = spots.select("x", "y", "loc").join(clustered, "loc", "left").select("x", "y", "label")
-    return placed.join(by_spot, ["x", "y"]).select("station_key", F.col("label").alias("cluster"))
+    return split_join(placed, by_spot, ["x", "y"]).select("station_key", F.col("label").alias("cluster"))
 
 
 def cluster_sizes(clusters: DataFrame, n: int = 10) -> DataFrame:

@@ -9,6 +9,7 @@ from bikeflow.functions.geo import EARTH_RADIUS_M, degree_box, distance_m, insid
 from bikeflow.functions.metrics import METRICS, Planar
 from bikeflow.functions.numbers import half_up, ratio
 from bikeflow.plans.runtime import spread
+from bikeflow.plans.skew import split_join
 from bikeflow.plans.tiles import Tiling, boxes_to_tiles, candidates, tile_points
 
 POINT_TILE = 64
@@ -93,7 +94,7 @@ def knn_join(
     mine = _placed(stations).select("station_key", F.col("lon").alias("qx"), F.col("lat").alias("qy"))
     others = F.slice(F.filter("near", lambda e: e["key"] != F.col("station_key")), 1, k)
     return (
-        mine.join(nearest, ["qx", "qy"])
+        split_join(mine, nearest, ["qx", "qy"])
         .select("station_key", "qx", "qy", F.posexplode(others).alias("pos", "e"))
         .select(
             "station_key",

@@ -210,6 +210,11 @@ ORACLES["trip_archive"] = with_views(
 FROM trips LEFT JOIN stations s ON s.station_key = end_station_key
   LEFT JOIN stations o ON o.station_key = start_station_key GROUP BY 1""",
 )
+ORACLES["document_summary"] = with_views(
+    "status",
+    """SELECT count(*) AS documents, count(*) FILTER (epoch(hour) // 3600 % 7 = 0) AS unreadable
+FROM (SELECT DISTINCT date_trunc('hour', polled_at) AS hour, status_id // 256 FROM status)""",
+)
 ORACLES["landing_summary"] = with_views(
     "landing",
     """SELECT count(*) AS status_rows, count(DISTINCT polled_at) AS snapshots,
@@ -325,6 +330,12 @@ ORACLES["out_of_service"] = with_views(
 FROM status GROUP BY 1 ORDER BY 1 DESC LIMIT 24""",
 )
 _NET = ratio("count(*) FILTER (WHERE docks = 0) - count(*) FILTER (WHERE bikes = 0)", "count(*)", 1, 100)
+ORACLES["pressure_features"] = with_views(
+    "status stations",
+    f"""SELECT name, lon, lat, observations, pct_no_bikes, pct_no_docks, net FROM (
+  SELECT station_key, count(*) AS observations, {_NO_BIKES} AS pct_no_bikes, {_NO_DOCKS} AS pct_no_docks,
+         {_NET} AS net FROM status GROUP BY station_key) JOIN stations USING (station_key)""",
+)
 ORACLES["stranding_pressure"] = with_views(
     "status stations",
     f"""SELECT station_key, name, lon, lat, observations, pct_no_bikes, pct_no_docks, net FROM (
@@ -630,7 +641,7 @@ loop AS (SELECT lon, lat, coalesce(lead(lon) OVER (ORDER BY i), first(lon) OVER
                 coalesce(lead(lat) OVER (ORDER BY i), first(lat) OVER (ORDER BY i)) AS lat2 FROM hull)"""
 _SPHERE_TERM = "radians(lon2 - lon) * (2 + sin(radians(lat)) + sin(radians(lat2)))"
 _SPHERE_AREA = f"(abs(sum({_SPHERE_TERM})) * ({RADIUS_M} * {RADIUS_M} / 2 / 1e6))"
-ORACLES["convex_hull"] = with_views("stations", f", {HULL} SELECT lon, lat FROM hull", recursive=True)
+ORACLES["convex_hull"] = with_views("stations", f", {HULL} SELECT i, lon, lat FROM hull", recursive=True)
 ORACLES["network_density"] = with_views(
     "stations",
     f""", {HULL}, area AS (SELECT {_SPHERE_AREA} AS km2 FROM loop), n AS (SELECT count(*) AS stations FROM stations)
@@ -638,6 +649,45 @@ SELECT {half_up("km2", 2)} AS network_km2, stations, {half_up("stations / km2",
 FROM area, n""",
     recursive=True,
 )
+# Cells as half-planes (a x + b y <= c, seen from the station): the nearest 90 bisectors and the hull.
+# Corners that all of them keep and that no station at all is nearer to are the ring.
+CELLS = f"""{HULL},
+site AS (SELECT lon, lat, row_number() OVER (ORDER BY lon, lat) AS id FROM pts),
+plane AS (
+  SELECT s.id, o.lon - s.lon AS a, o.lat - s.lat AS b, ((o.lon - s.lon) ** 2 + (o.lat - s.lat) ** 2) / 2 AS c
+  FROM site s JOIN site o ON o.id <> s.id
+  QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY (o.lon - s.lon) ** 2 + (o.lat - s.lat) ** 2, o.id) <= 90
+  UNION ALL
+  SELECT id, e.lat2 - e.lat, e.lon - e.lon2,
+         (e.lat2 - e.lat) * (e.lon - s.lon) + (e.lon - e.lon2) * (e.lat - s.lat) FROM site s CROSS JOIN loop e),
+unit AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY a, b) AS l,
+                a / sqrt(a * a + b * b) AS a, b / sqrt(a * a + b * b) AS b, c / sqrt(a * a + b * b) AS c FROM plane),
+crossing AS (
+  SELECT id, p.l AS l, q.l AS m, (p.c * q.b - q.c * p.b) / (p.a * q.b - q.a * p.b) AS x,
+         (p.a * q.c - q.a * p.c) / (p.a * q.b - q.a * p.b) AS y
+  FROM unit p JOIN unit q USING (id) WHERE p.l < q.l AND abs(p.a * q.b - q.a * p.b) > 1e-12),
+kept AS (SELECT id, x, y FROM crossing JOIN unit u USING (id)
+         GROUP BY id, crossing.l, crossing.m, x, y HAVING max(u.a * x + u.b * y - u.c) <= 1e-12),
+corner AS (SELECT id, s.lon + x AS lon, s.lat + y AS lat FROM kept k JOIN site s USING (id)
+  WHERE NOT EXISTS (SELECT 1 FROM site o
+    WHERE (o.lon - s.lon - x) ** 2 + (o.lat - s.lat - y) ** 2 < x * x + y * y - 1e-12)),
+turned AS (SELECT id, lon, lat, atan2(lat - avg(lat) OVER (PARTITION BY id), lon - avg(lon) OVER (PARTITION BY id)) AS t
+           FROM corner),
+edge AS (SELECT id, lon, lat, coalesce(lead(lon) OVER w, first(lon) OVER w) AS lon2,
+                coalesce(lead(lat) OVER w, first(lat) OVER w) AS lat2
+         FROM turned WINDOW w AS (PARTITION BY id ORDER BY t, lon, lat)),
+cell AS (SELECT id, {_SPHERE_AREA} AS km2 FROM edge GROUP BY id),
+area AS (SELECT station_key, name, capacity, coalesce(km2, 0) AS km2, {half_up("coalesce(km2, 0)", 3)} AS service_km2
+         FROM stations JOIN site USING (lon, lat) LEFT JOIN cell USING (id))"""
+ORACLES["service_areas"] = with_views(
+    "stations",
+    f""", {CELLS} SELECT name, capacity, service_km2 FROM area
+ORDER BY service_km2 DESC NULLS LAST, station_key LIMIT 10""",
+    recursive=True,
+)
+ORACLES["service_area_features"] = with_views(
+    "stations", f", {CELLS} SELECT name, capacity, service_km2 AS km2 FROM area WHERE km2 > 0", recursive=True
+)
 _W = "CAST(0.004 AS DOUBLE)"
 ORACLES["polygon_areas"] = with_views(
     "stations",
@@ -736,61 +786,43 @@ FROM pool JOIN gone USING (start_station_key)""",
 )
 
 
-def attributes(*key: str) -> str:
-    kind, pace, member = (draw(f"'{salt}'", *key) for salt in ("type", "speed", "member"))
-    electric = f"{kind} < CAST(0.55 AS DOUBLE)"
-    speed = f"(CASE WHEN {electric} THEN CAST(4.6 AS DOUBLE) ELSE CAST(3.2 AS DOUBLE) END)"
-    noise = f"(CAST(0.7 AS DOUBLE) + CAST(0.6 AS DOUBLE) * {pace})"
-    return f"""CASE WHEN {electric} THEN 'electric_bike' ELSE 'classic_bike' END AS rideable_type,
-  CASE WHEN {member} < CAST(0.78 AS DOUBLE) THEN 'member' ELSE 'casual' END AS member_casual,
-  CAST(greatest(60, round_even(90 + meters / ({speed} * {noise}), 0)) AS INTEGER) AS duration_s"""
-
-
 ORACLES["trip_attributes"] = with_views(
     "trips",
-    f"""SELECT rideable_type, member_casual, count(*) AS trips, {big("sum(duration_s)")} AS seconds FROM (
-  SELECT {attributes("start_station_key", "end_station_key", "second", "CAST(meters AS BIGINT)")} FROM (
-    SELECT start_station_key, end_station_key, epoch_us(started_at) // 1000000 AS second, meters FROM trips))
-GROUP BY 1, 2""",
+    f"""SELECT rideable_type, member_casual, count(*) AS trips, {big("sum(duration_s)")} AS seconds,
+  {half_up("avg(duration_s)")} AS avg_seconds, {half_up("sum(meters) / sum(duration_s)", 3)} AS metres_per_second
+FROM trips GROUP BY 1, 2""",
 )
 ORACLES["observed_trips"] = with_views(
-    "status stations",
-    f""", {_LEFT}, {POOL}, bikes AS (
-  SELECT station_key, polled_at, status_id, CAST(unnest(range(1, n + 1)) AS INTEGER) AS unit FROM left_dock),
-trip AS (
-  SELECT b.*, end_station_key, meters, {attributes("status_id", "unit")},
-         epoch_us(polled_at) - CAST(floor({draw("'start'", "status_id", "unit")} * 60000000) AS BIGINT) AS started
-  FROM bikes b JOIN pool ON start_station_key = station_key
-    AND {draw("'dest'", "status_id", "unit")} >= w_lo AND {draw("'dest'", "status_id", "unit")} < w_hi
-  WHERE {draw("'keep'", "status_id", "unit")} < CAST(0.55 AS DOUBLE))
-SELECT status_id, unit, make_timestamp(started) AS started_at,
-  make_timestamp(started + CAST(duration_s AS BIGINT) * 1000000) AS ended_at, station_key AS start_station_key, end_station_key,
-  duration_s, {half_up("meters", 3)} AS meters, rideable_type, member_casual, 'observed' AS source
-FROM trip""",
-)
-
-
-def _hump(height: float, centre: float, width: float) -> str:
-    return f"CAST({height} AS DOUBLE) * exp(-pow(h - CAST({centre} AS DOUBLE), 2) / CAST({width} AS DOUBLE))"
-
-
-PROFILE = f"""days AS (SELECT DISTINCT CAST(started_at AS DATE) AS day FROM trips),
-weighted AS (
-  SELECT day, CAST(h AS INTEGER) AS h, CASE WHEN isodow(day) < 6
-    THEN CAST(0.2 AS DOUBLE) + {_hump(2.4, 8.3, 4)} + {_hump(3, 17.8, 5)} + {_hump(0.5, 12.5, 8)}
-    ELSE CAST(0.2 AS DOUBLE) + {_hump(2.2, 14.5, 22)} END AS w
-  FROM days, range(24) t(h)),
-profile AS (SELECT day, h, w / sum(w) OVER (PARTITION BY day) AS share FROM weighted)"""
+    "deltas trips",
+    f""", gone AS (
+  SELECT station_key, {big("sum(least(-delta, 8))")} AS departures FROM deltas WHERE delta < 0 GROUP BY 1),
+counted AS (SELECT start_station_key AS station_key, count(*) AS trips FROM trips GROUP BY 1),
+pair AS (SELECT station_key, coalesce(departures, 0) AS departures, coalesce(trips, 0) AS trips
+         FROM gone FULL JOIN counted USING (station_key))
+SELECT *, {ratio("trips", "departures", 3)} AS trips_per_departure FROM pair""",
+)
+PROFILE = """hours AS (
+  SELECT CAST(t AS DATE) AS day, CAST(hour(t) AS INTEGER) AS h, isodow(t) >= 6 AS weekend, count(*) AS n
+  FROM (SELECT timezone('America/New_York', timezone('UTC', started_at)) AS t FROM trips) GROUP BY 1, 2, 3),
+grid AS (SELECT weekend, CAST(h AS INTEGER) AS h FROM (SELECT DISTINCT weekend FROM hours), range(24) r(h)),
+profile AS (
+  SELECT weekend, h, CAST(coalesce(sum(n), 0) AS BIGINT) AS trips,
+         CAST(coalesce(sum(n), 0) AS DOUBLE) / sum(sum(n)) OVER (PARTITION BY weekend) AS share
+  FROM grid LEFT JOIN hours USING (weekend, h) GROUP BY 1, 2)"""
 ORACLES["hour_profile"] = with_views(
-    "trips", f", {PROFILE} SELECT CAST(day AS VARCHAR) AS day, h, {half_up('share', 9)} AS share FROM profile"
+    "trips", f", {PROFILE} SELECT weekend, h, trips, {half_up('share', 9)} AS share FROM profile"
 )
 ORACLES["apportion"] = with_views(
     "trips",
-    f""", {PROFILE} SELECT CAST(day AS VARCHAR) AS day, h, CAST(round_even(share * 120000
-    * (CAST(0.55 AS DOUBLE) + CAST(0.45 AS DOUBLE) * sin((dayofyear(day) - 100) / CAST(365 AS DOUBLE) * (2 * pi())))
-    * (CASE WHEN isodow(day) < 6 THEN 1 ELSE CAST(0.82 AS DOUBLE) END), 0) AS INTEGER) AS n,
-  timezone('UTC', timezone('America/New_York', CAST(day AS TIMESTAMP) + to_hours(h))) AS starts_at
-FROM profile""",
+    f""", {PROFILE}, days AS (SELECT day, weekend, sum(n) AS of_day FROM hours GROUP BY 1, 2),
+typical AS (SELECT avg(of_day) AS m FROM days),
+season AS (SELECT dayofyear(day) AS doy, avg(of_day) / (SELECT m FROM typical) AS season FROM days GROUP BY 1),
+week AS (SELECT weekend, avg(of_day) / (SELECT m FROM typical) AS week FROM days GROUP BY 1)
+SELECT CAST(day AS VARCHAR) AS day, p.h, {half_up("m * season * week * share", 6)} AS expected,
+  CAST(coalesce(n, 0) AS BIGINT) AS trips,
+  timezone('UTC', timezone('America/New_York', CAST(day AS TIMESTAMP) + to_hours(p.h))) AS starts_at
+FROM days JOIN season ON doy = dayofyear(day) JOIN week USING (weekend) JOIN profile p USING (weekend)
+  CROSS JOIN typical LEFT JOIN (SELECT day, h, n FROM hours) c USING (day, h)""",
 )
 ORACLES["local_instants"] = with_views(
     "trips",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bikeflow.plans.runtime import cut
+from bikeflow.plans.skew import grouped, split_join
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -19,9 +20,10 @@ def _fingerprint(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to the smallest node it knows."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    seen = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
+    low = seen.select("a", F.least("a", "m").alias("m"))
     return (
-        both.join(low, "a")
+        split_join(both, low, ["a"], grouped(seen, ["a"]))
         .filter(F.col("b") > F.col("a"))
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
         .distinct()

@@ -10,6 +10,7 @@ where the cuts fall, never which rows take part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -20,7 +21,6 @@ from pyspark.sql import types as T
 from bikeflow.plans.runtime import parallelism
 
 SEGMENT_ROWS = 1_000_000   # below this a single task is never the bottleneck
-FANOUT = 32                # split points are searched in two steps of this width
 SAMPLES_PER_SEGMENT = 64
 
 SEG = "_seg"
@@ -63,9 +63,7 @@ def add_segments(
     if not hot:
         return plain, False
 
-    wanted = {
-        tuple(h[k] for k in keys): min(-(-h["_n"] // limit), FANOUT * FANOUT) for h in hot
-    }
+    wanted = {tuple(h[k] for k in keys): -(-h["_n"] // limit) for h in hot}
     rows = sum(h["_n"] for h in hot)
     fraction = min(1.0, SAMPLES_PER_SEGMENT * sum(wanted.values()) / rows)
     schema = df.select(*keys, *order).schema
@@ -89,6 +87,7 @@ def add_segments(
         + [
             T.StructField("_heads", T.ArrayType(order_type)),
             T.StructField("_blocks", T.ArrayType(T.ArrayType(order_type))),
+            T.StructField("_width", T.IntegerType()),
         ]
     )
     table = []
@@ -97,8 +96,9 @@ def add_segments(
         n = wanted[key]
         cuts = sorted({len(points) * i // n for i in range(1, n)} - {0})
         chosen = [points[i] for i in cuts]
-        blocks = [chosen[i : i + FANOUT] for i in range(0, len(chosen), FANOUT)]
-        table.append((*key, [b[0] for b in blocks], blocks))
+        width = max(math.isqrt(len(chosen)), 1)
+        blocks = [chosen[i : i + width] for i in range(0, len(chosen), width)]
+        table.append((*key, [b[0] for b in blocks], blocks, width))
     splits = F.broadcast(spark.createDataFrame(table, split_schema))
 
     # Number of split points at or below the row, found block first, then inside the block.
@@ -108,7 +108,7 @@ def add_segments(
     seg = (
         F.when(F.col("_heads").isNull(), F.lit(None))
         .when(block == 0, F.lit(0))
-        .otherwise((block - 1) * F.lit(FANOUT) + inside)
+        .otherwise((block - 1) * F.col("_width") + inside)
     )
     joined = df.join(splits, _same_keys(df, splits, keys, "_s_"), "left")
     return joined.withColumn(SEG, seg).select(*df.columns, SEG), True

@@ -33,6 +33,14 @@ def parse_status(docs: DataFrame) -> DataFrame:
     )
 
 
+def document_summary(docs: DataFrame) -> DataFrame:
+    """Number of status documents and of those that give no list of stations, broken ones included."""
+    stations = F.from_json("json", STATUS_DOCUMENT)["data"]["stations"]
+    return docs.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(stations.isNull()).alias("unreadable")
+    )
+
+
 def parse_stations(docs: DataFrame) -> DataFrame:
     """One row per station of a station list; absent fields become 0 or ''."""
     return dated_stations(docs).drop("last_updated")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import types as T
 
 STATUS_COUNTS = [
@@ -110,19 +108,3 @@ EVENTS = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
-
-
-@dataclass(frozen=True)
-class TripParams:
-    """Calibration of the trip model (fixed default values)."""
-
-    decay_m: float = 1500.0
-    neighbours: int = 60
-    speed_classic: float = 3.2
-    speed_electric: float = 4.6
-    overhead_s: int = 90
-    electric_share: float = 0.55
-    member_share: float = 0.78
-    max_departures_per_minute: int = 8
-    observed_scale: float = 0.55
-    backfill_trips_per_day: int = 120000

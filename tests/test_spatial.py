@@ -13,7 +13,7 @@ from bikeflow.functions import geo, polygons
 from bikeflow.functions.metrics import METRICS
 from bikeflow.operators import allocation, clusters, proximity, regions
 from bikeflow.plans import components as comp
-from bikeflow.plans import tiles
+from bikeflow.plans import segments, skew, tiles
 
 RADIUS = 6371008.8
 
@@ -313,8 +313,68 @@ def test_bucket_join_by_key_keeps_every_draw(spark):
     assert got.filter("k <> key or u < w_lo or u >= w_hi").count() == 0
 
 
-def test_profile_shares_add_up(spark):
-    days = spark.sql("select explode(sequence(date'2024-03-08', date'2024-03-14')) as day")
-    shares = allocation.hour_profile(days).groupBy("day").agg(F.sum("share").alias("s")).collect()
-    assert len(shares) == 7 and all(r["s"] == pytest.approx(1.0) for r in shares)
-    assert allocation.apportion(days).count() == 7 * 24
+def test_bucket_join_splits_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(allocation, "SLICE_ROWS", 50)
+    buckets = spark.createDataFrame(
+        [(k, i, i / 10, (i + 1) / 10) for k in (1, 2) for i in range(10)], "key int, b int, w_lo double, w_hi double"
+    )
+    draws = spark.range(1000).selectExpr("id", "cast(if(id % 300 = 0, 2, 1) as int) as k", "id / 1000 as u").unionByName(
+        spark.sql("select 1000L as id, 1 as k, 0.9999999999999999D as u")
+    )
+    got = allocation.bucket_join(draws, "u", buckets, ("k", "key"))
+    assert sorted(got.columns) == ["b", "id", "k", "key", "u", "w_hi", "w_lo"]
+    assert got.count() == 1001 and got.filter("k <> key or u < w_lo or u >= w_hi").count() == 0
+
+
+def test_split_join_spreads_a_hot_key(spark):
+    some = spark.range(3000).selectExpr("id", "if(id % 3 = 0, id, -1) as k")
+    rows = some.unionByName(spark.sql("select 3000L as id, cast(null as bigint) as k"))
+    side = spark.range(-1, 3000).selectExpr("id as k", "id * 2 as twice")
+    got = skew.split_join(rows, side, ["k"], per_group=100)
+    assert got.columns == ["k", "id", "twice"]
+    assert got.count() == got.select("id").distinct().count() == 3000
+    assert got.filter("twice <> 2 * k").count() == 0
+    hot = skew.hot_keys(rows, ["k"], 100).collect()
+    assert [tuple(r) for r in hot] == [(-1, 20)]
+    group = F.pmod(F.xxhash64("id", "k"), F.lit(20))
+    sizes = [r["count"] for r in rows.filter("k = -1").groupBy(group.alias("g")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 200
+
+
+def test_spatial_joins_with_a_hot_spot_split(station_rows, monkeypatch):
+    rng = random.Random(8)
+    placed = [(k, 0.5, 0.5) if k % 3 == 0 else (k, rng.random(), rng.random()) for k in range(1, 61)]
+    st = station_rows(placed)
+
+    def all_results():
+        near = sorted(tuple(r) for r in proximity.knn_join(st, 3).select("station_key", "rank", "neighbour_key").collect())
+        groups = sorted(tuple(r) for r in clusters.dbscan(st, 0.15, 4, project=plane).collect())
+        areas = {r["station_key"]: r["service_km2"] for r in regions.service_areas(st, n=None).collect()}
+        return near, groups, areas
+
+    whole = all_results()
+    monkeypatch.setattr(skew, "HOT_ROWS", 4)
+    assert all_results() == whole
+
+
+def test_segments_beyond_a_thousand(spark):
+    df = spark.range(6000).selectExpr("id", "0 as k", "1L as v")
+    cut, was_cut = segments.add_segments(df, ["k"], ["id"], max_rows=3)
+    assert was_cut and cut.select("_seg").distinct().count() > 1500
+    out = segments.running_sum(df, ["k"], ["id"], "v", "s", max_rows=3)
+    assert out.filter("s <> id + 1").count() == 0 and out.count() == 6000
+
+
+def test_measured_profiles(spark):
+    # Eastern time is 5 hours behind in January: Friday 12, Saturday 13 and, at 03:30 UTC, still Saturday.
+    times = ["2024-01-12 13:10:00", "2024-01-12 13:50:00", "2024-01-12 23:00:00", "2024-01-13 15:00:00", "2024-01-14 03:30:00"]
+    trips = spark.createDataFrame([(t,) for t in times], "t string").selectExpr("cast(t as timestamp) as started_at")
+    shares = allocation.hour_profile(trips).collect()
+    assert len(shares) == 48 and sum(r["share"] for r in shares) == pytest.approx(2.0)
+    got = {(r["weekend"], r["h"]): r["share"] for r in shares if r["trips"]}
+    assert got == {(False, 8): pytest.approx(2 / 3), (False, 18): pytest.approx(1 / 3), (True, 10): 0.5, (True, 22): 0.5}
+    hours = allocation.apportion(trips).collect()
+    assert len(hours) == 48 and sum(r["trips"] for r in hours) == 5
+    # One day of each kind: season and class both count its size, 3 of 2.5 and 2 of 2.5.
+    want = 2.5 * (3 / 2.5) ** 2 * 2 / 3
+    assert [r["expected"] for r in hours if str(r["day"]) == "2024-01-12" and r["h"] == 8] == [pytest.approx(want)]

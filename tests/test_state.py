@@ -197,21 +197,32 @@ def test_trip_csv(spark, tmp_path):
 
 
 def test_feature_collections(spark, station_rows):
-    def collect(df, per):
-        geometry = geojson.point_geometry(F.col("lon"), F.col("lat"))
-        out = geojson.to_feature_collection(df, geometry, ["name", "capacity"], ["station_key"], per).orderBy("document")
+    geometry = geojson.point_geometry(F.col("lon"), F.col("lat"))
+
+    def collect(df, *by):
+        out = geojson.to_feature_collection(df, geometry, ["name", "capacity"], ["station_key"], by).orderBy(*by or ["features"])
         return [json.loads(r["json"]) for r in out.collect()]
 
     st = station_rows([(k, 1.0 * k, 2.0, None if k == 2 else 5) for k in range(1, 6)])
-    one = collect(st, 100)
+    one = collect(st)
     assert len(one) == 1 and [f["properties"]["name"] for f in one[0]["features"]] == [f"Station {k}" for k in range(1, 6)]
     assert one[0]["features"][1] == {
         "type": "Feature", "geometry": {"type": "Point", "coordinates": [2.0, 2.0]},
         "properties": {"name": "Station 2", "capacity": None},
     }
-    many = collect(st, 2)
-    assert [len(d["features"]) for d in many] == [2, 2, 1]
-    assert collect(st.limit(0), 2) == [{"type": "FeatureCollection", "features": []}]
+    many = collect(st.withColumn("part", F.col("station_key") % 2), "part")
+    assert [[f["properties"]["name"][-1] for f in d["features"]] for d in many] == [["2", "4"], ["1", "3", "5"]]
+    assert collect(st.limit(0)) == [{"type": "FeatureCollection", "features": []}]
+    lines = [json.loads(r["json"]) for r in geojson.to_features(st, geometry, ["name", "capacity"]).collect()]
+    assert lines == one[0]["features"]
+
+
+def test_a_collection_is_one_document_at_any_size(spark):
+    rows = spark.range(10_001).selectExpr("id", "cast(id as double) as lon", "0D as lat")
+    made = geojson.to_feature_collection(rows, geojson.point_geometry(F.col("lon"), F.col("lat")), ["id"], ["id"])
+    document, = made.collect()
+    assert document["features"] == 10_001
+    assert [f["properties"]["id"] for f in json.loads(document["json"])["features"]] == list(range(10_001))
 
 
 def test_checks_go_on_after_a_failure(spark):
