@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bikeflow.plans import skew
 from bikeflow.plans.runtime import cut
-from bikeflow.plans.skew import grouped, split_join
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -17,13 +17,20 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node hands its larger neighbours to the smallest node it knows."""
+def _large_star(edges: DataFrame, count: int) -> DataFrame:
+    """Every node hands its larger neighbours to the smallest node it knows.
+
+    No node has more than ``count`` edges, the number of all; only beyond that are hubs split.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     seen = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
     low = seen.select("a", F.least("a", "m").alias("m"))
+    if count > skew.HOT_ROWS:
+        handed = skew.split_join(both, low, ["a"], skew.grouped(seen, ["a"]))
+    else:
+        handed = both.join(low, "a")
     return (
-        split_join(both, low, ["a"], grouped(seen, ["a"]))
+        handed
         .filter(F.col("b") > F.col("a"))
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
         .distinct()
@@ -52,7 +59,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
     seen = _fingerprint(current)
     while True:
-        current = cut(_small_star(_large_star(current)))
+        current = cut(_small_star(_large_star(current, seen[0])))
         now = _fingerprint(current)
         if now == seen:
             break

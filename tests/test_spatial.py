@@ -175,7 +175,9 @@ def test_dbscan_reach_is_inclusive(station_rows):
     assert {r[1] for r in clusters.dbscan(st, 2.999, 2, project=plane).collect()} == {None}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [10, 100_000])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(skew, "HOT_ROWS", hot)
     rng = random.Random(1)
     path = list(range(200))
     rng.shuffle(path)
