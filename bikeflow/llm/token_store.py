@@ -152,14 +152,14 @@ class WordEncoder:
     Its steps before the merges never look across ASCII blanks (blanks are dropped, and no character composes with
     one), so the ids of a text are those of its words one after the other. A word of Latin letters, with or without full stops
     and commas behind it, is one run of letters and one of punctuation for these steps; in small letters it goes to the library's merges
-    directly, which is several times faster. All others take the whole way.
+    directly, which is several times faster. All others take the whole way. A special token that a text spells out is one id, as the
+    library has it: such a token has no blank and is no word of letters, so it goes whole to the library.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"

@@ -311,6 +311,15 @@ def test_token_store_round_trip(spark, docs):
     assert got[10**9, 0].start is None and got[1, 0].start is None
 
 
+def test_special_tokens_in_a_text_are_those_of_the_library():
+    plain = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    encoder = token_store.WordEncoder(queries.WORD_VOCABULARY, 1)
+    texts = ["see <|endoftext|> here", "a<|startoftext|>b <|ENDOFTEXT|>.", "<|endoftext|><|endoftext|>,x", "< |endoftext|>", "<|endoftext"]
+    for t, data in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(data, "<u2").tolist() == plain.encode(t, add_special_tokens=False).ids + [1], t
+    assert len(plain.encode(texts[0], add_special_tokens=False).ids) == 3
+
+
 def test_perfect_hash_is_minimal():
     keys = token_store.key_hash(np.arange(-5000, 5000), np.zeros(10000))
     mph = token_store.PerfectHash.build(keys)
