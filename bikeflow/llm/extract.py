@@ -7,8 +7,8 @@ importance: near 0 for what every page repeats, near 1 for what differs from pag
 composite importance of its own presentation and of its children's.
 
 What the markup itself names as something else than the article (menus, headers, footers, sidebars, notices,
-adverts, forms, comments) has no importance, whatever its entropy: such parts often change with every page. Text that the markup
-names as the article keeps its importance: pages of a host may be copies of each other.
+adverts, forms, comments) has no importance, whatever its entropy: such parts often change with every page. A class or id
+alone does not remove the only article of a page or most of its text (``no-sidebar``): there entropy decides.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ OTHER_WORDS = frozenset(
     "search popup modal overlay toolbar pagination pager widget widgets copyright skip form".split()
 )
 HEADING_WORDS = frozenset(["header", "masthead"])
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())  # can outgrow the article
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 CLOSES = {  # an opening tag ends these open elements
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -58,12 +59,15 @@ WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    """An element: its style, children in order (nodes and texts) and what its markup says of it."""
+    """An element: its style, children in order (nodes and texts) and what its markup says of it.
 
-    __slots__ = ("tag", "style", "path", "children", "other", "main")
+    ``named`` has the words for which it is ``other`` if only its class and id say so.
+    """
+
+    __slots__ = ("tag", "style", "path", "children", "other", "main", "named")
 
-    def __init__(self, tag: str, style: str, path: int, other: bool, main: bool) -> None:
-        self.tag, self.style, self.path, self.other, self.main = tag, style, path, other, main
+    def __init__(self, tag: str, style: str, path: int, other: bool, main: bool, named: frozenset = frozenset()) -> None:
+        self.tag, self.style, self.path, self.other, self.main, self.named = tag, style, path, other, main, named
         self.children: list[Node | str] = []
 
 
@@ -84,13 +88,14 @@ def _node(tag: str, raw: str, parent: Node | None, in_article: bool) -> Node:
     named = OTHER_WORDS.intersection(words)
     if in_article:  # an article may have a heading of its own
         named -= HEADING_WORDS
-    other = hidden or bool(named) or role in OTHER_ROLES or (tag in OTHER and not (tag == "header" and in_article))
+    plainly = hidden or role in OTHER_ROLES or (tag in OTHER and not (tag == "header" and in_article))
+    other = plainly or bool(named)
     main = tag in ("article", "main") or role == "main" or "articlebody" in words
     if tag in ("body", "html"):
         other = False
     style = f"{tag}.{'.'.join(w for w in words if not w.isdigit())}"
     path = xxhash.xxh3_64_intdigest(style, seed=parent.path & 0xFFFFFFFF if parent else 0) >> 1
-    return Node(tag, style, path, other, main)
+    return Node(tag, style, path, other, main, frozenset() if plainly else named)
 
 
 def parse(page: str) -> Node:
@@ -143,9 +148,35 @@ def parse(page: str) -> Node:
             articles += node.main
     if at < size:
         stack[-1].children.append(html.unescape(page[at:]))
+    _spare(root)
     return root
 
 
+def _spare(root: Node) -> None:
+    """Clear ``other`` of elements for which only a class or id speaks, where they hold most of the page's text or its only articles."""
+    order, todo = [], [root]
+    while todo:  # all that is not plainly another part, parents first
+        n = todo.pop()
+        order.append(n)
+        todo.extend(c for c in n.children if isinstance(c, Node) and (c.named or not c.other))
+    doubtful = [n for n in order if n.other]
+    if not doubtful:
+        return
+    size: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    for n in reversed(order):
+        inner = [c for c in n.children if isinstance(c, Node) and id(c) in size]
+        size[id(n)] = sum(len("".join(c.split())) for c in n.children if isinstance(c, str)) + sum(size[id(c)] for c in inner)
+        holds[id(n)] = any(holds[id(c)] or (c.main and not c.other) for c in inner)
+    for n in doubtful:
+        if 2 * size[id(n)] > size[id(root)] and not n.named & COMMENT_WORDS:
+            n.other = False
+    if not articles(root):
+        for n in doubtful:
+            if holds[id(n)]:
+                n.other = False
+
+
 def blocks(node: Node, keep: set[int] | None = None) -> list[str]:
     """The texts of the blocks below ``node`` in order, without other parts; ``keep`` holds ids of nodes to pass through."""
     out: list[list[str]] = [[]]

@@ -166,6 +166,18 @@ def test_pages(spark):
         assert got[100 + i]["n_chars"] == len(prose(i, 9))
 
 
+def test_class_words_do_not_remove_the_article():
+    body = "<article><h1>T</h1><p>one two three</p></article>"
+    for wrapper in ("<div class='layout no-sidebar'>", "<div id=page-with-header>", "<div class=comments>"):
+        assert extract.main_text(f"<body>{wrapper}{body}</div><div class=footer>{'end ' * 30}</div>") == "T\none two three", wrapper
+    # Without an article most of the text stays, and what is named and small still goes.
+    assert extract.main_text("<div class=with-sidebar><p>one two three four</p><div class=ad>buy</div></div><p>x") == "one two three four\nx"
+    # Parts named so beside or in an article still go, however long comments are; so does all that a tag or role names.
+    assert extract.main_text(f"{body}<div class=related><article>see also</article></div>") == "T\none two three"
+    assert extract.main_text(f"<article><p>text</p><div class=comments>{'reply ' * 50}</div></article>") == "text"
+    assert extract.main_text(f"<nav>{body}</nav><p>x") == "x"
+
+
 def test_fingerprints_of_edited_texts(docs):
     rows = sorted(((d, t or "") for d, t, *_ in corpus()), reverse=True)
     got = by_id(merkle.compare_edited(docs))
