@@ -230,18 +230,23 @@ def articles(root: Node) -> list[Node]:
     return outermost(lambda n: n.tag == "article") or outermost(lambda n: n.main)
 
 
-def observations(page: str) -> list[tuple[int, int, int]]:
-    """``path``, hash of the presentation and of the content, for each node of the page's style tree.
+def observations(root: Node) -> dict[int, tuple[int, int]]:
+    """Hash of the presentation and of the content by path, for each node of the page's style tree.
 
     Elements of one path on a page are one observation: their children's styles, and their own texts, together.
     """
     looks: dict[int, list[str]] = {}
     said: dict[int, list[str]] = {}
-    for n in _elements(parse(page)):
+    for n in _elements(root):
         looks.setdefault(n.path, []).extend(c.style if isinstance(c, Node) else "#" for c in n.children)
         said.setdefault(n.path, []).extend(" ".join(c.split()) for c in n.children if isinstance(c, str))
     digest = xxhash.xxh3_64_intdigest
-    return [(p, digest(" ".join(looks[p])) >> 1, digest("\x1f".join(said[p])) >> 1) for p in looks]
+    return {p: (digest(" ".join(looks[p])) >> 1, digest("\x1f".join(said[p])) >> 1) for p in looks}
+
+
+def page_text(root: Node, chosen: list[Node]) -> int:
+    """A hash of the text in the articles, or of all text without one. Pages of a site with one text are copies."""
+    return xxhash.xxh3_64_intdigest("\n".join(b for n in chosen or [root] for b in blocks(n))) >> 1
 
 
 def main_text(page: str | None, importance: dict[int, tuple[float, float]] | None = None) -> str:
@@ -250,22 +255,25 @@ def main_text(page: str | None, importance: dict[int, tuple[float, float]] | Non
         return ""
     root = parse(page)
     chosen = articles(root)
-    if chosen:
+    if chosen and not importance:
         return "\n".join(b for n in chosen for b in blocks(n))
     known = importance or {}
     order = list(_elements(root))
     worth: dict[int, float] = {}
     for n in reversed(order):
         look, content = known.get(n.path, (1.0, 1.0))
-        inner = [worth[id(c)] for c in n.children if isinstance(c, Node) and id(c) in worth]
+        inner = [worth[id(c)] for c in n.children if isinstance(c, Node) and id(c) in worth and c.tag not in VOID]
         own = content if any(isinstance(c, str) and c.strip() for c in n.children) else None
         parts = inner + ([own] if own is not None else [])
         share = GAMMA ** len(inner)
         worth[id(n)] = (1 - share) * look + share * (sum(parts) / len(parts)) if parts and inner else (own if own is not None else look)
         if inner:  # a branch is worth at least its best part: what is low in it goes by itself
             worth[id(n)] = max(worth[id(n)], max(parts))
-    keep = {id(n) for n in order if worth[id(n)] >= LOW}
-    return "\n".join(blocks(root, keep))
+    if not chosen:
+        return "\n".join(blocks(root, {id(n) for n in order if worth[id(n)] >= LOW or n.tag in VOID}))
+    # In an article whole blocks go, never a word out of a sentence.
+    keep = {id(n) for n in order if worth[id(n)] >= LOW or n.tag not in BLOCK}
+    return "\n".join(b for n in chosen for b in blocks(n, keep)) or "\n".join(b for n in chosen for b in blocks(n))
 
 
 def host_of(url: Column) -> Column:
@@ -277,23 +285,30 @@ def host_of(url: Column) -> Column:
 def site_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``host``, ``nodes``: for each site the nodes of low importance, as (path, presentation, content).
 
-    Observations are counted per value before entropies are taken, so a site with a third of all
-    pages costs no task more than its number of different values.
+    Of pages with one text a site's tree has one, so copies of an article do not make it a template. Observations are counted
+    per value before entropies are taken, so a site with a third of all pages costs no task more than its number of different values.
     """
 
     def observe(batches):
         for b in batches:
-            counted = Counter()
+            out = {c: [] for c in ("host", "said", "path", "look", "content")}
             for host, page in zip(b["host"], b["html"], strict=True):
-                for path, look, content in observations(page or ""):
-                    counted[host, path, 0, look] += 1
-                    counted[host, path, 1, content] += 1
-            host, path, kind, value = zip(*counted, strict=True)
-            yield {"host": list(host), "path": list(path), "kind": list(kind), "value": list(value), "n": list(counted.values())}
+                if page:
+                    root = parse(page)
+                    seen = observations(root)
+                    out["host"].append(host)
+                    out["said"].append(page_text(root, articles(root)))
+                    out["path"].append(list(seen))
+                    out["look"].append([look for look, _ in seen.values()])
+                    out["content"].append([content for _, content in seen.values()])
+            yield out
 
     picked = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    seen = map_batches(picked, observe, "host string, path bigint, kind int, value bigint, n bigint")
-    values = seen.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
+    schema = "host string, said bigint, path array<bigint>, look array<bigint>, content array<bigint>"
+    one = map_batches(picked, observe, schema).groupBy("host", "said").agg(F.min(F.struct("path", "look", "content")).alias("t"))
+    nodes = one.select("host", F.explode(F.arrays_zip("t.path", "t.look", "t.content")).alias("o")).select("host", "o.*")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in ((0, "look"), (1, "content"))])
+    values = nodes.select("host", "path", F.inline(kinds)).groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
     m = F.sum("n")
     entropy = F.log2(m) - F.sum(F.col("n") * F.log2("n")) / m
     nodes = values.groupBy("host", "path", "kind").agg(m.alias("pages"), (entropy / F.log2(m)).alias("importance")).filter(
@@ -311,7 +326,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Blocks are joined by a line feed, white space in a block is one space, character references are decoded. A null or
     empty page has an empty text. A page without a readable address belongs to the site "". Rows that repeat an id or a whole page are
-    extracted each by itself. Pages of a site are counted whatever their number; below ``LEAST_PAGES`` nothing is judged by entropy.
+    extracted each by itself. All different pages of a site are counted; below ``LEAST_PAGES`` of them nothing is judged by entropy. In
+    an article, blocks of low importance go.
     """
     spark = pages.sparkSession
     trees = scratch(spark, "site-trees")

@@ -178,6 +178,19 @@ def test_class_words_do_not_remove_the_article():
     assert extract.main_text(f"<nav>{body}</nav><p>x") == "x"
 
 
+def test_template_parts_in_articles_go_and_copied_articles_stay(spark):
+    part = "<div class=x><p>Read more on our site</p></div>"
+    rows = [
+        (i, f"http://a.example/{i}", f"<article><h1>{prose(i, 3)}</h1><p>{prose(i + 50, 9)} <b>note</b> z<br>y</p>{part}</article>") for i in range(12)
+    ]
+    copied = f"<article><h1>{prose(99, 3)}</h1><p>{prose(98, 9)}</p></article>"
+    rows += [(100 + i, f"http://b.example/{i}", f"<div class=q>{prose(i, 4)}</div>{copied}") for i in range(12)]
+    got = by_id(extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id")
+    for i in range(12):
+        assert got[i]["text"] == f"{prose(i, 3)}\n{prose(i + 50, 9)} note z y"
+        assert got[100 + i]["text"] == f"{prose(99, 3)}\n{prose(98, 9)}"
+
+
 def test_fingerprints_of_edited_texts(docs):
     rows = sorted(((d, t or "") for d, t, *_ in corpus()), reverse=True)
     got = by_id(merkle.compare_edited(docs))
