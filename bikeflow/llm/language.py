@@ -4,7 +4,7 @@ Each language has a context tree of up to three bytes with the counts of the byt
 longest context that was seen with it; each context that does not know it costs an escape (method C: with n symbols and
 d different ones seen, a byte seen c times has probability c / (n + d), the escape d / (n + d)); below the empty context all 256 bytes are
 equally likely. Statistics are frozen after training, so the code length of a byte depends only on the three bytes before it,
-and is tabulated for all languages at once. A text belongs to the language that codes it shortest.
+and is found for all languages at once. A text belongs to the language that codes it shortest.
 """
 
 from __future__ import annotations
@@ -16,81 +16,136 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bikeflow.llm.common import map_batches
+from bikeflow.plans.runtime import cut
 
 ORDER = 3
 START = b"\n" * ORDER
 UNKNOWN = "und"
-CHUNK = 1 << 18  # bytes scored at once
+CHUNK = 1 << 18  # bytes scored at once with up to eight languages
 
 
 class Model:
-    """Code lengths in bits: ``cost[node * n_symbols + symbol]`` has one number per language.
+    """Code lengths in bits, by context of none to three bytes.
 
-    ``grams`` has for each language its four-byte grams (as big-endian integers) and their counts. The tables hold ``max_cells`` numbers or
-    little more: beyond, the rarest contexts of three bytes are coded in two.
+    ``grams`` has for each language its four-byte grams (as big-endian integers) and their counts. Only what was seen is stored:
+    for a context the languages that know it with their escapes, for a byte after it the languages that saw it there with its length. So
+    the model grows with the grams, not with symbols times languages, and no context is left out.
     """
 
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], max_cells: int = 1 << 23) -> None:
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
         self.languages = sorted(grams)
         parts = [grams[lang] for lang in self.languages]
         gram = np.concatenate([np.zeros(0, np.int64), *[g for g, _ in parts]])
         count = np.concatenate([np.zeros(0), *[n for _, n in parts]])
         lang = np.repeat(np.arange(len(parts)), [len(g) for g, _ in parts])
+        n_langs = max(len(parts), 1)
         seen = np.unique(np.r_[10, *[(gram >> s) & 255 for s in (0, 8, 16, 24)]])
         self.symbol = np.full(256, len(seen), np.int64)  # one more for all bytes that were never seen
         self.symbol[seen] = np.arange(len(seen))
         self.n_symbols = a = len(seen) + 1
-        n_langs = max(len(parts), 1)
-        sym = [self.symbol[(gram >> s) & 255] for s in (24, 16, 8, 0)]
-        full = (sym[0] * a + sym[1]) * a + sym[2]
+        full = self._key(self.symbol[(gram >> s) & 255] for s in (24, 16, 8, 0))
 
-        blocks = [np.full((1, a, n_langs), 8.0, np.float32)]  # node 0: no context, all bytes alike
-        contexts, first = np.zeros(1, np.int64), 0
-        self.node = np.zeros(a**ORDER, np.int32)
+        self.orders = []
         for order in range(ORDER + 1):
-            own = full % a**order
-            total = np.bincount(np.unique(own, return_inverse=True)[1], count) if len(own) else np.zeros(0)
-            known = np.unique(own)
-            if order == ORDER:
-                room = max(max_cells // (a * n_langs) - sum(map(len, blocks)), 0)
-                known = np.sort(known[np.lexsort((known, -total))[:room]])
-            # The next shorter context lacks the oldest byte.
-            shorter = np.searchsorted(contexts, known % a ** (order - 1)) if order else np.zeros(len(known), np.int64)
-            block = blocks[-1][shorter]
-            table = np.zeros(block.shape, np.float32)
-            at = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
-            here = known[at] == own if len(known) else np.zeros(len(own), bool)
-            np.add.at(table, (at[here], sym[3][here], lang[here]), count[here])
-            n, d = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
+            # A cell is a byte after a context in a language; a stay is a context in a language.
+            cell, where = np.unique(full % a ** (order + 1) * n_langs + lang, return_inverse=True)
+            times = np.bincount(where, count, len(cell))
+            stay, where = np.unique(cell // n_langs // a * n_langs + cell % n_langs, return_inverse=True)
+            n, d = np.bincount(where, times, len(stay)), np.bincount(where, minlength=len(stay))
+            escape = np.log2(n + d) - np.log2(np.maximum(d, 1))
+            length = np.log2(n + d)[where] - np.log2(times)
+            self.orders.append((self._rows(stay, escape, n_langs), self._rows(cell, length, n_langs)))
+
+    def _key(self, symbols) -> np.ndarray:
+        """One number for the symbols of a context and the one after it."""
+        out = np.int64(0)
+        for s in symbols:
+            out = out * self.n_symbols + s
+        return out
+
+    @staticmethod
+    def _rows(key: np.ndarray, value: np.ndarray, n_langs: int) -> tuple[np.ndarray, ...]:
+        """Values by key and language as sorted keys, where the rows of each start, languages and values."""
+        own, start = np.unique(key // n_langs, return_index=True)
+        return own, np.r_[start, len(key)], (key % n_langs).astype(np.int32), value.astype(np.float32)
+
+    @staticmethod
+    def _find(rows: tuple[np.ndarray, ...], key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Which of the keys are in the rows, in which language and with which value; a key has a place per language."""
+        own, start, lang, value = rows
+        if not len(own):
+            return np.zeros(0, np.int64), lang, value
+        at = np.minimum(np.searchsorted(own, key), len(own) - 1)
+        hit = np.flatnonzero(own[at] == key)
+        lo, size = start[at[hit]], start[at[hit] + 1] - start[at[hit]]
+        place = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.repeat(hit, size), lang[place], value[place]
+
+    def lengths(self, key: np.ndarray) -> np.ndarray:
+        """The code length in each language of the last of four symbols, after the other three."""
+        out = np.full((len(key), max(len(self.languages), 1)), 8.0, np.float32)  # no context, all bytes alike
+        a = self.n_symbols
+        for order, (escapes, cells) in enumerate(self.orders):
+            own = key % a ** (order + 1)
             # A language that never saw the context codes in the shorter one, at no cost.
-            block += np.where(n > 0, np.log2(np.maximum(n + d, 1) / np.maximum(d, 1)), 0)
-            inside = table > 0
-            block[inside] = (np.log2(np.maximum(n + d, 1)) - np.log2(np.maximum(table, 1)))[inside]
-            first += len(blocks[-1])
-            blocks.append(block)
-            contexts = known
-            if len(known):
-                self.node.reshape(a ** (ORDER - order), a**order)[:, known] = first + np.arange(len(known))
-        self.cost = np.concatenate(blocks).reshape(-1, n_langs)
+            at, lang, bits = self._find(escapes, own // a)
+            out[at, lang] += bits
+            at, lang, bits = self._find(cells, own)
+            out[at, lang] = bits
+        return out
+
+    @property
+    def cost(self) -> np.ndarray:
+        """All code lengths as one table, a row for each symbol after each known context, shorter ones after unknown symbols."""
+        a = self.n_symbols
+        contexts = [(a**ORDER - a**order) + escapes[0] for order, (escapes, _) in enumerate(self.orders)]
+        return self.lengths((np.concatenate(contexts)[:, None] * a + np.arange(a)).ravel())
 
     def bits(self, text: bytes) -> np.ndarray:
         """The code length of the text in each language."""
-        total = np.zeros(len(self.languages))
-        a = self.n_symbols
-        for lo in range(0, len(text), CHUNK):
-            before = (START + text[max(lo - ORDER, 0) : lo])[-ORDER:]
-            s = self.symbol[np.frombuffer(before + text[lo : lo + CHUNK], np.uint8)]
-            node = self.node[(s[:-3] * a + s[1:-2]) * a + s[2:-1]]
-            total += self.cost.take(node * np.int64(a) + s[3:], axis=0).sum(axis=0, dtype=np.float64)
+        return self.bits_of([text])[0]
+
+    def bits_of(self, texts: list[bytes]) -> np.ndarray:
+        """The code length of each text in each language, a row per text."""
+        chunk = max(CHUNK * 8 // max(len(self.languages), 8), 4096)  # as many numbers with many languages
+        total = np.zeros((len(texts), max(len(self.languages), 1)))
+        group, size = [], 0
+
+        def score() -> None:
+            raw = np.frombuffer(b"".join(piece for _, piece in group), np.uint8)
+            s = self.symbol[raw]
+            key = self._key((s[:-3], s[1:-2], s[2:-1], s[3:]))
+            n = np.array([len(piece) - ORDER for _, piece in group])
+            # Grams across two pieces are none of a text.
+            inside = np.repeat(np.cumsum(n + ORDER) - (n + ORDER) - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            grams, where = np.unique(key[inside], return_inverse=True)
+            per_byte = self.lengths(grams)[where]
+            sums = np.add.reduceat(per_byte, np.cumsum(n) - n, axis=0, dtype=np.float64)
+            np.add.at(total, [i for i, _ in group], sums)
+
+        for i, text in enumerate(texts):
+            for lo in range(0, len(text), chunk):
+                before = (START + text[max(lo - ORDER, 0) : lo])[-ORDER:]
+                group.append((i, before + text[lo : lo + chunk]))
+                size += len(group[-1][1])
+                if size >= chunk:
+                    score()
+                    group, size = [], 0
+        if group:
+            score()
         return total
 
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """For each text the language and its share of the probability that all languages give the text."""
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        known = [i for i, t in enumerate(texts) if self.languages and t is not None and next(filter(str.isalpha, t), None) is not None]
+        for i, bits in zip(known, self.bits_of([texts[i].encode() for i in known]), strict=True):
+            best = int(bits.argmin())
+            out[i] = self.languages[best], float(1.0 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum())
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and its share of the probability that all languages give the text."""
-        if not self.languages or text is None or next(filter(str.isalpha, text), None) is None:
-            return UNKNOWN, 0.0
-        bits = self.bits(text.encode())
-        best = int(bits.argmin())
-        return self.languages[best], float(1.0 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum())
+        return self.predict_all([text])[0]
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
@@ -99,14 +154,15 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 
 
 def train(
-    docs: DataFrame, docs_per_language: int = 500, grams_per_language: int = 50_000, folds: int = 5,
+    docs: DataFrame, docs_per_language: int = 500, grams_per_language: int = 100_000, folds: int = 5,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> Model:
     """A model of the languages in ``lang_col``.
 
     It learns from about ``docs_per_language`` documents of each, drawn by a hash of the id from all rows that are
     labelled, have a text and are not ``held_out``. Their four-byte grams are counted in the tasks; the most frequent
-    ones over all languages, ``grams_per_language`` times their number, reach the driver. Both bounds hold at any size of the input.
+    ``grams_per_language`` of each language reach the driver, of equally frequent ones as many as there is room for, drawn by hash (so
+    about that number). Both bounds hold at any size of the input, and no language takes another's room.
     """
     usable = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
@@ -128,9 +184,22 @@ def train(
                 yield {"lang": [lang] * len(gram), "gram": gram, "n": n}
 
     counted = map_batches(drawn.select("lang", "text"), count, "lang string, gram bigint, n bigint")
-    top = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    limit = grams_per_language * max(len(sizes), 1)
-    found = top.orderBy(F.desc("n"), "lang", "gram").limit(limit).toArrow().to_pandas()
+    top = cut(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    # Per language and count a row, of which there are few: the draw bounds the counts.
+    levels = defaultdict(list)
+    for r in top.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("grams")).collect():
+        levels[r.lang].append((r.n, r.grams))
+    room = F.lit(1.0)
+    for name, found in levels.items():
+        left = grams_per_language
+        for n, grams in sorted(found, reverse=True):
+            if grams > left:
+                part = F.when(F.col("n") > n, 1.0).when(F.col("n") == n, left / grams).otherwise(0.0)
+                room = F.when(F.col("lang") == name, part).otherwise(room)
+                break
+            left -= grams
+    chosen = top.filter(F.pmod(F.xxhash64("gram", F.lit("room")), F.lit(1_000_000)) < room * 1_000_000)
+    found = chosen.orderBy("lang", "gram").toArrow().to_pandas()
     return Model({k: (g["gram"].to_numpy(), g["n"].to_numpy(float)) for k, g in found.groupby("lang")})
 
 
@@ -140,7 +209,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     ``und`` and score 0 for a null text, one without a letter, or a model without languages. The score is the language's share of the
     probability (0 to 1); of equal code lengths the first language in code point order wins.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by ``max_cells`` of the model
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the grams of the model
     picked = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         held_out(id_col, folds).alias("held_out"),
@@ -148,7 +217,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def work(batches):
         for b in batches:
-            found = [shared.value.predict(t) for t in b["text"]]
+            found = shared.value.predict_all(b["text"])
             yield {"doc_id": b["doc_id"], "held_out": b["held_out"], "lang_pred": [x[0] for x in found], "score": [x[1] for x in found]}
 
     return map_batches(picked, work, "doc_id bigint, held_out boolean, lang_pred string, score double")
@@ -161,11 +230,8 @@ def keep_known(docs: DataFrame, model: Model, min_score: float = 0.5, id_col: st
 
     def work(batches):
         for b in batches:
-            good = []
-            for i, text in enumerate(b[text_col]):
-                lang, score = shared.value.predict(text)
-                if lang != UNKNOWN and score >= min_score:
-                    good.append(i)
+            found = shared.value.predict_all(b[text_col])
+            good = [i for i, (lang, score) in enumerate(found) if lang != UNKNOWN and score >= min_score]
             yield {c: [v[i] for i in good] for c, v in b.items()}
 
     return map_batches(docs, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))

@@ -148,6 +148,41 @@ def test_language_without_training_rows(empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_a_rare_language_keeps_its_grams(spark):
+    rows = [(i, prose(i, 40, "abcde"), "x") for i in range(150)] + [(200 + i, prose(i, 40, "pqrstuvw"), "y") for i in range(4)]
+    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), grams_per_language=150)
+    assert model.languages == ["x", "y"]
+    assert model.predict(prose(77, 5, "pqrstuvw"))[0] == "y" and model.predict(prose(78, 5, "abcde"))[0] == "x"
+
+
+def test_code_lengths_with_many_languages():
+    grams, counts = {}, {}
+    for k in range(400):
+        counts[f"l{k:03}"] = seen = Counter()
+        raw = b"\n\n\n" + prose(k, 30, "abcdefghijklmnopqrstuvwxyz"[k % 20 : k % 20 + 6]).encode()
+        for i in range(3, len(raw)):
+            seen[raw[i - 3 : i + 1]] += 1
+        grams[f"l{k:03}"] = (np.array([int.from_bytes(g, "big") for g in seen]), np.array(list(seen.values()), float))
+    model, text = language.Model(grams), ("\n\n\n" + prose(7, 20, "hijklm") + " Z").encode()
+    for lang in ("l007", "l207", "l399"):  # prediction by partial matching, byte by byte
+        bits = 0.0
+        for i in range(3, len(text)):
+            for order in (3, 2, 1, 0):
+                after = Counter()
+                for g, n in counts[lang].items():
+                    if g[3 - order : 3] == text[i - order : i]:
+                        after[g[3]] += n
+                if after[text[i]]:
+                    bits += np.log2((sum(after.values()) + len([n for n in after.values() if n])) / after[text[i]])
+                    break
+                d = len([n for n in after.values() if n])
+                bits += np.log2((sum(after.values()) + d) / d) if d else 0
+            else:
+                bits += 8
+        got = model.bits(text[3:])[model.languages.index(lang)]
+        assert abs(got - bits) < 1e-3 * bits
+
+
 def test_pages(spark):
     page = (
         "<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body><nav><ul><li>menu</ul></nav>"
