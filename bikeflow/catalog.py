@@ -61,11 +61,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _features(made: DataFrame, coordinates: str, props: str) -> DataFrame:
-    """Features of GeoJSON documents as rows."""
-    feature = f"struct<geometry:struct<coordinates:{coordinates}>,properties:struct<{props}>>"
-    parsed = F.from_json("json", f"struct<features:array<{feature}>>")
-    return made.select(F.explode(parsed["features"]).alias("f"))
+def _features(df: DataFrame, geometry: Column, props: list, order: list[str], coordinates: str, kinds: str) -> DataFrame:
+    """``df`` written as one GeoJSON document, and its features as rows."""
+    spark = df.sparkSession
+    folder = scratch(spark, "features")
+    geojson.write_feature_collection(df, geometry, props, order, folder)
+    feature = f"struct<geometry:struct<coordinates:{coordinates}>,properties:struct<{kinds}>>"
+    return geojson.read_feature_collection(spark, folder).select(F.from_json("json", feature).alias("f"))
 
 
 def _as_of(df: DataFrame, ts: str):
@@ -206,13 +208,13 @@ def landing_summary(spark, d):
 def station_features(spark, d):
     """The live map as GeoJSON, read back to rows."""
     live = lat.station_map(views.status(spark, d), views.stations(spark, d))
-    made = geojson.to_feature_collection(
+    made = _features(
         live, geojson.point_geometry(F.col("lon"), F.col("lat")),
         ["name", "capacity", "bikes", "ebikes", "docks"], ["station_key"],
+        "array<double>", "name:string,capacity:int,bikes:int,ebikes:int,docks:int",
     )
     at = F.col("f.geometry.coordinates")
-    props = "name:string,capacity:int,bikes:int,ebikes:int,docks:int"
-    return _features(made, "array<double>", props).select("f.properties.*", at[0].alias("lon"), at[1].alias("lat"))
+    return made.select("f.properties.*", at[0].alias("lon"), at[1].alias("lat"))
 
 
 # ---- latest state, snapshots and summaries --------------------------------------
@@ -304,14 +306,14 @@ def stranding_pressure(spark, d):
 @query
 def pressure_features(spark, d):
     """The map of empty and full stations as GeoJSON, read back to rows."""
-    made = geojson.to_feature_collection(
+    made = _features(
         agg.pressure(views.status(spark, d), views.stations(spark, d)),
         geojson.point_geometry(F.col("lon"), F.col("lat")),
         ["name", "observations", "pct_no_bikes", "pct_no_docks", "net"], ["station_key"],
+        "array<double>", "name:string,observations:bigint,pct_no_bikes:double,pct_no_docks:double,net:double",
     )
     at = F.col("f.geometry.coordinates")
-    props = "name:string,observations:bigint,pct_no_bikes:double,pct_no_docks:double,net:double"
-    return _features(made, "array<double>", props).select("f.properties.*", at[0].alias("lon"), at[1].alias("lat"))
+    return made.select("f.properties.*", at[0].alias("lon"), at[1].alias("lat"))
 
 
 @query
@@ -637,11 +639,11 @@ def service_areas(spark, d):
 def service_area_features(spark, d):
     """The map of service areas as GeoJSON, read back to rows."""
     areas = reg.service_areas(views.stations(spark, d), n=None, drop_empty=True)
-    made = geojson.to_feature_collection(
-        areas, geojson.polygon_geometry(F.col("ring")), ["name", "capacity", F.col("service_km2").alias("km2")], ["station_key"]
+    made = _features(
+        areas, geojson.polygon_geometry(F.col("ring")), ["name", "capacity", F.col("service_km2").alias("km2")], ["station_key"],
+        "array<array<array<double>>>", "name:string,capacity:int,km2:double",
     )
-    props = "name:string,capacity:int,km2:double"
-    return _features(made, "array<array<array<double>>>", props).select("f.properties.*")
+    return made.select("f.properties.*")
 
 
 @query
@@ -674,13 +676,14 @@ def flow_lines(spark, d):
 def flow_features(spark, d):
     """The flow map as GeoJSON, read back to rows."""
     ends = [(F.col("line")[i]["lon"], F.col("line")[i]["lat"]) for i in (0, 1)]
-    made = geojson.to_feature_collection(
+    made = _features(
         _flows(spark, d).withColumnsRenamed({"from_name": "from", "to_name": "to"}),
         geojson.line_geometry(*ends), ["from", "to", "trips", "km"],
         ["start_station_key", "end_station_key"],
+        "array<array<double>>", "from:string,to:string,trips:bigint,km:double",
     )
     at = F.col("f.geometry.coordinates")
-    return _features(made, "array<array<double>>", "from:string,to:string,trips:bigint,km:double").select(
+    return made.select(
         F.col("f.properties.from").alias("from_name"), F.col("f.properties.to").alias("to_name"),
         "f.properties.trips", "f.properties.km",
         at[0][0].alias("from_lon"), at[0][1].alias("from_lat"), at[1][0].alias("to_lon"), at[1][1].alias("to_lat"),

@@ -225,6 +225,22 @@ def test_a_collection_is_one_document_at_any_size(spark):
     assert [f["properties"]["id"] for f in json.loads(document["json"])["features"]] == list(range(10_001))
 
 
+def test_a_written_collection_is_one_document_in_parts(spark, tmp_path):
+    point = geojson.point_geometry(F.col("lon"), F.col("lat"))
+    rows = spark.range(5000).selectExpr("id", "cast(4999 - id as int) as k", "'a\\n,]}' as name", "cast(id as double) as lon", "0D as lat")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for n, df in ((10_000, rows.union(rows).repartition(3)), (0, rows.limit(0))):  # with equal features
+        geojson.write_feature_collection(df, point, ["id", "name"], ["k"], str(tmp_path / str(n)))
+        parts = [p.read_text() for p in sorted((tmp_path / str(n)).glob("part-*"))]
+        got = json.loads("".join(parts))
+        assert got["type"] == "FeatureCollection"
+        assert [f["properties"]["id"] for f in got["features"]] == [4999 - i // 2 for i in range(n)]
+        back = geojson.read_feature_collection(spark, str(tmp_path / str(n)))
+        assert sorted(json.loads(r["json"])["properties"]["id"] for r in back.collect()) == sorted(4999 - i // 2 for i in range(n))
+        assert n == 0 or len(parts) > 1
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_checks_go_on_after_a_failure(spark):
     good = spark.range(1).selectExpr("true as ok", "'fine' as detail")
     broken = spark.range(1).selectExpr("raise_error('boom') = 1 as ok", "'x' as detail")
