@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bikeflow.llm.common import map_batches, texts, words_of
@@ -55,35 +55,45 @@ def _seeds(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 parts = [anchors(t, length, gram) for t in b["text"][lo : lo + 512]]
                 ids = np.repeat(np.asarray(b["doc_id"][lo : lo + 512], np.int64), [len(p[0]) for p in parts])
                 anchor, span, run = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield {"anchor": anchor, "span": span, "doc_id": ids, "run": run}
+                digests = np.repeat(np.asarray(b["digest"][lo : lo + 512], np.int64), [len(p[0]) for p in parts])
+                yield {"anchor": anchor, "span": span, "doc_id": ids, "digest": digests, "run": run}
 
-    return map_batches(docs, work, "anchor bigint, span bigint, doc_id bigint, run bigint")
+    return map_batches(docs, work, "anchor bigint, span bigint, doc_id bigint, digest bigint, run bigint")
+
+
+def _with_digest(docs: DataFrame) -> DataFrame:
+    """Rows that repeat an id may have other texts: ``digest`` tells them apart."""
+    return docs.withColumn("digest", F.xxhash64("text"))
+
+
+def _same_text() -> Column:
+    return (F.col("doc_id") == F.col("_i")) & (F.col("digest") == F.col("_d"))
 
 
 def _extended(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """``window``, ``doc_id``, ``start`` of every window of the ``runs``, from the texts."""
-    packed = runs.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    joined = probably_in(docs, packed).join(packed.withColumnRenamed("doc_id", "_i"), F.col("doc_id") == F.col("_i"))
+    """``window``, ``doc_id``, ``digest``, ``start`` of every window of the ``runs``, from the texts."""
+    packed = runs.groupBy(F.col("doc_id").alias("_i"), F.col("digest").alias("_d")).agg(F.collect_list("run").alias("runs"))
+    joined = _with_digest(probably_in(docs, packed, "_i")).join(packed, _same_text())
 
     def work(batches):
         for b in batches:
-            for doc, text, packed_runs in zip(b["doc_id"], b["text"], b["runs"], strict=True):
+            for doc, digest, text, packed_runs in zip(b["doc_id"], b["digest"], b["text"], b["runs"], strict=True):
                 run = np.asarray(packed_runs, np.int64)
                 first, size = run >> SHIFT, (run & ((1 << SHIFT) - 1)) + 1
                 start = np.repeat(first - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-                words = word_hashes(text.encode())
-                start = start[start + length <= len(words)]  # rows that repeat an id may have other texts
-                window = Sequences(words).of(start, start + length)
-                yield {"window": window.view(np.int64), "doc_id": np.full(len(start), doc), "start": start}
+                window = Sequences(word_hashes(text.encode())).of(start, start + length)
+                own = {"doc_id": np.full(len(start), doc), "digest": np.full(len(start), digest)}
+                yield {"window": window.view(np.int64), **own, "start": start}
 
-    return map_batches(joined.select("doc_id", "text", "runs"), work, "window bigint, doc_id bigint, start bigint")
+    picked = joined.select("doc_id", "digest", "text", "runs")
+    return map_batches(picked, work, "window bigint, doc_id bigint, digest bigint, start bigint")
 
 
 def matches(docs: DataFrame, length: int = 50, gram: int = 20) -> DataFrame:
-    """``doc_id``, ``run``: packed runs of windows that a document with a smaller id has as well."""
+    """``doc_id``, ``digest``, ``run``: packed runs of windows that a document with a smaller id has as well."""
     if not 0 <= length - gram < 1 << SHIFT:
         raise ValueError("gram must be at most length, and their difference below 256")
-    seeds = cut(_seeds(docs, length, gram))
+    seeds = cut(_seeds(_with_digest(docs), length, gram))
     # Groups are checkpointed before rows are joined with them: the join then has a plain exchange on either side, and
     # AQE can split an anchor that holds a large part of the rows.
     often = cut(seeds.groupBy(F.hash("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_a"))
@@ -94,7 +104,7 @@ def matches(docs: DataFrame, length: int = 50, gram: int = 20) -> DataFrame:
     )
     members = cut(
         shared.join(classes, (F.col("anchor") == F.col("_a")) & (F.col("span") == F.col("_s")))
-        .select("doc_id", "run", "low", "anchor")
+        .select("doc_id", "digest", "run", "low", "anchor")
     )
     whole = members.filter("doc_id > low")
     several = cut(
@@ -103,18 +113,18 @@ def matches(docs: DataFrame, length: int = 50, gram: int = 20) -> DataFrame:
         .filter("a <> b and least <> most").select("_m")
     )
     first_of = members.filter("doc_id = low").join(several, F.col("anchor") == F.col("_m"))
-    windows = cut(_extended(docs, first_of.select("doc_id", "run").distinct(), length))
+    windows = cut(_extended(docs, first_of.select("doc_id", "digest", "run").distinct(), length))
     lowest = cut(
         windows.groupBy(F.col("window").alias("_w")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
         .filter("low <> top")
     )
     found = cut(
         windows.join(lowest, (F.col("window") == F.col("_w")) & (F.col("doc_id") > F.col("low")))
-        .select("doc_id", "start").distinct()
+        .select("doc_id", "digest", "start").distinct()
     )
     # The other members of a class are in larger documents and matched over the whole run already.
-    single = found.select("doc_id", F.shiftleft("start", SHIFT).alias("run"))
-    return whole.select("doc_id", "run").unionByName(single)
+    single = found.select("doc_id", "digest", F.shiftleft("start", SHIFT).alias("run"))
+    return whole.select("doc_id", "digest", "run").unionByName(single)
 
 
 def covered(runs: list[int], n_words: int, length: int) -> np.ndarray:
@@ -138,12 +148,14 @@ def remove_repeats(
     smaller document has. A null id counts as the smallest bigint. Other columns play no part.
     """
     plain = texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "text")
-    runs = cut(matches(plain, length, gram).groupBy(F.col("doc_id").alias("_i")).agg(F.collect_list("run").alias("runs")))
+    found = matches(plain, length, gram).groupBy(F.col("doc_id").alias("_i"), F.col("digest").alias("_d"))
+    runs = cut(found.agg(F.collect_list("run").alias("runs")))
 
     def keep(with_runs):
         def work(batches):
             for b in batches:
                 out = {c: [] for c in ("doc_id", "n_words", "n_removed", "kept_sha256", "kept")}
+                out["digest"] = b["digest"]
                 for i, (doc, text) in enumerate(zip(b["doc_id"], b["text"], strict=True)):
                     words = words_of(text)
                     kept = words
@@ -160,10 +172,10 @@ def remove_repeats(
 
         return work
 
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
+    schema = "doc_id bigint, digest bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
     # Only texts with a match are shuffled to meet their runs; the others are done where they are read.
-    hit = F.col("doc_id") == F.col("_i")
-    touched = map_batches(probably_in(plain, runs, "_i").join(runs, hit).select("doc_id", "text", "runs"), keep(True), schema)
-    rest = map_batches(plain, keep(False), schema).join(runs.select("_i"), hit, "left_anti")
-    both = touched.unionByName(rest)
+    near = _with_digest(probably_in(plain, runs, "_i"))
+    touched = map_batches(near.join(runs, _same_text()).select("doc_id", "digest", "text", "runs"), keep(True), schema)
+    rest = map_batches(_with_digest(plain), keep(False), schema).join(runs.select("_i", "_d"), _same_text(), "left_anti")
+    both = touched.unionByName(rest).drop("digest")
     return both if with_text else both.drop("kept")

@@ -121,6 +121,15 @@ def test_repeated_passages_equal_window_by_window(docs):
         assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_texts_under_one_id_lose_only_what_a_smaller_document_has(spark):
+    passage, other, third = prose(1, 60), prose(2, 90), prose(3, 90)
+    rows = [(1, passage), (7, f"{other} {passage}"), (7, third), (7, f"{prose(4, 5)} {passage} {prose(5, 40)}"), (9, f"x {third}"), (9, prose(6, 200))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.kept) for r in substring.remove_repeats(df, with_text=True).collect())
+    kept = [passage, other, third, f"{prose(4, 5)} {prose(5, 40)}", "x", prose(6, 200)]
+    assert got == sorted(zip((d for d, _ in rows), kept, strict=True))
+
+
 def test_language_on_held_out_documents_and_odd_texts(spark):
     rows = [(i, prose(i, 30, "abcde" if i % 2 else "defgh"), "xy"[i % 2]) for i in range(200)]
     rows += [(1000, None, "x"), (1001, "", "x"), (1002, "12 !?", "y"), (1003, prose(7, 2), None)]
