@@ -245,6 +245,12 @@ def fact_profile(spark, d):
     return lat.fact_profile(status.filter(~F.col("is_returning")), _as_of(status, "polled_at"))
 
 
+@query
+def fact_profile_whole(spark, d):
+    """All facts, at the newest trip."""
+    return lat.fact_profile(views.status(spark, d), _as_of(views.trips(spark, d), "started_at"))
+
+
 @query
 def recent_polls(spark, d):
     return lat.recent_polls(views.status(spark, d))
@@ -485,6 +491,12 @@ def freshness(spark, d):
     return qual.freshness(status.filter(~F.col("is_renting")), _as_of(status, "polled_at"))
 
 
+@query
+def freshness_whole(spark, d):
+    """The age of all facts at the newest trip."""
+    return qual.freshness(views.status(spark, d), _as_of(views.trips(spark, d), "started_at"))
+
+
 @query
 def reconcile_counts(spark, d):
     status = views.status(spark, d)

@@ -251,6 +251,14 @@ ORACLES["fact_profile"] = with_views(
   CAST(round_even(((SELECT epoch_us(max(polled_at)) FROM status) - epoch_us(max(polled_at))) / 1e6, 0) AS INTEGER) AS seconds_behind
 FROM status WHERE NOT is_returning""",
 )
+ORACLES["fact_profile_whole"] = with_views(
+    "status trips",
+    """SELECT count(*) AS rows, count(DISTINCT station_key) AS stations_seen,
+  count(DISTINCT polled_at) AS polls, strftime(min(polled_at), '%Y-%m-%d %H:%M:%S') AS first_poll,
+  strftime(max(polled_at), '%Y-%m-%d %H:%M:%S') AS last_poll,
+  CAST(round_even(((SELECT epoch_us(max(started_at)) FROM trips) - epoch_us(max(polled_at))) / 1e6, 0) AS INTEGER) AS seconds_behind
+FROM status""",
+)
 ORACLES["recent_polls"] = with_views(
     "status",
     f"""SELECT strftime(polled_at, '%H:%M:%S') AS poll, stations, bikes_out_there, free_docks FROM (
@@ -518,6 +526,12 @@ ORACLES["freshness"] = with_views(
 FROM (SELECT max(polled_at) AS a, max(polled_at) FILTER (WHERE NOT is_renting) AS newest,
   count(*) FILTER (WHERE NOT is_renting) AS rows FROM status)""",
 )
+ORACLES["freshness_whole"] = with_views(
+    "status trips",
+    """SELECT CAST(round_even((epoch_us(a) - epoch_us(newest)) / 1e6, 0) AS INTEGER) AS seconds_old, rows,
+  (epoch_us(a) - epoch_us(newest)) / 1e6 < 300 AS ok
+FROM (SELECT (SELECT max(started_at) FROM trips) AS a, max(polled_at) AS newest, count(*) AS rows FROM status)""",
+)
 ORACLES["reconcile_counts"] = with_views(
     "landing",
     """SELECT 'fact' AS side, count(*) AS rows FROM status

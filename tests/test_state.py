@@ -304,3 +304,13 @@ def test_trip_archive_without_a_column_raises(spark, tmp_path):
 def test_ratio_of_large_sums(spark):
     big = spark.range(1).select(ratio(F.lit(6 * 10**13), F.lit(86400), 0, scale=86400).alias("r"))
     assert big.first()["r"] == 6e13
+
+
+def test_all_facts_are_profiled(spark):
+    from bikeflow.catalog import QUERIES
+    from bikeflow.sources import views
+
+    folder = "/root/testdata/sf0.001"
+    n = views.status(spark, folder).count()
+    assert QUERIES["fact_profile_whole"](spark, folder).first()["rows"] == n
+    assert QUERIES["freshness_whole"](spark, folder).first()["rows"] == n
