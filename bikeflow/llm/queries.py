@@ -12,6 +12,7 @@ from bikeflow.llm import (
     bpe,
     digest_index,
     extract,
+    filter_audit,
     language,
     merkle,
     mixing,
@@ -74,10 +75,15 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.col("ids_crc32"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_near_duplicates, op2_language, op3_repeated_passages, op4_main_text, op5_fingerprints,
         op6_mix, op7_byte_bpe, op8_personal_data, op9_exact_dedup, op10_token_store,
+        op12_filter_audit,
     )
 }

@@ -95,4 +95,42 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_filter_audit": f"""
+        WITH flags AS (
+          SELECT d.doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,
+                 EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1) AS good,
+                 EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1) AS toxic,
+                 coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS e
+          FROM documents d
+        ), docs AS (
+          SELECT part, good, toxic, concat(CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                 CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' END,
+                 CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN e THEN 'E' END) AS fails
+          FROM flags
+        ), counted AS (
+          SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM docs GROUP BY part, fails
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+        ), orders AS (
+          SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+          WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+        ), steps AS (
+          SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS before
+          FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)
+        ), played AS (
+          SELECT part, filter_order, step, f,
+                 sum(CASE WHEN removed_at > step THEN n ELSE 0 END)::BIGINT AS kept,
+                 sum(CASE WHEN removed_at = step THEN n ELSE 0 END)::BIGINT AS removed,
+                 sum(CASE WHEN removed_at < step AND contains(fails, f) THEN n ELSE 0 END)::BIGINT AS redundant,
+                 sum(CASE WHEN fails = f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                 sum(CASE WHEN removed_at = step THEN good ELSE 0 END)::BIGINT AS good_lost,
+                 sum(CASE WHEN removed_at = step THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+          FROM (
+            SELECT *, coalesce(list_min(list_transform(string_split(nullif(fails, ''), ''), lambda x: position(x IN filter_order))), 6) AS removed_at
+            FROM counted, steps
+          ) GROUP BY part, filter_order, step, f
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM played
+    """,
 }
