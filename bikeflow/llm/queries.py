@@ -20,6 +20,7 @@ from bikeflow.llm import (
     pii,
     substring,
     token_store,
+    whitening,
 )
 from bikeflow.llm.common import table
 from bikeflow.plans.runtime import scratch
@@ -79,11 +80,15 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=4)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_near_duplicates, op2_language, op3_repeated_passages, op4_main_text, op5_fingerprints,
         op6_mix, op7_byte_bpe, op8_personal_data, op9_exact_dedup, op10_token_store,
-        op12_filter_audit,
+        op12_filter_audit, op13_whitening,
     )
 }
