@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,35 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[Batch]], Iterator[Batch]
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, size: str = "4MB"):
+    """Batches that Spark hands to Python hold ``size`` bytes at most, or one row, for jobs that run inside.
+
+    The default counts rows, whatever their length. What is lazy and runs after the block has the session's own bound.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+    """Like ``map_batches``, but ``work`` reads the Arrow batches themselves and yields arrays by column name."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in work(b for b in batches if b.num_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 def row_wise(df: DataFrame, make: Callable[..., tuple], inputs: list[str], schema: str) -> DataFrame:
     """One output row from the ``inputs`` of each input row; ``make`` is called once per row in a task."""
     names = [part.strip().split()[0] for part in schema.split(",")]

@@ -17,6 +17,7 @@ from bikeflow.llm import (
     merkle,
     mixing,
     near_dup,
+    partenum,
     pii,
     substring,
     token_store,
@@ -76,6 +77,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.col("ids_crc32"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.join_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -89,6 +94,6 @@ QUERIES = {
     for q in (
         op1_near_duplicates, op2_language, op3_repeated_passages, op4_main_text, op5_fingerprints,
         op6_mix, op7_byte_bpe, op8_personal_data, op9_exact_dedup, op10_token_store,
-        op12_filter_audit, op13_whitening,
+        op11_ngram_join, op12_filter_audit, op13_whitening,
     )
 }

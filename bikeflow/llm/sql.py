@@ -95,6 +95,25 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_ngram_join": f"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+          FROM documents
+        ), shingles AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+          SELECT a, b FROM (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+          ) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+          WHERE 100 * c >= 85 * (p.n + q.n - c)
+        ), reach AS (
+          SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+        ), lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN lowest l ON l.a = d.doc_id
+    """,
     "op12_filter_audit": f"""
         WITH flags AS (
           SELECT d.doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,

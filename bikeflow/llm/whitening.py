@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from bikeflow.llm.common import map_arrow
 from bikeflow.plans.runtime import cut
 
 GRID = 256
@@ -27,18 +28,6 @@ LARGEST = 2**62        # entries beyond it become it, so that differences still
 SLICE = 1 << 20        # entries that are worked on at once
 SWEEPS = 60
 
-Work = Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]
-
-
-def _arrow(df: DataFrame, work: Work, ddl: str) -> DataFrame:
-    schema = to_arrow_schema(StructType.fromDDL(ddl))
-
-    def run(batches):
-        for out in work(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
-
-    return df.mapInArrow(run, ddl)
-
 
 def grid_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id``, ``x`` (entries as ``floor(256 * c)``): the rows whose vector has entries, none null or not finite.
@@ -85,7 +74,7 @@ def _summed(vectors: DataFrame, dims: int, add: Callable[[np.ndarray], np.ndarra
     # One row per task; the sums over tasks are by position, so no task holds more than its share of positions.
     wide = "decimal(38,0)" if kind == "bigint" else "double"
     rows = (
-        _arrow(vectors, work, f"sums array<{kind}>").select(F.posexplode("sums").alias("at", "v"))
+        map_arrow(vectors, work, f"sums array<{kind}>").select(F.posexplode("sums").alias("at", "v"))
         .groupBy("at").agg(F.sum(F.col("v").cast(wide)).alias("v")).collect()
     )
     out = [0] * width
@@ -273,4 +262,4 @@ def whiten(embeddings: DataFrame, k: int = 4, id_col: str = "vec_id", vector_col
                 "explained": np.tile(shared, m), "identity_error": np.full(m * k, error),
             }
 
-    return _arrow(vectors.filter(F.size("x") == dims), work, SCHEMA)
+    return map_arrow(vectors.filter(F.size("x") == dims), work, SCHEMA)
