@@ -27,6 +27,8 @@ GRID = 256
 LARGEST = 2**62        # entries beyond it become it, so that differences still fit 64 bits
 SLICE = 1 << 20        # entries that are worked on at once
 SWEEPS = 60
+BRANCHES = 8           # tasks that add up what all others have summed
+LIMB = 21              # bits of a part of an entry whose sums fit 64 bits for up to 2**42 rows
 
 
 def grid_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -62,25 +64,29 @@ def _matrices(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[pa
             yield part, part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def _summed(vectors: DataFrame, dims: int, add: Callable[[np.ndarray], np.ndarray], width: int, kind: str) -> list:
-    """The sum over all rows of what ``add`` makes of a matrix of them, ``width`` numbers."""
+def _summed(vectors: DataFrame, dims: int, add: Callable[[np.ndarray], np.ndarray], kind: str) -> np.ndarray | None:
+    """The sum over all rows of what ``add`` makes of a matrix of them; None without rows."""
 
-    def work(batches):
-        total = np.zeros(width, np.int64 if kind == "bigint" else np.float64)
+    def one(batches):
+        total = None
         for _, x in _matrices(batches, dims):
-            total += add(x)
-        yield {"sums": [total]}
-
-    # One row per task; the sums over tasks are by position, so no task holds more than its share of positions.
-    wide = "decimal(38,0)" if kind == "bigint" else "double"
-    rows = (
-        map_arrow(vectors, work, f"sums array<{kind}>").select(F.posexplode("sums").alias("at", "v"))
-        .groupBy("at").agg(F.sum(F.col("v").cast(wide)).alias("v")).collect()
-    )
-    out = [0] * width
-    for r in rows:
-        out[r["at"]] = r["v"]
-    return out
+            total = add(x) if total is None else total + add(x)
+        if total is not None:
+            yield {"sums": [total]}
+
+    def several(batches):
+        total = None
+        for b in batches:
+            for s in b.column("sums"):
+                s = s.values.to_numpy()
+                total = s if total is None else total + s
+        if total is not None:
+            yield {"sums": [total]}
+
+    # A row per task, then a row per branch, which is all that the driver gets.
+    ddl = f"sums array<{kind}>"
+    rows = map_arrow(map_arrow(vectors, one, ddl).repartition(BRANCHES), several, ddl).collect()
+    return sum(np.array(r["sums"]) for r in rows) if rows else None
 
 
 def pivoted_cholesky(a: np.ndarray) -> np.ndarray:
@@ -183,14 +189,16 @@ def commonest_length(distinct: DataFrame) -> int:
 def fit(distinct: DataFrame, dims: int) -> Whitening | None:
     """The components of ``distinct`` vectors (``x``, of length ``dims``); None without any spread."""
 
-    def halves(x):  # each sum of halves fits 64 bits for up to 2**31 rows a task
-        return np.r_[(x >> 32).sum(0), (x & 0xFFFFFFFF).sum(0), len(x)]
+    def limbs(x):
+        low = (1 << LIMB) - 1
+        return np.r_[(x >> 2 * LIMB).sum(0), (x >> LIMB & low).sum(0), (x & low).sum(0), len(x)]
 
-    sums = [int(v) for v in _summed(distinct, dims, halves, 2 * dims + 1, "bigint")]
-    n = sums[-1]
-    if not n:
+    sums = _summed(distinct, dims, limbs, "bigint")
+    if sums is None:
         return None
-    total = [(high << 32) + low for high, low in zip(sums[:dims], sums[dims:-1], strict=True)]
+    n = int(sums[-1])
+    high, middle, low = (sums[i * dims : (i + 1) * dims].tolist() for i in range(3))
+    total = [(h << 2 * LIMB) + (m << LIMB) + v for h, m, v in zip(high, middle, low, strict=True)]
     centre = [(2 * s + n) // (2 * n) for s in total]
     rest = [s - n * c for s, c in zip(total, centre, strict=True)]
     about = np.array(centre, np.int64)
@@ -201,7 +209,7 @@ def fit(distinct: DataFrame, dims: int) -> Whitening | None:
         return (y.T @ y)[upper]
 
     scatter = np.zeros((dims, dims))
-    scatter[upper] = _summed(distinct, dims, products, len(upper[0]), "double")
+    scatter[upper] = _summed(distinct, dims, products, "double")
     part = np.array(rest, float)
     scatter = np.triu(scatter - np.outer(part, part / n))
     scatter += np.triu(scatter, 1).T
@@ -224,7 +232,7 @@ def identity_error(distinct: DataFrame, model: Whitening, k: int) -> float:
         w = model.project(x, k)
         return np.r_[w.sum(0), (w.T @ w).ravel()]
 
-    sums = np.array(_summed(distinct, model.dims, add, k + k * k, "double")) / model.n
+    sums = _summed(distinct, model.dims, add, "double") / model.n
     return float(np.abs(sums[k:].reshape(k, k) - np.outer(sums[:k], sums[:k]) - np.eye(k)).max())
 
 
