@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from functools import lru_cache
-from math import comb
+from math import exp, lgamma, log, log1p
 
 import numpy as np
 import pandas as pd
@@ -69,8 +69,12 @@ def layout(low: int, percent: int) -> tuple[np.ndarray, int]:
 
     def lists_empty(extra: int) -> float:
         groups = needed + extra
-        empty = min(PARTS * (1 - (PARTS - 1) / (PARTS * groups)) ** smallest, 1)
-        return 1 - sum(comb(groups, i) * empty**i * (1 - empty) ** (groups - i) for i in range(extra + 1))
+        empty = PARTS * (1 - (PARTS - 1) / (PARTS * groups)) ** smallest
+        if empty >= 1:
+            return 1.0
+        some = (lgamma(groups + 1) - lgamma(i + 1) - lgamma(groups - i + 1) + i * log(empty) + (groups - i) * log1p(-empty)
+                for i in range(extra + 1))
+        return max(1 - sum(map(exp, some)), 0.0)
 
     tries = range(max(needed // 4, 2) + 1)
     extra = next((x for x in tries if lists_empty(x) < RARE), None)
