@@ -32,6 +32,7 @@ from bikeflow.plans.runtime import parallelism
 
 GAMMA = 1.5         # bits per key of a level
 CACHED = 300_000    # distinct words whose ids a worker remembers, twice over
+SHARD_ROWS = 200_000  # documents of a shard, about; a task holds the keys, offsets and counts of one
 MAGIC = b"MPHTOK01"
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -143,17 +144,35 @@ def _byte_letters() -> list[str]:
 
 
 _LETTERS = _byte_letters()
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # fixed value: ASCII punctuation without the apostrophe
 _LATIN_END, _DOTTED = "\u0250", "\u0130"  # below the first, letters are composed and have a small letter each, but for the second
 
 
+class _Known(dict):
+    """Ids by word; a word that is not there is looked up when it is asked for."""
+
+    def __init__(self, make) -> None:
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.older.get(word) or self.make(word)
+        return found
+
+    def age(self) -> None:
+        """Forget the words of the generation before last, if there are many."""
+        if len(self) > CACHED:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """The tokenizers library, asked once for each different word.
 
     Its steps before the merges never look across ASCII blanks (blanks are dropped, and no character composes with
-    one), so the ids of a text are those of its words one after the other. A word of Latin letters, with or without full stops
-    and commas behind it, is one run of letters and one of punctuation for these steps; in small letters it goes to the library's merges
-    directly, which is several times faster. All others take the whole way. A special token that a text spells out is one id, as the
-    library has it: such a token has no blank and is no word of letters, so it goes whole to the library.
+    one), so the ids of a text are those of its words one after the other. A word of Latin letters, with or without ASCII punctuation
+    behind it (no apostrophe, which may begin a contraction), is one run of letters and one of punctuation for these steps; in small
+    letters it goes to the library's merges directly, which is several times faster. All others take the whole way. A special token that
+    a text spells out is one id, as the library has it: such a token has no blank and is no word of letters, so it goes whole to the library.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
@@ -164,8 +183,7 @@ class WordEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
         self.end = self._pack([end_id])
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known = _Known(self._ids)
         self.tails: dict[str, bytes] = {"": b""}
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -179,8 +197,9 @@ class WordEncoder:
 
     def _ids(self, word: bytes) -> bytes:
         text = word.decode()
-        core = text.rstrip(".,")
-        if not core.isalpha() or max(core) >= _LATIN_END or _DOTTED in core:
+        core = text.rstrip(_TAIL)
+        plain = core.isascii()
+        if not core.isalpha() or not plain and (max(core) >= _LATIN_END or _DOTTED in core):
             return self._whole_way(text)
         tail = text[len(core) :]
         if tail not in self.tails:
@@ -188,19 +207,15 @@ class WordEncoder:
                 self.tails = {"": b""}
             self.tails[tail] = self._whole_way(tail)
         core = core.lower()
-        if not core.isascii():
+        if not plain:
             core = "".join(map(_LETTERS.__getitem__, core.encode()))
         return self._pack([t.id for t in self.merges.tokenize(core)]) + self.tails[tail]
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as bytes of ``width`` per id."""
-        if len(self.known) > CACHED:  # words of the generation before last are forgotten
-            self.known, self.older = {}, self.known
-        split = [t.encode().split() for t in batch]
-        known, older = self.known, self.older
-        for w in {w for words in split for w in words if w not in known}:
-            known[w] = older.get(w) or self._ids(w)
-        return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
+        self.known.age()
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, t.encode().split())) + self.end for t in batch]
 
 
 @lru_cache(maxsize=2)
@@ -228,7 +243,7 @@ def write(
     """Encode ``docs`` into a store at ``folder`` and return its manifest, a row per shard.
 
     The manifest (``shard``, ``n_docs``, ``n_ids``, ``low``, ``high``, ``start``) is also left in the folder as
-    ``manifest.json``; it has one row per shuffle partition. Ids are sampled only to find the ranges. A null text is empty and holds
+    ``manifest.json``; it has a row per ``SHARD_ROWS`` documents, one per shuffle partition at least. Ids are sampled only to find the ranges. A null text is empty and holds
     the end id alone. Rows that repeat an id follow each other in the order of their texts and have the
     keys (id, 0), (id, 1), ...; a null id counts as the smallest bigint. An empty input gives empty shards.
     """
@@ -236,7 +251,8 @@ def write(
     where, base = _open(folder)
     where.create_dir(base, recursive=True)
     keyed = texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "text")
-    ordered = keyed.repartitionByRange(parallelism(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    shards = max(parallelism(spark), -(-docs.count() // SHARD_ROWS))
+    ordered = keyed.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def work(batches):
         encoder = word_encoder(tokenizer_path, end_id)
@@ -263,8 +279,8 @@ def write(
             "low": [int(doc[0]) if len(doc) else None], "high": [int(doc[-1]) if len(doc) else None],
         }
 
-    shards = map_batches(ordered, work, "shard int, n_docs bigint, n_ids bigint, low bigint, high bigint")
-    rows = sorted((r.asDict() for r in shards.collect()), key=lambda r: r["shard"])  # one row per partition
+    written = map_batches(ordered, work, "shard int, n_docs bigint, n_ids bigint, low bigint, high bigint")
+    rows = sorted((r.asDict() for r in written.collect()), key=lambda r: r["shard"])  # one row per partition
     start = 0
     for r in rows:
         r["start"] = start
