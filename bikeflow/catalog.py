@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,8 @@ from bikeflow.sources import archive, feeds, geojson, views
 from bikeflow.sources.schemas import EVENTS
 from bikeflow.streaming import departures as sdep
 from bikeflow.streaming import landing as sland
+from bikeflow.streaming import replica as srep
+from bikeflow.streaming.mergelog import MergeLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,6 +127,16 @@ def incremental_load(spark, d):
     return dimn.incremental_load(fact, landing, views.stations(spark, d))
 
 
+@query
+def incremental_load_logged(spark, d):
+    """The same load against facts kept as a log: the mark comes from its manifest."""
+    target = sland.SyncTarget(spark, scratch(spark, "facts"))
+    facts = views.status(spark, d).filter(F.col("polled_at") <= F.lit(SINCE).cast("timestamp"))
+    target.fact_log.append(facts, 0)
+    landing = feeds.parse_status(views.status_docs(spark, d))
+    return dimn.incremental_load(target.fact_log.newest(), landing, views.stations(spark, d))
+
+
 @query
 def unmatched_landing(spark, d):
     fact = views.status(spark, d).filter(F.col("polled_at") <= F.lit(SINCE).cast("timestamp"))
@@ -154,6 +167,17 @@ def retain_landing(spark, d):
     return kept.groupBy(F.to_date("polled_at").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def retain_logged(spark, d):
+    """Retention on storage: the landing rows as a log by day, whose old days go by folder."""
+    log = MergeLog(spark, scratch(spark, "landing-log"), sland.WAITING, ("station_id", "polled_at"), "polled_at")
+    log.append(feeds.parse_status(views.status_docs(spark, d)), 0)
+    newest = log.newest()
+    if newest:
+        log.drop_before(newest - dt.timedelta(days=10), 1)
+    return log.read().groupBy(F.to_date("polled_at").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def trip_archive(spark, d):
     """Trips written in the column order of published archives, and read back by name."""
@@ -823,6 +847,27 @@ def stream_poll_totals(spark, d):
     return sland.read_poll_totals(spark, sink)
 
 
+@query
+def stream_hour_rollup(spark, d):
+    sink, state = scratch(spark, "rollups"), scratch(spark, "rollup-state")
+    _in_slices(spark, d, lambda status: sland.stream_rollups(status, sink, state))
+    return sland.read_rollup(spark, sink, "hour", 24)
+
+
+@query
+def stream_cdc(spark, d):
+    """Change rows in batches that mix all versions."""
+    base = views.stations(spark, d).select("station_key", "name", "capacity")
+    log = srep.replica_log(spark, scratch(spark, "replica"), base, fan=3)
+    srep.start_replica(log, base)
+    path = scratch(spark, "changes")
+    changes = views.changes(spark, d)
+    changes.repartition(5, F.xxhash64("station_key", "ver")).write.parquet(path)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    srep.stream_changes(stream, log, scratch(spark, "replica-state")).awaitTermination()
+    return srep.read_replica(log)
+
+
 @query
 def stream_departures(spark, d):
     sink, state = scratch(spark, "departures"), scratch(spark, "departure-state")

@@ -93,12 +93,20 @@ def high_water_mark(fact: DataFrame) -> Column:
     )
 
 
-def _newer(fact: DataFrame, landing: DataFrame) -> DataFrame:
-    return landing.filter(F.col("polled_at") > high_water_mark(fact))
+Facts = DataFrame | Column | dt.datetime | str | None
 
 
-def incremental_load(fact: DataFrame, landing: DataFrame, dim: DataFrame) -> DataFrame:
-    """Landing rows newer than the fact table, keyed and typed for appending to it."""
+def _newer(fact: Facts, landing: DataFrame) -> DataFrame:
+    mark = high_water_mark(fact) if isinstance(fact, DataFrame) else instant("1970-01-01 00:00:00" if fact is None else fact)
+    return landing.filter(F.col("polled_at") > mark)
+
+
+def incremental_load(fact: Facts, landing: DataFrame, dim: DataFrame) -> DataFrame:
+    """Landing rows newer than the fact table, keyed and typed for appending to it.
+
+    ``fact`` is the table, or its newest instant where that is known from metadata (None for an empty one): the facts are
+    then not read.
+    """
     keyed = _newer(fact, landing).join(dim.select("station_id", "station_key"), "station_id")
     return keyed.select(
         "station_key", "polled_at", "last_reported",
@@ -107,7 +115,7 @@ def incremental_load(fact: DataFrame, landing: DataFrame, dim: DataFrame) -> Dat
     )
 
 
-def unmatched_landing(fact: DataFrame, landing: DataFrame, dim: DataFrame) -> DataFrame:
+def unmatched_landing(fact: Facts, landing: DataFrame, dim: DataFrame) -> DataFrame:
     """Newer landing rows of stations the dimension does not know yet.
 
     The mark moves past them, so a caller that wants them later keeps them.
@@ -115,6 +123,11 @@ def unmatched_landing(fact: DataFrame, landing: DataFrame, dim: DataFrame) -> Da
     return _newer(fact, landing).join(dim.select("station_id"), "station_id", "left_anti")
 
 
+def operation_rank() -> Column:
+    """Of changes with one version the greatest rank counts."""
+    return F.when(F.col("op") == "D", 2).when(F.col("op") == "U", 1).otherwise(0)
+
+
 def apply_cdc(base: DataFrame, changes: DataFrame, key: str = "station_key", ver: str = "ver") -> DataFrame:
     """``base`` after its change rows: highest version per key, deleted keys gone.
 
@@ -124,9 +137,8 @@ def apply_cdc(base: DataFrame, changes: DataFrame, key: str = "station_key", ver
     columns = [c for c in base.columns if c != key]
     start = base.select(key, *columns).withColumn(ver, F.lit(-1).cast("bigint")).withColumn("op", F.lit("I"))
     rows = start.unionByName(changes.select(key, *columns, F.col(ver).cast("bigint").alias(ver), "op"))
-    rank = F.when(F.col("op") == "D", 2).when(F.col("op") == "U", 1).otherwise(0)
     newest = rows.groupBy(key).agg(
-        F.max_by(F.struct(*columns, "op"), F.struct(F.col(ver), rank.alias("_rank"), *columns)).alias("_r")
+        F.max_by(F.struct(*columns, "op"), F.struct(F.col(ver), operation_rank().alias("_rank"), *columns)).alias("_r")
     )
     return newest.filter(F.col("_r.op") != "D").select(key, *[F.col("_r." + c).alias(c) for c in columns])
 

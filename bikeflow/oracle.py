@@ -186,6 +186,7 @@ ORACLES["incremental_load"] = with_views(
   l.is_renting = 1 AS is_renting, l.is_returning = 1 AS is_returning """
     + _LOAD.format(join="JOIN stations s USING (station_id)"),
 )
+ORACLES["incremental_load_logged"] = ORACLES["incremental_load"]
 ORACLES["unmatched_landing"] = with_views(
     "landing stations",
     "SELECT l.* "
@@ -202,6 +203,11 @@ ORACLES["retain_landing"] = with_views(
     """SELECT CAST(CAST(polled_at AS DATE) AS VARCHAR) AS day, count(*) AS rows FROM landing
 WHERE polled_at >= (SELECT max(polled_at) FROM landing) - INTERVAL 10 DAY GROUP BY 1""",
 )
+ORACLES["retain_logged"] = with_views(
+    "landing",
+    f"""SELECT CAST(CAST(polled_at AS DATE) AS VARCHAR) AS day, count(*) AS rows FROM ({_COLLAPSED})
+WHERE polled_at >= (SELECT max(polled_at) FROM landing) - INTERVAL 10 DAY GROUP BY 1""",
+)
 ORACLES["trip_archive"] = with_views(
     "trips stations",
     """SELECT member_casual, count(*) AS trips, min(started_at) AS first, max(ended_at) AS last,
@@ -857,6 +863,8 @@ ORACLES["stream_poll_totals"] = with_views(
     f"""SELECT polled_at, count(*) AS stations, {big("sum(bikes)")} AS bikes, {big("sum(ebikes)")} AS ebikes,
   {big("sum(docks)")} AS docks FROM status GROUP BY polled_at""",
 )
+ORACLES["stream_hour_rollup"] = ORACLES["hour_rollup"]
+ORACLES["stream_cdc"] = ORACLES["apply_cdc"]
 ORACLES["stream_departures"] = with_views(
     "deltas",
     "SELECT station_key, polled_at, status_id, least(-delta, 8) AS n FROM deltas WHERE delta < 0",

@@ -40,6 +40,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session's jobs have written, wherever its file system is; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Spread a small frame over all tasks before an operator multiplies its rows.
 

@@ -1,21 +1,20 @@
 """Feed documents into the landing table, the dimension and the fact table.
 
-Output folders are keyed by the micro-batch number and overwritten when a batch is
-repeated after a failure, so every job can be restarted from its checkpoint.
+Output is keyed by the micro-batch number and overwritten when a batch is repeated after a
+failure, so every job can be restarted from its checkpoint.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bikeflow.operators.dimension import (
-    STATION_COLUMNS,
     collapse_landing,
     incremental_load,
     unmatched_landing,
@@ -23,12 +22,15 @@ from bikeflow.operators.dimension import (
 )
 from bikeflow.sources.feeds import parse_status
 from bikeflow.sources.schemas import STATUS_COUNTS, STATUS_FLAGS
-
-FACTS = ", ".join(
-    ["station_key bigint", "polled_at timestamp", "last_reported timestamp"]
-    + [f"{c} int" for c in STATUS_COUNTS] + [f"{c} boolean" for c in STATUS_FLAGS] + ["day date", "batch int"]
+from bikeflow.streaming.mergelog import FAN, MergeLog
+
+VALUES = ["last_reported timestamp", *[f"{c} int" for c in STATUS_COUNTS]]
+FACTS = ", ".join(["station_key bigint", "polled_at timestamp", *VALUES, *[f"{c} boolean" for c in STATUS_FLAGS]])
+WAITING = ", ".join(["station_id string", "polled_at timestamp", *VALUES, *[f"{c} int" for c in STATUS_FLAGS]])
+STATIONS = (
+    "station_key bigint, station_id string, name string, short_name string, lat double, lon double, capacity int, "
+    "region_id string"
 )
-FILES_PER_DAY = 8  # that a batch writes at most; a hot station's rows of one day are one file
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
 
@@ -82,90 +84,71 @@ def read_landing(spark: SparkSession, sink: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class SyncTarget:
-    """Folder of the dimension's change log and of the facts, both keyed by batch; facts lie by day first."""
+    """Folders of the dimension, the facts and the rows that wait for their station, each a log of the batches' changes.
+
+    ``fan`` is the number of runs of a level that are merged into one.
+    """
 
     spark: SparkSession
     path: str
+    fan: int = FAN
 
-    def _read(self, name: str, before: int | None, schema: str | None = None) -> DataFrame | None:
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        try:
-            rows = reader.parquet(f"{self.path}/{name}")
-        except AnalysisException as e:
-            # Only before the first batch is there no table; any other failure must not look like an empty one.
-            if before or e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return rows if before is None else rows.filter(F.col("batch") < before)
+    @property
+    def station_log(self) -> MergeLog:
+        schema = f"{STATIONS}, batch bigint, changed_at timestamp"
+        return MergeLog(self.spark, f"{self.path}/stations", schema, ("station_id",), "changed_at", ("batch",), self.fan)
+
+    @property
+    def fact_log(self) -> MergeLog:
+        return MergeLog(self.spark, f"{self.path}/status", FACTS, ("station_key", "polled_at"), "polled_at", (), self.fan)
+
+    @property
+    def waiting_log(self) -> MergeLog:
+        return MergeLog(self.spark, f"{self.path}/unmatched", WAITING, ("station_id", "polled_at"), "polled_at", (), self.fan)
 
     def stations(self, before: int | None = None) -> DataFrame:
         """The dimension: newest logged row per station."""
-        log = self._read("stations", before)
-        if log is None:
-            return self.spark.createDataFrame(
-                [], "station_key bigint, station_id string, name string, short_name string, "
-                "lat double, lon double, capacity int, region_id string"
-            )
-        columns = ["station_key", *STATION_COLUMNS[1:]]
-        newest = log.groupBy("station_id").agg(F.max_by(F.struct(*columns), "batch").alias("_r"))
-        return newest.select("_r.station_key", "station_id", *[F.col("_r." + c) for c in columns[1:]])
-
-    def facts(self, before: int | None = None) -> DataFrame | None:
-        """The facts with their ``day`` and ``batch``; a filter on ``day`` reads only those days."""
-        return self._read("status", before, FACTS)
-
-    def unmatched(self, before: int | None = None) -> DataFrame | None:
-        """Landing rows that no station was known for when they arrived."""
-        return self._read("unmatched", before)
-
-    def write(self, df: DataFrame, name: str, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
-
-    def write_facts(self, df: DataFrame, batch: int) -> None:
-        """Replace the batch's own part of each day that it touches."""
-        (
-            df.withColumn("day", F.to_date("polled_at"))
-            .withColumn("batch", F.lit(batch))
-            .repartition("day", F.pmod(F.xxhash64("station_key"), F.lit(FILES_PER_DAY)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch")
-            .parquet(f"{self.path}/status")
-        )
+        return self.station_log.read(before=before).drop("batch", "changed_at")
+
+    def facts(self, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+        """The facts, one row per station and poll; of some days only if these are given."""
+        return self.fact_log.read(first, last)
+
+    def unmatched(self, before: int | None = None) -> DataFrame:
+        """Landing rows whose station is not known yet."""
+        known = self.stations(before).select("station_id")
+        return self.waiting_log.read(before=before).join(known, "station_id", "left_anti")
 
 
 def sync_micro_batch(
     target: SyncTarget, station_list: Callable[[], DataFrame]
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of the copy: dimension first, then the facts it lacks.
+    """The ``foreachBatch`` function of the copy: dimension first, then the facts.
 
-    Only inserted and updated stations are written. A landing row is loaded if no earlier batch
-    has its station and poll, whatever the order in which documents arrive. Rows whose station is still
-    unknown are written apart and tried again in later batches.
+    Only inserted and updated stations are written. Facts are appended without reading those there are: of differing rows
+    of a station and poll the greatest wins, whichever batch brought it, as in ``collapse_landing``. Rows whose station is
+    still unknown wait apart; a batch reads them only if it brings new stations, and loads those of these stations.
     """
 
     def run(batch: DataFrame, epoch: int) -> None:
-        merged = upsert_stations(target.stations(epoch), station_list())
-        target.write(merged.filter(F.col("_change") != "same").drop("_change"), "stations", epoch)
-
-        dim = target.stations(epoch + 1)
-        waiting = target.unmatched(epoch)
-        landed = batch if waiting is None else batch.unionByName(waiting.select(*batch.columns))
-        landing = collapse_landing(landed).persist()
+        merged = upsert_stations(target.stations(epoch), station_list()).persist()
+        landing = collapse_landing(batch).persist()
         try:
-            keyed = incremental_load(landing.select("polled_at").limit(0), landing, dim)
-            earlier = target.facts(epoch)
-            if earlier is not None:
-                days = [r.day for r in landing.select(F.to_date("polled_at").alias("day")).distinct().collect()]
-                there = earlier.filter(F.col("day").isin(days))  # one row per day of the batch
-                keyed = keyed.join(there.select("station_key", "polled_at"), ["station_key", "polled_at"], "left_anti")
-            target.write_facts(keyed, epoch)
-            left = unmatched_landing(landing.select("polled_at").limit(0), landing, dim)
-            if waiting is not None:  # what already waits is not written twice
-                left = left.join(waiting.select("station_id", "polled_at"), ["station_id", "polled_at"], "left_anti")
-            target.write(left, "unmatched", epoch)
+            changed = merged.filter(F.col("_change") != "same")
+            target.station_log.append(
+                changed.drop("_change").withColumn("batch", F.lit(epoch).cast("bigint"))
+                .withColumn("changed_at", F.lit(None).cast("timestamp")), epoch,
+            )
+            dim = merged.select("station_id", "station_key")
+            keyed = incremental_load(None, landing, dim)
+            added = merged.filter(F.col("_change") == "insert").select("station_id", "station_key")
+            if not added.isEmpty():
+                keyed = keyed.unionByName(incremental_load(None, target.waiting_log.read(before=epoch), added))
+            target.fact_log.append(keyed, epoch)
+            target.waiting_log.append(unmatched_landing(None, landing, dim), epoch)
         finally:
             landing.unpersist()
+            merged.unpersist()
 
     return run
 
@@ -182,10 +165,16 @@ def stream_sync(
     return _start(writer, checkpoint, trigger)
 
 
+def _totals_log(spark: SparkSession, sink: str) -> MergeLog:
+    sums = ("stations", "bikes", "ebikes", "docks")
+    schema = "polled_at timestamp, " + ", ".join(f"{c} bigint" for c in sums)
+    return MergeLog(spark, sink, schema, ("polled_at",), "polled_at", sums=sums)
+
+
 def stream_poll_totals(
     status: DataFrame, sink: str, checkpoint: str, trigger: dict = ONCE
 ) -> StreamingQuery:
-    """Station, bike and dock totals per poll, as partial totals of each batch.
+    """Station, bike and dock totals per poll, as partial totals of each batch that are merged now and then.
 
     Totals add up, so the stream keeps no state and needs no watermark: a row counts however late it is.
     """
@@ -197,12 +186,53 @@ def stream_poll_totals(
             F.sum("num_ebikes_available").alias("ebikes"),
             F.sum("num_docks_available").alias("docks"),
         )
-        totals.write.mode("overwrite").parquet(f"{sink}/batch={epoch}")
+        _totals_log(batch.sparkSession, sink).append(totals, epoch)
 
     return _start(status.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 def read_poll_totals(spark: SparkSession, sink: str) -> DataFrame:
     """Totals per poll over all batches."""
-    columns = ["stations", "bikes", "ebikes", "docks"]
-    return spark.read.parquet(sink).groupBy("polled_at").agg(*[F.sum(c).alias(c) for c in columns])
+    return _totals_log(spark, sink).read()
+
+
+GRAINS = ("minute", "hour", "day")
+
+
+def _rollup_log(spark: SparkSession, sink: str, grain: str) -> MergeLog:
+    sums = ("observations", "bikes", "ebikes")
+    schema = f"{grain} timestamp, " + ", ".join(f"{c} bigint" for c in sums)
+    return MergeLog(spark, f"{sink}/{grain}", schema, (grain,), grain, sums=sums)
+
+
+def stream_rollups(
+    status: DataFrame, sink: str, checkpoint: str, grains: Sequence[str] = GRAINS, trigger: dict = ONCE
+) -> StreamingQuery:
+    """Observations, bikes and e-bikes by minute, hour and day, kept current by each batch; late rows count where they belong.
+
+    A batch is aggregated once, by the finest grain; the coarser ones add that up.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        fine = [g for g in GRAINS if g in grains]
+        rows = batch.groupBy(F.date_trunc(fine[0], "polled_at").alias(fine[0])).agg(
+            F.count(F.lit(1)).alias("observations"),
+            F.sum("num_bikes_available").alias("bikes"),
+            F.sum("num_ebikes_available").alias("ebikes"),
+        ).persist()
+        try:
+            for g in fine:
+                _rollup_log(batch.sparkSession, sink, g).append(rows.withColumn(g, F.date_trunc(g, fine[0])), epoch)
+        finally:
+            rows.unpersist()
+
+    return _start(status.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def read_rollup(spark: SparkSession, sink: str, grain: str, n: int | None = None) -> DataFrame:
+    """The rollup by ``grain``, of the newest ``n`` minutes, hours or days if given; batch twin: ``aggregates.hour_rollup``.
+
+    For ``n`` of them only the newest ``n`` days are read: each holds one at least.
+    """
+    rows = _rollup_log(spark, sink, grain).read(newest_days=n)
+    return rows if n is None else rows.orderBy(F.col(grain).desc()).limit(n)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
@@ -82,15 +83,18 @@ def test_sync_loads_the_dimension_first_and_only_newer_facts(spark, folder, tmp_
     folder("3", document(60, [("a", 4), ("x", 2)]))
     go()
     assert rows(target.stations(), "station_key", "station_id", "name") == [(1, "a", "A2"), (2, "b", "B"), (3, "x", "X")]
-    # The row of x that waited is loaded now that x is known.
-    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 4), (1, 5), (2, 3), (3, 1), (3, 2)]
+    # The row of x that waited is loaded now that x is known; of two rows of a poll the greatest stays.
+    want = [(1, 4), (1, 7), (2, 3), (3, 1), (3, 2)]
+    assert rows(target.facts(), "station_key", "num_bikes_available") == want
+    assert target.unmatched().count() == 0
     # Unchanged stations are not written again: two in the first run, two in the second.
-    assert spark.read.parquet(f"{target.path}/stations").count() == 4
+    assert spark.read.parquet(f"{target.path}/stations/runs").count() == 4
 
     # A batch repeated after a failure replaces its own output.
     batch = feeds.parse_status(spark.createDataFrame([(document(60, [("a", 4), ("x", 2)]),)], "json string"))
+    batch = batch.unionByName(feeds.parse_status(spark.createDataFrame([(document(0, [("a", 7)]),)], "json string")))
     landing.sync_micro_batch(target, stations)(batch, 1)
-    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 4), (1, 5), (2, 3), (3, 1), (3, 2)]
+    assert rows(target.facts(), "station_key", "num_bikes_available") == want
     assert target.stations().count() == 3
 
 
@@ -152,11 +156,10 @@ def test_facts_lie_by_day_and_empty_batches_are_no_error(spark, folder, tmp_path
         folder(str(i), document(second, [(station, 5 + i)]))
         docs = landing.read_documents(spark, folder.path)
         run(landing.stream_sync(docs, stations, target, str(tmp_path / "state"), landing.ONCE))
-    assert rows(target.facts(), "num_bikes_available", "batch") == [(6, 1), (7, 2)]
-    assert sorted(p.name for p in (tmp_path / "sync" / "status").glob("day=*")) == ["day=2024-01-01", "day=2024-01-02"]
-    one = target.facts().filter("day = date'2024-01-01'")
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and one.count() == 1
+    assert rows(target.facts(), "num_bikes_available") == [(7,), (8,)]
+    day = dt.date(2024, 1, 1)
+    one = target.facts(day, day)
+    assert one.count() == 1 and all("_day=2024-01-01" in f for f in one.inputFiles())
     with pytest.raises(AnalysisException):
         landing.SyncTarget(spark, str(tmp_path / "nowhere")).stations(3)
 
@@ -193,3 +196,29 @@ def test_sync_is_complete_in_any_order_and_number_of_batches(spark, folder, tmp_
     run(landing.stream_sync(docs, stations, target, str(tmp_path / "state"), landing.ONCE))
     want = sorted([(1, s // 60) for s in seconds] + [(2, 1)] * 8)
     assert rows(target.facts(), "station_key", "num_bikes_available") == want
+
+
+@pytest.mark.parametrize("files", [1, 3, 8])
+def test_sync_of_conflicting_copies_equals_the_collapse_of_all(spark, folder, tmp_path, rows, files):
+    polls = [(120, 4, 2), (0, 9, 1), (120, 7, 1), (60, 3, 3), (0, 8, 5), (120, 7, 2), (60, 3, 9), (0, 9, 0)]
+    for i, (second, a, b) in enumerate(polls):
+        folder(str(i), document(second, [("a", a), ("b", b), ("new", i)]))
+    listed = ["a", "b"]
+
+    def stations():
+        listed.append("new") if len(listed) == 2 and files < 8 else None  # known from the first or a later batch on
+        text = json.dumps({"data": {"stations": [{"station_id": i, "name": i, "lat": 40.0, "lon": -73.0} for i in listed]}})
+        return feeds.parse_stations(spark.createDataFrame([(text,)], "json string"))
+
+    target = landing.SyncTarget(spark, str(tmp_path / "sync"), fan=3)
+    docs = landing.read_documents(spark, folder.path, files_per_trigger=files)
+    run(landing.stream_sync(docs, stations, target, str(tmp_path / "state"), landing.ONCE))
+    if files == 8:
+        assert rows(target.unmatched(), "num_bikes_available") == [(5,), (6,), (7,)]
+        listed.append("new")
+        folder("9", document(0, [("a", 1)]))
+        run(landing.stream_sync(landing.read_documents(spark, folder.path), stations, target, str(tmp_path / "state"), landing.ONCE))
+    got = rows(target.facts().join(target.stations(), "station_key"), "station_id", "last_reported", "num_bikes_available")
+    whole = landing.collapse_landing(feeds.parse_status(spark.read.text(folder.path, wholetext=True).toDF("json")))
+    assert got == rows(whole, "station_id", "last_reported", "num_bikes_available") and len(got) == 9
+    assert target.unmatched().count() == 0
