@@ -871,5 +871,18 @@ def stream_cdc(spark, d):
 @query
 def stream_departures(spark, d):
     sink, state = scratch(spark, "departures"), scratch(spark, "departure-state")
-    _in_slices(spark, d, lambda status: sdep.stream_departures(status, sink, state))
+    _in_slices(spark, d, lambda status: sdep.stream_departures(status, sink, state, LOOKBACK_S))
+    return sdep.read_departures(spark, sink)
+
+
+@query
+def stream_departures_shuffled(spark, d):
+    """The same with rows dealt over the batches at random: each batch repairs what the others left."""
+    sink, state, path = scratch(spark, "departures"), scratch(spark, "departure-state"), scratch(spark, "events")
+    events = spark.read.schema(EVENTS).parquet(f"{d}/events.parquet")
+    events.repartition(4, F.xxhash64("event_id")).write.parquet(path)
+    span_s = (F.unix_seconds(F.max("ts").cast("timestamp")) - F.unix_seconds(F.min("ts").cast("timestamp"))).alias("s")
+    rows = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    lateness_s = events.agg(span_s).first().s or 0
+    sdep.stream_departures(views.status_of(rows), sink, state, lateness_s + 1).awaitTermination()
     return sdep.read_departures(spark, sink)

@@ -869,3 +869,4 @@ ORACLES["stream_departures"] = with_views(
     "deltas",
     "SELECT station_key, polled_at, status_id, least(-delta, 8) AS n FROM deltas WHERE delta < 0",
 )
+ORACLES["stream_departures_shuffled"] = ORACLES["stream_departures"]

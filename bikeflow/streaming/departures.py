@@ -1,11 +1,12 @@
-"""Departures across micro-batches, with the last level held per station.
-
-The held levels are a small table, one row per station. Inside a batch the deltas come
-from the same segmented window as in the batch operator, so a station with a third of a
-batch's rows is split over tasks; only the first row of a station needs the held level.
-Departures are keyed by the batch number; held levels alternate between two slots, so a
-batch reads what the one before left and overwrites only its own slot. A batch repeated
-after a failure therefore replaces its own output.
+"""Departures of a status stream whose rows may arrive late and in any order.
+
+Every station keeps its rows of the last while as keyed state. A row that arrives between two known ones changes the delta
+of the later one and makes a delta of its own, so the departures of a batch are changes: a departure that no longer holds
+is taken back (``sign`` -1) and the one that takes its place is added (+1). The sink adds the changes up per departure;
+whatever the order and the batches, what is left equals the batch operator's result.
+
+The state of a station is one packed value: its newest row of ``lateness`` ago or earlier, and all rows since. It goes by
+the station's own clock, so a silent station keeps just that one row and is never forgotten.
 """
 
 from __future__ import annotations
@@ -16,107 +17,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bikeflow.functions.clock import seconds_between, span
 from bikeflow.operators.events import LEVEL
-from bikeflow.plans.segments import with_previous
+from bikeflow.streaming.mergelog import FAN, MergeLog
+from bikeflow.streaming.repair import Repair
 
 KEY, TS, TIE = "station_key", "polled_at", "status_id"
-HELD = "station_key bigint, polled_at timestamp, status_id bigint, level int"
-
-
-def _slot(path: str, epoch: int) -> str:
-    return f"{path}/slot-{epoch % 2}"
-
-
-def _held(spark: SparkSession, path: str, epoch: int, forget_s: float) -> DataFrame:
-    """Last row per station before batch ``epoch``, without stations silent for ``forget_s``.
-
-    Only the first batch holds nothing; a later one whose slot cannot be read fails.
-    """
-    if epoch == 0:
-        return spark.createDataFrame([], HELD)
-    rows = spark.read.parquet(_slot(path, epoch - 1))
-    newest = rows.select(F.max(TS)).scalar()
-    return rows.filter(F.col(TS) >= newest - span(forget_s))
+CHANGES = "station_key bigint, polled_at timestamp, status_id bigint, n int, sign bigint"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def batch_deltas(rows: DataFrame, held: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Deltas of one batch against itself and the held rows.
+def _log(spark: SparkSession, sink: str, fan: int = FAN) -> MergeLog:
+    return MergeLog(spark, sink, CHANGES, (KEY, TS, TIE, "n"), TS, fan=fan, sums=("sign",))
 
-    Rows at or before a station's held snapshot came too late to form a delta and are
-    left out; ``late_rows`` returns them.
-    """
-    before = held.select(KEY, F.struct(TS, TIE, "level").alias("_held"))
-    later = F.col("_held").isNull() | (F.struct(TS, TIE) > F.struct("_held." + TS, "_held." + TIE))
-    fresh = rows.join(before, KEY, "left").filter(later)
-    seen = with_previous(fresh, [KEY], [TS, TIE], {"_ts": TS, "_level": "level"}, max_rows)
-    first = F.col("_ts").isNull()
-    previous = F.when(first, F.col("_held.level")).otherwise(F.col("_level"))
-    since = F.when(first, F.col("_held." + TS)).otherwise(F.col("_ts"))
-    return seen.select(
-        KEY, TS, TIE, "level",
-        (F.col("level") - previous).alias("delta"),
-        seconds_between(F.col(TS), since).alias("gap_seconds"),
-    )
-
-
-def late_rows(rows: DataFrame, held: DataFrame) -> DataFrame:
-    """The rows of one batch that ``batch_deltas`` leaves out."""
-    before = held.select(KEY, F.struct(TS, TIE).alias("_held"))
-    return rows.join(before, KEY).filter(F.struct(TS, TIE) <= F.col("_held")).drop("_held")
 
-
-def departure_writer(
-    sink: str, state: str, cap: int = 8, forget_s: float = 7 * 86400, max_rows: int | None = None
-) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: departures to ``sink``, held levels and late rows to ``state``."""
-
-    def run(batch: DataFrame, epoch: int) -> None:
-        rows = batch.select(KEY, TS, TIE, F.col(LEVEL).alias("level")).persist()
+def _writer(sink: str, late: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = batch.withColumn(TS, F.timestamp_micros("ts")).withColumnRenamed("tie", TIE).persist()
         try:
-            held = _held(rows.sparkSession, state, epoch, forget_s)
-            left = batch_deltas(rows, held, max_rows).filter(F.col("delta") < 0)
-            left.select(KEY, TS, TIE, F.least(-F.col("delta"), F.lit(cap)).alias("n")).write.mode(
-                "overwrite"
-            ).parquet(f"{sink}/batch={epoch}")
-            late_rows(rows, held).write.mode("overwrite").parquet(f"{state}/late/batch={epoch}")
-            last = F.max(F.struct(TS, TIE, "level")).alias("_r")
-            known = rows.unionByName(held).groupBy(KEY).agg(last).select(KEY, "_r.*")
-            known.write.mode("overwrite").parquet(_slot(state, epoch))
+            changes = rows.filter("not late").select(KEY, TS, TIE, F.col("n").cast("int").alias("n"), "sign")
+            _log(batch.sparkSession, sink).append(changes, epoch)
+            rows.filter("late").select(KEY, TS, TIE, "level").write.mode("overwrite").parquet(f"{late}/batch={epoch}")
         finally:
             rows.unpersist()
 
-    return run
+    return write
 
 
 def stream_departures(
-    status: DataFrame,
-    sink: str,
-    checkpoint: str,
-    cap: int = 8,
-    forget_s: float = 7 * 86400,
-    max_rows: int | None = None,
-    trigger: dict | None = None,
+    status: DataFrame, sink: str, checkpoint: str, lateness_s: float, cap: int = 8, trigger: dict | None = None
 ) -> StreamingQuery:
     """Departures of a status stream; batch twin: ``events.departures``.
 
-    A station that was silent for ``forget_s`` before the newest held row starts anew
-    instead of forming one delta over the outage.
+    A row that is at most ``lateness_s`` older than the newest one of its station is put where it belongs. One that is
+    older still is too, while the rows around it are held; otherwise it changes nothing and ``read_late`` returns it. Rows
+    without an instant are left out; of rows that repeat instant and id the greatest level counts. A null station is one.
+
+    The state is kept in RocksDB, which the session's state store provider is set to for this query.
     """
-    write = departure_writer(sink, f"{checkpoint}/held-levels", cap, forget_s, max_rows)
-    return (
-        status.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    spark = status.sparkSession
+    rows = status.filter(F.col(TS).isNotNull()).select(
+        KEY, F.unix_micros(TS).alias("ts"), F.coalesce(F.col(TIE).cast("bigint"), F.lit(-(2**63))).alias("tie"),
+        F.col(LEVEL).cast("int").alias("level"),
+    )
+    schema = f"{KEY} bigint, ts bigint, tie bigint, n bigint, sign bigint, level int, late boolean"
+    changes = rows.groupBy(KEY).transformWithStateInPandas(
+        Repair(int(lateness_s * 1_000_000), cap), schema, outputMode="Append", timeMode="None"
     )
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:  # the query takes the session's settings as they are when it starts
+        return (
+            changes.writeStream.foreachBatch(_writer(sink, f"{checkpoint}/late"))
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+    finally:
+        spark.conf.set(PROVIDER, before)
 
 
 def read_late(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Rows that arrived at or before their station's held snapshot and formed no delta, with their ``batch``."""
-    return spark.read.parquet(f"{checkpoint}/held-levels/late")
+    """Rows that came too late to be put in order, with their ``batch``."""
+    return spark.read.parquet(f"{checkpoint}/late")
 
 
 def read_departures(spark: SparkSession, sink: str) -> DataFrame:
-    """All departures written so far."""
-    return spark.read.parquet(sink).drop("batch")
+    """The departures after all batches."""
+    return _log(spark, sink).read().filter("sign > 0").drop("sign")

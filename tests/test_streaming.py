@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from bikeflow.operators import events
 from bikeflow.sources import feeds
-from bikeflow.streaming import departures, landing
+from bikeflow.streaming import departures, landing, repair
 
 START = 1704067200
 
@@ -126,26 +128,55 @@ def test_departures_across_batches_equal_the_batch_result(spark, status_files, t
     sink, state = str(tmp_path / "left"), str(tmp_path / "state")
     for i in range(0, 120, 30):
         status_files(data[i : i + 30])
-        run(departures.stream_departures(status_files.stream(), sink, state, max_rows=4))
+        run(departures.stream_departures(status_files.stream(), sink, state, lateness_s=60))
     batch = events.departures(spark.read.parquet(status_files.path))
     assert rows(departures.read_departures(spark, sink), "status_id", "n") == rows(batch, "status_id", "n")
     assert departures.read_departures(spark, sink).count() > 20
 
 
-def test_late_row_makes_no_negative_gap(spark, status_files, tmp_path, rows):
-    sink, state = str(tmp_path / "left"), str(tmp_path / "state")
+def test_a_late_row_repairs_the_deltas_beside_it(spark, status_files, tmp_path, rows):
+    wide, none = (str(tmp_path / "wide"), str(tmp_path / "s1")), (str(tmp_path / "none"), str(tmp_path / "s2"))
     for data in ([(1, 1, 0, 9), (2, 1, 120, 6)], [(3, 1, 60, 1)], [(4, 1, 180, 5)]):
         status_files(data)
-        run(departures.stream_departures(status_files.stream(), sink, state))
-    # The row for 60 s arrives after 120 s was seen; 180 s still compares with 120 s.
-    assert rows(departures.read_departures(spark, sink), "status_id", "n") == [(2, 3), (4, 1)]
-    assert rows(departures.read_late(spark, state), "status_id", "batch") == [(3, 1)]
-
-
-def test_a_lost_slot_of_held_levels_is_an_error(spark, status_rows, tmp_path):
-    write = departures.departure_writer(str(tmp_path / "left"), str(tmp_path / "held"))
-    with pytest.raises(AnalysisException):
-        write(status_rows([(1, 1, 0, 9)]), 1)
+        run(departures.stream_departures(status_files.stream(), *wide, lateness_s=300))
+        run(departures.stream_departures(status_files.stream(), *none, lateness_s=0))
+    # The row for 60 s takes the departure at 120 s back: 9, 1, 6, 5.
+    assert rows(departures.read_departures(spark, wide[0]), "status_id", "n") == [(3, 8), (4, 1)]
+    assert departures.read_late(spark, wide[1]).count() == 0
+    # Without lateness only the newest row is held; 180 s still compares with 120 s.
+    assert rows(departures.read_departures(spark, none[0]), "status_id", "n") == [(2, 3), (4, 1)]
+    assert rows(departures.read_late(spark, none[1]), "status_id", "level", "batch") == [(3, 1, 1)]
+
+
+def test_rows_in_any_order_give_the_batch_result():
+    r = random.Random(5)
+    for trial in range(60):
+        data = [(r.randrange(40), i, r.choice([None, *range(12)])) for i in range(60)]
+        data += r.sample(data, 5)                       # repeated rows count once
+        want = {}
+        ordered = sorted(set(data), key=lambda x: x[:2])
+        for (_, _, before), (ts, tie, level) in zip(ordered, ordered[1:]):
+            if before is not None and level is not None and level < before:
+                want[ts, tie] = min(before - level, 8)
+        r.shuffle(data)
+        held, cut, total = np.zeros(0, repair.ROWS), False, {}
+        for lo in range(0, len(data), 7):
+            part = np.array([(t, i, v or 0, v is not None) for t, i, v in data[lo : lo + 7]], repair.ROWS)
+            held, cut, changes, late = repair.merge(held, cut, part, 10**6, 8)
+            assert not len(late)
+            for ts, tie, n, sign in changes.tolist():
+                total[ts, tie, n] = total.get((ts, tie, n), 0) + sign
+        assert {k[:2]: k[2] for k, v in total.items() if v} == want and set(total.values()) <= {0, 1}
+
+
+def test_held_rows_are_bounded_by_the_lateness():
+    held, cut = np.zeros(0, repair.ROWS), False
+    for i in range(100):
+        part = np.array([(i * 60, i, i % 9, True)], repair.ROWS)
+        held, cut, _, _ = repair.merge(held, cut, part, 300, 8)
+    assert len(held) == 6 and cut and held["ts"][0] == 94 * 60  # the newest row of 300 ago, and all since
+    empty = repair.merge(held[:0], False, held[:0], 300, 8)
+    assert [len(x) for x in (empty[0], empty[2], empty[3])] == [0, 0, 0]
 
 
 def test_facts_lie_by_day_and_empty_batches_are_no_error(spark, folder, tmp_path, rows):
@@ -164,24 +195,13 @@ def test_facts_lie_by_day_and_empty_batches_are_no_error(spark, folder, tmp_path
         landing.SyncTarget(spark, str(tmp_path / "nowhere")).stations(3)
 
 
-def test_a_silent_station_starts_anew(spark, status_files, tmp_path, rows):
+def test_a_silent_station_is_not_forgotten(spark, status_files, tmp_path, rows):
     sink, state = str(tmp_path / "left"), str(tmp_path / "state")
     day = 86400
     for data in ([(1, 1, 0, 9), (2, 2, 0, 9)], [(3, 2, 5 * day, 8)], [(4, 2, 6 * day, 8)], [(5, 1, 6 * day, 1), (6, 2, 6 * day + 60, 7)]):
         status_files(data)
-        run(departures.stream_departures(status_files.stream(), sink, state, forget_s=2 * day))
-    # Station 1 was forgotten on day 5; station 2 spoke in time and was not.
-    assert rows(departures.read_departures(spark, sink), "status_id") == [(3,), (6,)]
-
-
-def test_a_repeated_batch_replaces_its_output(spark, status_rows, tmp_path, rows):
-    write = departures.departure_writer(str(tmp_path / "left"), str(tmp_path / "held"))
-    write(status_rows([(1, 1, 0, 9)]), 0)
-    for _ in range(2):
-        write(status_rows([(2, 1, 60, 5), (3, 1, 120, 4)]), 1)
-    write(status_rows([(4, 1, 180, 1)]), 2)
-    got = rows(departures.read_departures(spark, str(tmp_path / "left")), "status_id", "n")
-    assert got == [(2, 4), (3, 1), (4, 3)]
+        run(departures.stream_departures(status_files.stream(), sink, state, lateness_s=60))
+    assert rows(departures.read_departures(spark, sink), "status_id", "n") == [(3, 1), (5, 8), (6, 1)]
 
 
 @pytest.mark.parametrize("files", [1, 3, 1000])
