@@ -21,9 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bikeflow.llm.common import map_batches, texts
-from bikeflow.llm.hashing import Sequences, U, mix, word_hashes
-from bikeflow.llm.prefilter import probably_in
+from bikeflow.llm.common import bounded_batches, map_arrow, texts
+from bikeflow.llm.hashing import U, mix
+from bikeflow.llm.set_pairs import linked, set_sums, shingles
 from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut
 
@@ -42,17 +42,6 @@ _LENDERS = np.argsort(
 _EACH = np.arange(SAMPLES)
 
 
-def shingles(text: str, size: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; a shorter text is one shingle, one without words none."""
-    words = word_hashes(text.encode().lower())  # bytes.lower changes A-Z alone
-    n = len(words)
-    if not n:
-        return words
-    at = np.arange(max(n - size + 1, 1))
-    found = np.sort(Sequences(words).of(at, np.minimum(at + size, n)))
-    return found[np.r_[True, found[1:] != found[:-1]]]
-
-
 def samples(hashes: np.ndarray) -> np.ndarray:
     """The smallest hash in each slice of the range, of a non-empty sorted set; an empty slice borrows one."""
     at = np.minimum(np.searchsorted(hashes, _EDGES), len(hashes) - 1)
@@ -96,53 +85,17 @@ def alike(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, percent: i
 def _signatures(docs: DataFrame, size: int) -> DataFrame:
     def work(batches):
         for b in batches:
-            sets = [shingles(t, size) for t in b["text"]]
+            sets = [shingles(t.as_py(), size) for t in b.column("text")]
             some = [s for s in sets if len(s)]
-            keys = iter(bands(np.stack([samples(s) for s in some])).tolist() if some else [])
-            marks = []
-            for s in sets:
-                with np.errstate(over="ignore"):
-                    sums = [int(mix(s ^ U(x)).sum(dtype=U).view(np.int64)) for x in (0, 0xA0761D6478BD642F)]
-                marks.append((len(s), *sums, next(keys) if len(s) else [], odd_sketch(s).tobytes()))
-            n, a, c, band, sketch = map(list, zip(*marks, strict=True))
-            yield {"doc_id": b["doc_id"], "n": n, "set_a": a, "set_b": c, "bands": band, "sketch": sketch}
+            keys = iter(bands(np.stack([samples(s) for s in some])) if some else [])
+            sums = np.array([set_sums(s) for s in sets], np.int64).reshape(-1, 2)
+            yield {
+                "doc_id": b.column("doc_id"), "n": [len(s) for s in sets], "set_a": sums[:, 0], "set_b": sums[:, 1],
+                "bands": [next(keys) if len(s) else [] for s in sets], "sketch": [odd_sketch(s).tobytes() for s in sets],
+            }
 
     schema = "doc_id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch binary"
-    return map_batches(docs, work, schema)
-
-
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``shingles`` (64-bit hashes, ascending, as bytes) of the documents in ``ids``."""
-
-    def work(batches):
-        for b in batches:
-            yield {"doc_id": b["doc_id"], "shingles": [shingles(t, size).tobytes() for t in b["text"]]}
-
-    wanted = probably_in(docs, ids).join(ids, "doc_id", "left_semi")
-    return map_batches(wanted, work, "doc_id bigint, shingles binary")
-
-
-def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of the pairs ``a`` < ``b`` those with at least ``percent`` similarity, checked on the full sets."""
-    ids = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    sets = cut(_sets(docs, ids, size))
-    left = sets.select(F.col("doc_id").alias("_a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("_b"), F.col("shingles").alias("y"))
-    # Each side is an exchange of its own under an inner join, so AQE can split a much wanted document.
-    both = pairs.join(left, F.col("a") == F.col("_a")).select("a", "b", "x").join(right, F.col("b") == F.col("_b"))
-
-    def work(batches):
-        for b in batches:
-            good = []
-            for x, y in zip(b["x"], b["y"], strict=True):
-                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                same = int((large[at] == small).sum())
-                good.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield {c: [v for v, g in zip(b[c], good, strict=True) if g] for c in ("a", "b")}
-
-    return map_batches(both.select("a", "b", "x", "y"), work, "a bigint, b bigint")
+    return map_arrow(docs, work, schema)
 
 
 def _alike(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
@@ -158,11 +111,11 @@ def _alike(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            sa, sb = (np.frombuffer(b"".join(b[c]), np.uint8).reshape(-1, BITS // 8) for c in ("sa", "sb"))
-            good = np.flatnonzero(alike(np.asarray(b["na"]), np.asarray(b["nb"]), sa, sb, percent))
-            yield {c: [b[c][i] for i in good] for c in ("a", "b")}
+            sa, sb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8) for c in ("sa", "sb"))
+            good = alike(b.column("na").to_numpy(), b.column("nb").to_numpy(), sa, sb, percent)
+            yield {c: b.column(c).to_numpy()[good] for c in ("a", "b")}
 
-    return map_batches(both.select("a", "b", "na", "nb", "sa", "sb"), work, "a bigint, b bigint")
+    return map_arrow(both.select("a", "b", "na", "nb", "sa", "sb"), work, "a bigint, b bigint")
 
 
 def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -211,7 +164,8 @@ def near_duplicates(
     if percent < 80:
         raise ValueError("the bands are laid out for 80 per cent and more")
     plain = texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "text")
-    marks = cut(_signatures(plain, size))
+    with bounded_batches(docs.sparkSession):
+        marks = cut(_signatures(plain, size))
 
     # Classes of equal sets, found on the sums of their hashes.
     sets = ["n", "set_a", "set_b"]
@@ -233,15 +187,16 @@ def near_duplicates(
     shared = cut(in_band.join(hubs.select("_b", "hub"), F.col("band") == F.col("_b")).select("doc_id", "band", "hub"))
     active = cut(marks.select("doc_id", "n", "sketch").join(shared.select(F.col("doc_id").alias("_i")), F.col("doc_id") == F.col("_i"), "left_semi"))
     with_hub = shared.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    tested = cut(_alike(with_hub, active, percent))
-    edges = _linked(plain, tested, size, percent).unionByName(ties)
+    with bounded_batches(docs.sparkSession):
+        tested = cut(_alike(with_hub, active, percent))
+    edges = linked(plain, tested, size, percent).unionByName(ties)
     label = cut(components(nodes, edges))
 
     # Step 3: what is left between components.
     labelled = active.join(label, F.col("doc_id") == F.col("node")).select(F.col("doc_id").alias("_i"), "label", "n", "sketch")
     members = shared.select("doc_id", "band").join(labelled, F.col("doc_id") == F.col("_i")).drop("_i")
     untested = cut(_open_pairs(members, percent).join(tested, ["a", "b"], "left_anti"))
-    more = _linked(plain, untested, size, percent)
+    more = linked(plain, untested, size, percent)
     lower = label.select(F.col("node").alias("_x"), F.col("label").alias("la"))
     upper = label.select(F.col("node").alias("_y"), F.col("label").alias("lb"))
     bridges = more.join(lower, F.col("a") == F.col("_x")).join(upper, F.col("b") == F.col("_y")).select(
