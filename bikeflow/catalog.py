@@ -41,6 +41,8 @@ TRIP_DAYS = 90
 RECENT_HOURS = 48
 SINCE = "2024-01-15 00:00:00"
 LOOKBACK_S = 86400
+# A rectangle over the network whose south side goes up to a point in its middle.
+NETWORK_RING = [(-74.045, 40.605), (-73.95, 40.65), (-73.82, 40.605), (-73.82, 40.83), (-74.045, 40.83)]
 
 
 def query(fn: Query) -> Query:
@@ -692,6 +694,18 @@ def points_in_polygons(spark, d):
     return prox.points_in_polygons(views.stations(spark, d), _diamonds(spark, d))
 
 
+@query
+def polygon_cover(spark, d):
+    """The diamonds and one polygon over most of the network, with a notch: stations inside each."""
+    x, y = (F.array(*[F.lit(v) for v in c]) for c in zip(*NETWORK_RING, strict=True))
+    wide = views.stations(spark, d).limit(1).select(
+        F.lit(-1).cast("bigint").alias("polygon_id"),
+        F.arrays_zip(x.alias("lon"), y.alias("lat")).alias("ring"),
+    )
+    polygons = _diamonds(spark, d).unionByName(wide)
+    return prox.points_in_polygons(views.stations(spark, d), polygons)
+
+
 def _flows(spark, d):
     trips = views.trips(spark, d)
     od = agg.od_pairs(trips, _as_of(trips, "started_at"), hours=OD_HOURS)

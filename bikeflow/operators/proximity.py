@@ -10,7 +10,7 @@ from bikeflow.functions.metrics import METRICS, Planar
 from bikeflow.functions.numbers import half_up, ratio
 from bikeflow.plans.runtime import spread
 from bikeflow.plans.skew import split_join
-from bikeflow.plans.tiles import Tiling, boxes_to_tiles, candidates, tile_points
+from bikeflow.plans.tiles import Tiling, boxes_to_tiles, candidates, cover, tile_points
 
 POINT_TILE = 64
 BLOCK = 8    # lattice cells per side that look for stations together
@@ -163,22 +163,13 @@ def points_in_polygons(
 ) -> DataFrame:
     """``polygon_id`` and ``station_key`` for every station inside a polygon.
 
-    ``polygons`` has ``polygon_id`` and ``ring`` (``array<struct<lon,lat>>``). Bounding
-    boxes meet equal-count tiles of points first.
+    ``polygons`` has ``polygon_id`` and ``ring`` (``array<struct<lon,lat>>``). Polygons are covered by equal-count tiles of
+    points; only stations of tiles that a side of the ring touches are tested.
     """
     points = _placed(stations).select("station_key", F.col("lon").alias("x"), F.col("lat").alias("y"))
     tiling = tile_points(points, "station_key", POINT_TILE, max_rows)
-    lons, lats = F.transform("ring", lambda p: p["lon"]), F.transform("ring", lambda p: p["lat"])
-    boxes = spread(polygons, "polygon_id").select(
-        "polygon_id", ring_edges(F.col("ring")).alias("edges"),
-        F.array_min(lons).alias("bx0"), F.array_max(lons).alias("bx1"),
-        F.array_min(lats).alias("by0"), F.array_max(lats).alias("by1"),
-    )
-    asked = boxes.select(F.col("polygon_id").alias("batch"), "bx0", "bx1", "by0", "by1", F.lit(0.0).alias("reach"))
-    hits = boxes_to_tiles(asked, tiling).select(F.col("batch").alias("polygon_id"), F.col("node").alias("tile"))
-    pairs = hits.join(boxes, "polygon_id").join(tiling.points, "tile")
-    boxed = F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1"))
-    return pairs.filter(boxed & inside_edges(F.col("x"), F.col("y"), F.col("edges"))).select(
+    pairs = spread(cover(polygons, tiling), "polygon_id", "tile").join(tiling.points, "tile")
+    return pairs.filter(F.col("sure") | inside_edges(F.col("x"), F.col("y"), F.col("edges"))).select(
         "polygon_id", "station_key"
     )
 

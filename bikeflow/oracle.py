@@ -753,6 +753,14 @@ ORACLES["points_in_polygons"] = with_views(
     f"""SELECT p.station_key AS polygon_id, s.station_key FROM stations p JOIN stations s
   ON abs(s.lon - p.lon) + abs(s.lat - p.lat) < {_W}""",
 )
+ORACLES["polygon_cover"] = with_views(
+    "stations",
+    f"""SELECT p.station_key AS polygon_id, s.station_key FROM stations p JOIN stations s
+  ON abs(s.lon - p.lon) + abs(s.lat - p.lat) < {_W}
+UNION ALL SELECT -1, station_key FROM stations
+WHERE lon > -74.045 AND lon < -73.82 AND lat < 40.83 AND
+  lat > CASE WHEN lon < -73.95 THEN 40.605 + (lon + 74.045) / 0.095 * 0.045 ELSE 40.65 - (lon + 73.95) / 0.13 * 0.045 END""",
+)
 ORACLES["flow_lines"] = with_views(
     "trips stations",
     f""", {_OD} SELECT start_station_key, end_station_key, a.name AS from_name, b.name AS to_name, trips,

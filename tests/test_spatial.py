@@ -13,7 +13,7 @@ from bikeflow.functions import geo, polygons
 from bikeflow.functions.metrics import METRICS
 from bikeflow.operators import allocation, clusters, proximity, regions
 from bikeflow.plans import components as comp
-from bikeflow.plans import segments, skew, tiles
+from bikeflow.plans import runtime, segments, skew, tiles
 
 RADIUS = 6371008.8
 
@@ -270,6 +270,38 @@ def test_points_in_polygons(spark, points, stations):
     assert got == {(i, k) for i, r in rings.items() for k, p in points.items() if inside(p, r)}
 
 
+def test_a_polygon_over_everything_is_many_small_pieces(spark):
+    rng = random.Random(9)
+    points = {k: (rng.random(), rng.random()) for k in range(6000)}
+    rows = [(k, x, y) for k, (x, y) in points.items()]
+    stations = spark.createDataFrame(rows, "station_key bigint, lon double, lat double")
+    rings = {0: [(-1, -1), (2, -1), (2, 2), (-1, 2)], 1: [(-1, -1), (0.5, 0.25), (2, -1), (2, 2), (-1, 2)], 2: [(0.2, 0.2), (0.3, 0.2), (0.25, 0.3)],
+             3: [(5, 5), (6, 5), (6, 6)], 4: [(0.1, 0.1), (0.9, 0.1), (0.9, 0.1), (0.5, 0.1)], 5: []}
+    polys = spark.createDataFrame(
+        [(i, [{"lon": float(x), "lat": float(y)} for x, y in r]) for i, r in rings.items()],
+        "polygon_id bigint, ring array<struct<lon:double,lat:double>>",
+    )
+    got = {}
+    for i, k in proximity.points_in_polygons(stations, polys).collect():
+        got.setdefault(i, set()).add(k)
+    assert got[0] == set(points)
+    assert got[1] == {k for k, (x, y) in points.items() if y > (-1 + (x + 1) / 1.5 * 1.25 if x < 0.5 else 0.25 - (x - 0.5) / 1.5 * 1.25)}
+    assert 0 < len(got[2]) < 60 and set(got) == {0, 1, 2}
+
+    tiling = tiles.tile_points(stations.withColumnRenamed("lon", "x").withColumnRenamed("lat", "y"), "station_key", 64)
+    met = tiles.cover(polys, tiling)
+    of = {(r.polygon_id, r.sure): r.n for r in met.groupBy("polygon_id", "sure").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert of[0, True] == tiling.count and (0, False) not in of    # nothing of it is tested point by point
+    assert of[1, True] > 3 * of[1, False] and (3, True) not in of
+    # The tiles of one polygon are dealt over all tasks.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r.n for r in runtime.spread(met, "polygon_id", "tile").filter("polygon_id = 0").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and max(sizes) <= 2 * sorted(sizes)[1]
+
+
 def test_service_grid_gives_every_cell_to_its_nearest(points, stations):
     step = 0.02
     got = {r["station_key"]: r["cells"] for r in proximity.service_grid(stations, step).collect()}
