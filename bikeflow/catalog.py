@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bikeflow.functions.clock import local_to_utc, span
-from bikeflow.functions.geo import area_km2, distance_m, point_wkt, snap, web_mercator
+from bikeflow.functions.geo import area_km2, distance_m, geodesic_m, point_wkt, snap, spheroid_km2, web_mercator
 from bikeflow.functions.numbers import half_up, unit_draw
 from bikeflow.operators import aggregates as agg
 from bikeflow.operators import allocation as alloc
@@ -536,6 +536,17 @@ def reconcile_rows(spark, d):
     return qual.reconcile_rows(base, dimn.apply_cdc(base, views.changes(spark, d)))
 
 
+@query
+def reconcile_tree(spark, d):
+    """Facts against a copy in which some levels were changed, some rows lost and some doubled."""
+    facts = views.status(spark, d).select("status_id", "station_key", "polled_at", "num_bikes_available")
+    n = F.col("status_id")
+    level = F.when(n % 997 == 0, F.col("num_bikes_available") + 1).otherwise(F.col("num_bikes_available"))
+    copy = facts.filter(n % 1009 != 5).withColumn("num_bikes_available", level)
+    copy = copy.unionByName(copy.filter(n % 1013 == 7))
+    return qual.reconcile_tree(facts, copy)
+
+
 @query
 def check_report(spark, d):
     status, st = views.status(spark, d), views.stations(spark, d)
@@ -545,7 +556,7 @@ def check_report(spark, d):
         return rows.agg((n == 0).alias("ok"), F.concat(n.cast("string"), F.lit(" " + what)).alias("detail"))
 
     def fresh() -> DataFrame:
-        seen = qual.freshness(status, _as_of(status, "polled_at") + span(600))
+        seen = qual.freshness(status, _as_of(views.trips(spark, d), "started_at"))
         return seen.select("ok", F.concat(F.col("seconds_old").cast("string"), F.lit(" s old")).alias("detail"))
 
     return qual.run_checks(
@@ -653,6 +664,11 @@ def polygon_areas(spark, d):
     return _diamonds(spark, d).select("polygon_id", half_up(area_km2(F.col("ring")), 6).alias("km2"))
 
 
+@query
+def polygon_areas_spheroid(spark, d):
+    return _diamonds(spark, d).select("polygon_id", half_up(spheroid_km2(F.col("ring")), 6).alias("km2"))
+
+
 @query
 def network_density(spark, d):
     return reg.network_density(views.stations(spark, d))
@@ -712,6 +728,13 @@ def _flows(spark, d):
     return prox.flow_lines(od, views.stations(spark, d))
 
 
+@query
+def flow_geodesics(spark, d):
+    """Lengths of the flow lines on the spheroid, in metres."""
+    ends = [F.col("line")[i][c] for i in (0, 1) for c in ("lon", "lat")]
+    return _flows(spark, d).select("start_station_key", "end_station_key", half_up(geodesic_m(*ends), 3).alias("metres"))
+
+
 @query
 def flow_lines(spark, d):
     line = F.col("line")

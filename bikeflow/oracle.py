@@ -549,8 +549,17 @@ ORACLES["reconcile_rows"] = with_views(
 SELECT *, 'only_a' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM base EXCEPT ALL FROM replica)
 UNION ALL SELECT *, 'only_b', 1 FROM (FROM replica EXCEPT ALL FROM base)""",
 )
+ORACLES["reconcile_tree"] = with_views(
+    "status",
+    """, facts AS (SELECT status_id, station_key, polled_at, bikes AS num_bikes_available FROM status),
+once AS (SELECT status_id, station_key, polled_at, CASE WHEN status_id % 997 = 0 THEN num_bikes_available + 1
+  ELSE num_bikes_available END AS num_bikes_available FROM facts WHERE status_id % 1009 <> 5),
+copy AS (FROM once UNION ALL FROM once WHERE status_id % 1013 = 7)
+SELECT *, 'only_a' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM facts EXCEPT ALL FROM copy)
+UNION ALL SELECT *, 'only_b', 1 FROM (FROM copy EXCEPT ALL FROM facts)""",
+)
 ORACLES["check_report"] = with_views(
-    "status stations",
+    "status stations trips",
     """, n AS (SELECT
   (SELECT count(*) FROM (SELECT 1 FROM status GROUP BY station_key, polled_at HAVING count(*) > 1)) AS dup,
   (SELECT count(DISTINCT station_key) FROM status WHERE station_key NOT IN (SELECT station_key FROM stations)) AS orphan,
@@ -558,7 +567,8 @@ ORACLES["check_report"] = with_views(
 SELECT name, ok, detail, CASE WHEN ok THEN '' ELSE hint END AS hint FROM (
   SELECT 'no duplicate snapshots' AS name, dup = 0 AS ok, dup || ' duplicated' AS detail, 'collapse the landing rows' AS hint FROM n
   UNION ALL SELECT 'no orphan facts', orphan = 0, orphan || ' orphans', 'load the dimension first' FROM n
-  UNION ALL SELECT 'data is arriving', false, '600 s old', 'look at the poller' FROM n
+  UNION ALL SELECT 'data is arriving', age < 300, CAST(age AS INTEGER) || ' s old', 'look at the poller' FROM (
+    SELECT round_even((epoch_us((SELECT max(started_at) FROM trips)) - epoch_us(max(polled_at))) / 1e6, 0) AS age FROM status)
   UNION ALL SELECT 'every capacity known', no_cap = 0, no_cap || ' without capacity', 'fill the station list' FROM n)""",
 )
 ORACLES["poll_gaps"] = with_views(
@@ -716,6 +726,26 @@ ORACLES["polygon_areas"] = with_views(
   FROM stations, (VALUES ({_W}, 0, 0, {_W}), (0, {_W}, -{_W}, 0), (-{_W}, 0, 0, -{_W}), (0, -{_W}, {_W}, 0)) c(a, b, a2, b2))
 SELECT station_key AS polygon_id, {half_up(_SPHERE_AREA, 6)} AS km2 FROM edges GROUP BY station_key""",
 )
+_E2 = "CAST(0.0066943799901413165 AS DOUBLE)"  # of the WGS 84 spheroid
+
+
+def _authalic(lat: str) -> str:
+    s = f"sin(radians({lat}))"
+    return (
+        f"((1 - {_E2}) / 2 * ({s} / (1 - {_E2} * {s} * {s}) + "
+        f"ln((1 + sqrt({_E2}) * {s}) / (1 - sqrt({_E2}) * {s})) / (2 * sqrt({_E2}))))"
+    )
+
+
+ORACLES["polygon_areas_spheroid"] = with_views(
+    "stations",
+    f""", edges AS (
+  SELECT station_key, lon + a AS lon, lat + b AS lat, lon + a2 AS lon2, lat + b2 AS lat2
+  FROM stations, (VALUES ({_W}, 0, 0, {_W}), (0, {_W}, -{_W}, 0), (-{_W}, 0, 0, -{_W}), (0, -{_W}, {_W}, 0)) c(a, b, a2, b2))
+SELECT station_key AS polygon_id,
+  {half_up(f"abs(sum(radians(lon2 - lon) * ({_authalic('lat')} + {_authalic('lat2')}))) * 6378137.0 * 6378137.0 / 2e6", 6)} AS km2
+FROM edges GROUP BY station_key""",
+)
 DBSCAN = f"""xy AS (SELECT station_key, {MERCATOR_X} AS x, {MERCATOR_Y} AS y FROM stations),
 nb AS (SELECT a.station_key AS a, b.station_key AS b FROM xy a JOIN xy b
        ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 400),
@@ -769,6 +799,35 @@ ORACLES["flow_lines"] = with_views(
 FROM od JOIN stations a ON a.station_key = start_station_key JOIN stations b ON b.station_key = end_station_key""",
 )
 
+
+
+def _geodesic(rounds: int = 8) -> str:
+    """``a b metres`` on the WGS 84 spheroid from ``ends`` (``a b lon1 lat1 lon2 lat2``); a subquery per round."""
+    f, minor = "CAST(0.0033528106647474805 AS DOUBLE)", "CAST(6356752.314245179 AS DOUBLE)"
+    keep = "a, b, s1, c1, s2, c2, apart"
+    arc = f"""SELECT {keep}, sqrt(power(c2 * sin(lam), 2) + power(c1 * s2 - s1 * c2 * cos(lam), 2)) AS sine,
+  s1 * s2 + c1 * c2 * cos(lam) AS cosine, atan2(sine, cosine) AS sigma,
+  CASE WHEN sine > 0 THEN c1 * c2 * sin(lam) / sine ELSE 0 END AS sina, 1 - sina * sina AS cos2a,
+  cosine - CASE WHEN cos2a > 1e-24 THEN 2 * s1 * s2 / cos2a ELSE 0 END AS m, {f} / 16 * cos2a * (4 + {f} * (4 - 3 * cos2a)) AS c"""
+    rows = f"""SELECT a, b, atan((1 - {f}) * tan(radians(lat1))) AS u1, atan((1 - {f}) * tan(radians(lat2))) AS u2,
+  sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2, radians(lon2 - lon1) AS apart, apart AS lam FROM ends"""
+    for _ in range(rounds):
+        rows = f"""SELECT {keep}, apart + (1 - c) * {f} * sina * (sigma + c * sine * (m + c * cosine * (2 * m * m - 1))) AS lam
+FROM ({arc} FROM ({rows}))"""
+    return f"""SELECT a, b, cos2a * (power(CAST(6378137 AS DOUBLE), 2) - power({minor}, 2)) / power({minor}, 2) AS u2,
+  1 + u2 / 16384 * (4096 + u2 * (u2 * (320 - 175 * u2) - 768)) AS scale, u2 / 1024 * (256 + u2 * (u2 * (74 - 47 * u2) - 128)) AS bend,
+  {minor} * scale * (sigma - bend * sine * (m + bend / 4 * (cosine * (2 * m * m - 1)
+    - bend / 6 * m * (4 * sine * sine - 3) * (4 * m * m - 3)))) AS metres
+FROM ({arc} FROM ({rows}))"""
+
+
+ORACLES["flow_geodesics"] = with_views(
+    "trips stations",
+    f""", {_OD}, ends AS (
+  SELECT start_station_key AS a, end_station_key AS b, x.lon AS lon1, x.lat AS lat1, y.lon AS lon2, y.lat AS lat2
+  FROM od JOIN stations x ON x.station_key = start_station_key JOIN stations y ON y.station_key = end_station_key)
+SELECT a AS start_station_key, b AS end_station_key, {half_up("metres", 3)} AS metres FROM ({_geodesic()})""",
+)
 ORACLES["flow_features"] = with_views(
     "trips stations",
     f""", {_OD} SELECT a.name AS from_name, b.name AS to_name, trips,

@@ -412,3 +412,35 @@ def test_measured_profiles(spark):
     # One day of each kind: season and class both count its size, 3 of 2.5 and 2 of 2.5.
     want = 2.5 * (3 / 2.5) ** 2 * 2 / 3
     assert [r["expected"] for r in hours if str(r["day"]) == "2024-01-12" and r["h"] == 8] == [pytest.approx(want)]
+
+
+def dms(d, m, s):
+    return math.copysign(abs(d) + m / 60 + s / 3600, d)
+
+
+def test_geodesics_and_areas_on_the_spheroid(spark):
+    known = [
+        # Flinders Peak to Buninyong, the published example of the Australian geodetic manual (GRS 80)
+        (dms(144, 25, 29.52440), dms(-37, 57, 3.72030), dms(143, 55, 35.38390), dms(-37, 39, 10.15610), 54972.271),
+        (0.0, 0.0, 0.0, 90.0, 10001965.7293),       # a quarter of a meridian
+        (10.0, 0.0, 11.0, 0.0, 111319.4908),        # a degree of the equator
+        (179.5, 0.0, -179.5, 0.0, 111319.4908),     # across the date line
+        (5.0, 50.0, 5.0, 50.0, 0.0),
+    ]
+    df = spark.createDataFrame([(*map(float, k),) for k in known], "a double, b double, c double, d double, want double")
+    for r in df.select("want", geo.geodesic_m(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("got")).collect():
+        assert abs(r.got - r.want) < 1e-3
+    opposite = df.limit(1).select(geo.geodesic_m(F.lit(0.0), F.lit(0.0), F.lit(179.9), F.lit(0.1))).first()[0]
+    assert opposite is None
+    ring = "array<struct<lon:double,lat:double>>"
+    globe = [(-180.0, -90.0), (180.0, -90.0), (180.0, 90.0), (-180.0, 90.0)]
+    small = [(0.0, 45.0), (0.001, 45.0), (0.001, 45.001), (0.0, 45.001)]
+    rows = [([{"lon": x, "lat": y} for x, y in r],) for r in (globe, small, small[:2], [])]
+    got = [r[0] for r in spark.createDataFrame(rows, f"ring {ring}").select(geo.spheroid_km2(F.col("ring"))).collect()]
+    assert abs(got[0] - 510065621.724) < 0.01      # surface of the WGS 84 spheroid
+    # radii of curvature at 45 degrees
+    e2 = geo.FLATTENING * (2 - geo.FLATTENING)
+    s2 = math.sin(math.radians(45.0005)) ** 2
+    north, east = geo.SEMI_MAJOR_M * (1 - e2) / (1 - e2 * s2) ** 1.5, geo.SEMI_MAJOR_M / math.sqrt(1 - e2 * s2)
+    want = north * east * math.radians(0.001) ** 2 * math.cos(math.radians(45.0005)) / 1e6
+    assert got[1] == pytest.approx(want, rel=1e-7) and got[2:] == [0.0, 0.0]
