@@ -8,7 +8,11 @@ composite importance of its own presentation and of its children's.
 
 What the markup itself names as something else than the article (menus, headers, footers, sidebars, notices,
 adverts, forms, comments) has no importance, whatever its entropy: such parts often change with every page. A class or id
-alone does not remove the only article of a page or most of its text (``no-sidebar``): there entropy decides.
+alone does not remove the only article of a page or most of its text (``no-sidebar``), and inside an article only a whole class
+name counts (``comments``, not ``search-theory``): there entropy decides.
+
+Entropies are taken as if one more page had been seen that differs from all. So one page is evidence of nothing, and the more
+pages repeat a node the less it is worth; there is no least number of pages.
 """
 
 from __future__ import annotations
@@ -26,7 +30,6 @@ from bikeflow.plans.runtime import scratch
 
 GAMMA = 0.9         # how much of an element's importance comes from its children
 LOW = 0.3           # branches of less importance go
-LEAST_PAGES = 8     # with fewer pages a site tells nothing about a node
 
 # Elements and words of markup by what they hold.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +47,7 @@ OTHER_WORDS = frozenset(
 )
 HEADING_WORDS = frozenset(["header", "masthead"])
 COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())  # can outgrow the article
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 CLOSES = {  # an opening tag ends these open elements
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -73,12 +77,14 @@ class Node:
 
 def _node(tag: str, raw: str, parent: Node | None, in_article: bool) -> Node:
     words: list[str] = []
+    names: list[str] = []
     role, hidden = "", False
     if raw:
         for name, *values in ATTRIBUTE.findall(raw):
             name, value = name.lower(), next((v for v in values if v), "")
             if name in ("class", "id"):
                 words += WORD.findall(value.lower())
+                names += value.lower().split()
             elif name == "role":
                 role = value.lower().strip()
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -86,8 +92,8 @@ def _node(tag: str, raw: str, parent: Node | None, in_article: bool) -> Node:
             elif name == "style" and "display:none" in value.lower().replace(" ", ""):
                 hidden = True
     named = OTHER_WORDS.intersection(words)
-    if in_article:  # an article may have a heading of its own
-        named -= HEADING_WORDS
+    if in_article:  # it may have a heading of its own, and any word as part of a name
+        named = OTHER_WORDS.intersection(names) - HEADING_WORDS
     plainly = hidden or role in OTHER_ROLES or (tag in OTHER and not (tag == "header" and in_article))
     other = plainly or bool(named)
     main = tag in ("article", "main") or role == "main" or "articlebody" in words
@@ -102,6 +108,15 @@ def parse(page: str) -> Node:
     """The tree of a page. Unclosed and stray tags are mended as far as blocks are concerned."""
     root = Node("html", "html", 0, False, False)
     stack, articles = [root], 0
+    open_tags: Counter[str] = Counter()  # tells at once that a tag to be closed is not open
+
+    def close(i: int) -> None:
+        nonlocal articles
+        for n in stack[i:]:
+            articles -= n.main
+            open_tags[n.tag] -= 1
+        del stack[i:]
+
     at, size = 0, len(page)
     while at < size:
         found = TAG.search(page, at)
@@ -114,38 +129,37 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if found.group(1) or found.group(4):
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if stack[i].tag == tag:
-                    articles -= sum(n.main for n in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in ("article", "main", "table") and tag not in BLOCK:
                     break
             continue
-        if tag in ("html", "body") and (tag == "html" or any(n.tag == "body" for n in stack)):
+        if tag in ("html", "body") and (tag == "html" or open_tags["body"]):
             continue
         ends = CLOSES.get(tag, ())
         if tag in BLOCK and tag not in ("body", "html"):
             ends = (*ends, "p")
-        if ends:
+        if any(open_tags[t] for t in ends):
             stops = SCOPES.get(tag, ())
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in ends:
-                    del stack[i:]
+                    close(i)
                 elif stack[i].tag in stops or (stack[i].tag in BLOCK and "p" in ends and not stops):
                     break
-            articles = sum(n.main for n in stack)
         if tag == "body":
-            del stack[1:]
+            close(1)
         node = _node(tag, found.group(3) or found.group(6) or "", stack[-1], articles > 0)
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = close.end() if close else size
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            at = end.end() if end else size
             continue
         stack[-1].children.append(node)
         if tag not in VOID and not (found.group(3) or "").endswith("/"):
             stack.append(node)
             articles += node.main
+            open_tags[tag] += 1
     if at < size:
         stack[-1].children.append(html.unescape(page[at:]))
     _spare(root)
@@ -271,8 +285,8 @@ def main_text(page: str | None, importance: dict[int, tuple[float, float]] | Non
             worth[id(n)] = max(worth[id(n)], max(parts))
     if not chosen:
         return "\n".join(blocks(root, {id(n) for n in order if worth[id(n)] >= LOW or n.tag in VOID}))
-    # In an article whole blocks go, never a word out of a sentence.
-    keep = {id(n) for n in order if worth[id(n)] >= LOW or n.tag not in BLOCK}
+    # In an article whole blocks go, never a word out of a sentence, and no heading: articles of a kind share theirs.
+    keep = {id(n) for n in order if worth[id(n)] >= LOW or n.tag not in BLOCK or n.tag in HEADINGS}
     return "\n".join(b for n in chosen for b in blocks(n, keep)) or "\n".join(b for n in chosen for b in blocks(n))
 
 
@@ -309,11 +323,9 @@ def site_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     nodes = one.select("host", F.explode(F.arrays_zip("t.path", "t.look", "t.content")).alias("o")).select("host", "o.*")
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in ((0, "look"), (1, "content"))])
     values = nodes.select("host", "path", F.inline(kinds)).groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    m = F.sum("n")
+    m = F.sum("n") + 1  # the one more page adds 1 * log2(1)
     entropy = F.log2(m) - F.sum(F.col("n") * F.log2("n")) / m
-    nodes = values.groupBy("host", "path", "kind").agg(m.alias("pages"), (entropy / F.log2(m)).alias("importance")).filter(
-        F.col("pages") >= LEAST_PAGES
-    )
+    nodes = values.groupBy("host", "path", "kind").agg((entropy / F.log2(m)).alias("importance"))
     low = nodes.groupBy("host", "path").agg(
         F.min(F.when(F.col("kind") == 0, F.col("importance"))).alias("look"),
         F.min(F.when(F.col("kind") == 1, F.col("importance"))).alias("content"),
@@ -326,8 +338,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Blocks are joined by a line feed, white space in a block is one space, character references are decoded. A null or
     empty page has an empty text. A page without a readable address belongs to the site "". Rows that repeat an id or a whole page are
-    extracted each by itself. All different pages of a site are counted; below ``LEAST_PAGES`` of them nothing is judged by entropy. In
-    an article, blocks of low importance go.
+    extracted each by itself. All different pages of a site are counted. In an article, blocks of low importance go, headings never.
     """
     spark = pages.sparkSession
     trees = scratch(spark, "site-trees")

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -159,7 +160,7 @@ def test_language_without_training_rows(empty):
 
 def test_a_rare_language_keeps_its_grams(spark):
     rows = [(i, prose(i, 40, "abcde"), "x") for i in range(150)] + [(200 + i, prose(i, 40, "pqrstuvw"), "y") for i in range(4)]
-    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), grams_per_language=150)
+    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     assert model.languages == ["x", "y"]
     assert model.predict(prose(77, 5, "pqrstuvw"))[0] == "y" and model.predict(prose(78, 5, "abcde"))[0] == "x"
 
@@ -210,6 +211,56 @@ def test_pages(spark):
         assert got[100 + i]["n_chars"] == len(prose(i, 9))
 
 
+def test_importance_of_a_site_equals_plain_entropies(spark):
+    pages = []
+    for i in range(9):
+        note = "same" if i < 7 else f"other {i}"
+        pages.append(f"<article><h2>Ingredients</h2><p>{prose(i, 6)}</p><div class=n>{note}</div></article>")
+    rows = [(i, "http://h.example/", p) for i, p in enumerate([*pages, pages[0], pages[0]])]  # copies count once
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {n["path"]: n for r in extract.site_trees(df).collect() for n in r["nodes"]}
+    seen = {}
+    for p in pages:
+        for path, kinds in extract.observations(extract.parse(p)).items():
+            for kind, value in zip(("look", "content"), kinds, strict=True):
+                seen.setdefault(path, {}).setdefault(kind, Counter())[value] += 1
+    low = 0
+    for path, kinds in seen.items():
+        worth = {}
+        for kind, counts in kinds.items():
+            shares = [n / (len(pages) + 1) for n in [*counts.values(), 1]]  # one more page, that differs
+            worth[kind] = -sum(q * np.log2(q) for q in shares) / np.log2(len(pages) + 1)
+        if min(worth.values()) < extract.LOW:
+            low += 1
+            assert all(abs(got[path][k] - worth[k]) < 1e-9 for k in worth)
+        else:
+            assert path not in got
+    assert low
+    text = by_id(extract.extract(df), "page_id")[0]["text"].split("\n")
+    assert text[0] == "Ingredients" and text[1] == prose(0, 6)  # a shared heading stays in its articles
+
+
+def test_few_pages_are_evidence_of_little(spark):
+    def kept(n):
+        rows = [(i, "http://h.example/", f"<article><p>{prose(i, 6)}</p><div class=x>Read more</div></article>") for i in range(n)]
+        got = by_id(extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id")
+        return {"Read more" in r["text"] for r in got.values()}
+
+    assert kept(1) == kept(2) == {True} and kept(12) == {False}
+
+
+def test_names_in_an_article_and_deep_pages():
+    page = (
+        "<article><p>one two three</p><section class='search-theory'><p>four five</p></section><p class='form-of-state'>six</p>"
+        "<div id='related-work'><p>seven</p></div><div class='post comments'>no</div></article>"
+    )
+    assert extract.main_text(page) == "one two three\nfour five\nsix\nseven"
+    start = time.process_time()
+    assert extract.main_text("<div>" * 20000 + "x" + "</b>" * 20000) == "x"
+    assert extract.main_text("<article>" + "<div>" * 20000 + "<p>x" + "</section>" * 20000) == "x"
+    assert time.process_time() - start < 10  # linear: far less than the minutes of a quadratic walk
+
+
 def test_class_words_do_not_remove_the_article():
     body = "<article><h1>T</h1><p>one two three</p></article>"
     for wrapper in ("<div class='layout no-sidebar'>", "<div id=page-with-header>", "<div class=comments>"):
