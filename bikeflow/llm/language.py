@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bikeflow.llm.common import map_batches
-from bikeflow.plans.runtime import cut
 
 ORDER = 3
 START = b"\n" * ORDER
@@ -154,15 +153,15 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 
 
 def train(
-    docs: DataFrame, docs_per_language: int = 500, grams_per_language: int = 100_000, folds: int = 5,
+    docs: DataFrame, docs_per_language: int = 500, folds: int = 5,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> Model:
     """A model of the languages in ``lang_col``.
 
     It learns from about ``docs_per_language`` documents of each, drawn by a hash of the id from all rows that are
-    labelled, have a text and are not ``held_out``. Their four-byte grams are counted in the tasks; the most frequent
-    ``grams_per_language`` of each language reach the driver, of equally frequent ones as many as there is room for, drawn by hash (so
-    about that number). Both bounds hold at any size of the input, and no language takes another's room.
+    labelled, have a text and are not ``held_out``. Their four-byte grams are counted in the tasks; all of them make the model,
+    whose size is thus bounded by that sample at any size of the input. Rows that repeat an id are drawn or left together, a null
+    id is never drawn; without a usable row the model has no languages.
     """
     usable = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
@@ -184,22 +183,8 @@ def train(
                 yield {"lang": [lang] * len(gram), "gram": gram, "n": n}
 
     counted = map_batches(drawn.select("lang", "text"), count, "lang string, gram bigint, n bigint")
-    top = cut(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    # Per language and count a row, of which there are few: the draw bounds the counts.
-    levels = defaultdict(list)
-    for r in top.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("grams")).collect():
-        levels[r.lang].append((r.n, r.grams))
-    room = F.lit(1.0)
-    for name, found in levels.items():
-        left = grams_per_language
-        for n, grams in sorted(found, reverse=True):
-            if grams > left:
-                part = F.when(F.col("n") > n, 1.0).when(F.col("n") == n, left / grams).otherwise(0.0)
-                room = F.when(F.col("lang") == name, part).otherwise(room)
-                break
-            left -= grams
-    chosen = top.filter(F.pmod(F.xxhash64("gram", F.lit("room")), F.lit(1_000_000)) < room * 1_000_000)
-    found = chosen.orderBy("lang", "gram").toArrow().to_pandas()
+    total = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = total.orderBy("lang", "gram").toArrow().to_pandas()
     return Model({k: (g["gram"].to_numpy(), g["n"].to_numpy(float)) for k, g in found.groupby("lang")})
 
 
