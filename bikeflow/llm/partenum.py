@@ -35,7 +35,7 @@ from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut
 
 PARTS = 3              # of a group, of which two make a signature
-RARE = 1e-9            # wanted probability that a set must list empty projections
+RARE = 1e-4            # wanted probability that a set must list empty projections
 HUB_ROUNDS = 2         # rounds with one hub per family before the rest meets in blocks
 BLOCK = 512            # members of a family that meet in one piece of work
 LEAST_BITS = 256
@@ -266,15 +266,17 @@ def join_components(
     by_sig = Window.partitionBy("sig")
     with bounded_batches(spark):
         signed = _signed(probably_in(plain, signing).join(signing, "doc_id", "left_semi"), size, percent).select(
-            "sig", "doc_id", F.min("doc_id").over(by_sig).alias("lo"), F.max("doc_id").over(by_sig).alias("hi"),
-            F.count(F.lit(1)).over(by_sig).alias("members"),
+            "doc_id", F.min("doc_id").over(by_sig).alias("lo"), F.max("doc_id").over(by_sig).alias("hi"),
+            F.count(F.lit(1)).over(by_sig).alias("members"), F.bit_xor(F.xxhash64("doc_id")).over(by_sig).alias("all"),
         )
-        shared = cut(signed.filter("lo <> hi").select("sig", "doc_id", "members"))
-    degree = cut(shared.groupBy(F.col("doc_id").alias("_i")).agg(F.sum("members").alias("deg")))
-    placed = cut(shared.join(degree, F.col("doc_id") == F.col("_i")).select("sig", "doc_id", "deg"))
-    hubs = placed.groupBy(F.col("sig").alias("_s")).agg(F.max(F.struct("deg", "doc_id"))["doc_id"].alias("hub"))
+        # Two alike share most of their buckets, with the same members: one bucket stands for all that have the same.
+        bucket = F.xxhash64("lo", "hi", "members", "all").alias("bucket")
+        shared = cut(signed.filter("lo <> hi").groupBy(bucket, "doc_id", "members").agg(F.count(F.lit(1)).alias("times")))
+    degree = shared.groupBy(F.col("doc_id").alias("_i")).agg(F.sum(F.col("members") * F.col("times")).alias("deg"))
+    placed = cut(shared.join(degree, F.col("doc_id") == F.col("_i")).select("bucket", "doc_id", "deg"))
+    hubs = placed.groupBy(F.col("bucket").alias("_s")).agg(F.max(F.struct("deg", "doc_id"))["doc_id"].alias("hub"))
     family = cut(
-        placed.join(hubs, F.col("sig") == F.col("_s")).filter("hub <> doc_id").select("hub", "doc_id", "deg").distinct()
+        placed.join(hubs, F.col("bucket") == F.col("_s")).filter("hub <> doc_id").select("hub", "doc_id", "deg").distinct()
     )
     meeting = cut(family.select("doc_id").union(family.select("hub")).distinct())
     active = cut(marks.select("doc_id", "n", "bits").join(meeting.toDF("_i"), F.col("doc_id") == F.col("_i"), "left_semi"))
