@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bikeflow.llm.common import unused
 from bikeflow.plans.runtime import cut
 
 SCHEMA = "text_sha256 string, keep_id bigint, first_batch string"
@@ -102,21 +103,57 @@ def deduplicate(
     )
 
 
+def deduplicate_in_batches(
+    docs: DataFrame, index: str, parts: int = 2, id_col: str = "doc_id", text_col: str = "text", buckets: int = 64
+) -> DataFrame:
+    """``deduplicate`` of the rows as they would come in ``parts`` batches, later ids first, against one growing index.
+
+    Ranges of ids are found by approximate quantiles, which decide only where the batches end. The row that stays, and the
+    size of a group, are those of all batches together: the first batch that has a text has its largest id. Null ids come last.
+    The index is dropped once everything is decided; results are checkpointed.
+    """
+    spark = docs.sparkSession
+    own = F.col(id_col).cast("bigint")
+    shares = [i / parts for i in range(1, parts)]
+    found = docs.agg(F.percentile_approx(own, F.lit(shares), F.lit(1000)).alias("q")).first()["q"] if shares else None
+    ends = sorted(set(found or []))
+    ranges = [F.coalesce(own <= ends[0], F.lit(True))] if ends else [F.lit(True)]
+    ranges += [(own > low) & (own <= high) for low, high in zip(ends, ends[1:])] + ([own > ends[-1]] if ends else [])
+    decided = None
+    for i, within in enumerate(ranges[::-1]):
+        batch = cut(deduplicate(docs.filter(within), index, f"{i}", id_col, text_col, buckets=buckets))
+        decided = batch if decided is None else decided.unionByName(batch)
+    spark.sql(f"DROP TABLE {index}")
+    if len(ranges) == 1:
+        return decided
+    # A text's rows in each batch, once per batch: the largest id of a group there stands for it.
+    sizes = cut(decided.groupBy(F.col("text_sha256").alias("_d")).agg(F.count(F.lit(1)).alias("_n")))
+    return decided.join(sizes, F.col("text_sha256") == F.col("_d")).select(
+        "doc_id", "keep_id", F.col("_n").alias("group_size"), "kept", "text_sha256"
+    )
+
+
 def keep_new(docs: DataFrame, index: str, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``deduplicate`` keeps, with all their columns.
+    """The rows of ``docs`` that ``deduplicate`` keeps, with all their columns, whatever their names.
 
-    Rows are matched by id and digest against the list of rows that go; of rows that repeat both, one stays.
+    Rows are matched by id and digest against the list of rows that go; of rows that repeat both, the one stays whose columns as
+    JSON come last. An empty table stays empty.
     """
+    own, digest, rows, kept = unused(docs, "_i", "_s", "_n", "_k")
     decided = deduplicate(docs, index, batch, id_col, text_col)
     dropped = cut(
-        decided.groupBy(F.col("doc_id").alias("_i"), F.col("text_sha256").alias("_d"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.count_if("kept").alias("_k"))
-        .filter(F.col("_n") > F.col("_k"))
+        decided.groupBy(F.col("doc_id").alias(own), F.col("text_sha256").alias(f"{digest}_"))
+        .agg(F.count(F.lit(1)).alias(rows), F.count_if("kept").alias(kept))
+        .filter(F.col(rows) > F.col(kept))
     )
-    named = docs.withColumn("_s", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    same = (F.col("_s") == F.col("_d")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("_i"))
+    named = docs.withColumn(digest, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    same = (named[digest] == F.col(f"{digest}_")) & named[id_col].cast("bigint").eqNullSafe(F.col(own))
     # Ids whose rows all go, or of which one repeated row stays; both lists hold dropped rows only.
-    rest = named.join(dropped, same, "left_anti").select(*docs.columns)
-    partly = dropped.filter(F.col("_k") > 0).select("_i", "_d")
-    again = named.join(partly, same, "left_semi").dropDuplicates([id_col, "_s"]).select(*docs.columns)
+    rest = named.join(dropped.select(own, f"{digest}_"), same, "left_anti").select(*docs.columns)
+    partly = dropped.filter(F.col(kept) > 0).select(own, f"{digest}_")
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    again = (
+        named.join(partly, same, "left_semi").groupBy(id_col, digest)
+        .agg(F.max_by(whole, F.to_json(whole)).alias(rows)).select(f"{rows}.*")
+    )
     return rest.unionByName(again)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bikeflow.llm.common import n_words
+from bikeflow.llm.common import n_words, unused
 from bikeflow.plans.runtime import cut
 from bikeflow.plans.segments import row_numbers
 
@@ -163,8 +163,10 @@ def mix(
 def repeat_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with each row as often as ``mixed`` takes its document; a document it does not take goes.
 
-    The choice of a document with a null id, or of one whose id has several rows, goes to all rows of that id.
+    The choice of a document with a null id, or of one whose id has several rows, goes to all rows of that id. All columns
+    stay, whatever their names. An empty table stays empty.
     """
-    often = mixed.groupBy(F.col("doc_id").alias("_i")).agg(F.max("copies").alias("_n")).filter(F.col("_n") > 0)
-    joined = docs.join(often, docs[id_col].cast("bigint").eqNullSafe(often["_i"]))
-    return joined.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+    own, times, nth = unused(docs, "_i", "_n", "_c")
+    often = mixed.groupBy(F.col("doc_id").alias(own)).agg(F.max("copies").alias(times)).filter(F.col(times) > 0)
+    joined = docs.join(often, docs[id_col].cast("bigint").eqNullSafe(often[own]))
+    return joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bikeflow.llm.common import bounded_batches, map_arrow, texts
+from bikeflow.llm.common import bounded_batches, map_arrow, texts, unused
 from bikeflow.llm.hashing import U, mix
 from bikeflow.llm.set_pairs import linked, set_sums, shingles
 from bikeflow.plans.components import components
@@ -218,7 +218,10 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that ``near_duplicates`` does not keep; all columns stay."""
-    gone = near_duplicates(docs, size, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_i")).distinct()
-    own = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63)))
-    return docs.join(gone, own == F.col("_i"), "left_anti")
+    """``docs`` without the documents that ``near_duplicates`` does not keep; all columns stay, whatever their names.
+
+    Rows that repeat an id, and rows with a null id, are one document and go or stay together. An empty table stays empty.
+    """
+    (own,) = unused(docs, "_i")
+    gone = near_duplicates(docs, size, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(gone, F.coalesce(docs[id_col].cast("bigint"), F.lit(-(2**63))) == F.col(own), "left_anti")

@@ -66,7 +66,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = f"digest_index_{uuid.uuid4().hex}"
-    decided = digest_index.deduplicate(table(spark, sf_dir, "documents"), index, "first")
+    decided = digest_index.deduplicate_in_batches(table(spark, sf_dir, "documents"), index)
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -411,10 +411,43 @@ def test_exact_dedup_against_a_growing_index(spark, docs, empty):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(900, "new"), (901, corpus()[0][1]), (0, "none")])
 
 
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_batches_through_one_index_decide_like_one(spark, docs, empty, parts):
+    groups = {}
+    rows = [(d, t) for d, t, *_ in corpus()] + [(None, "only here"), (None, "same words here " * 20), (7, "x"), (7, "x")]
+    for d, t in rows:
+        groups.setdefault(t or "", []).append(-(2**63) if d is None else d)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    name = f"index_{random.getrandbits(60):x}"
+    got = [(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in digest_index.deduplicate_in_batches(df, name, parts, buckets=4).collect()]
+    want = [(d, max(groups[t or ""]), len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest()) for d, t in rows]
+    assert Counter(got) == Counter(want) and not spark.catalog.tableExists(name)
+    assert digest_index.deduplicate_in_batches(empty, name, parts, buckets=4).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    clash = "doc_id bigint, text string, _i string, _s string, _S2 int, _d bigint, _n bigint, _c int, _k int, kept string, source string"
+    rows = [(i, prose(i // 2, 30), f"i{i}", "s", 1, 2, 3, 4, 5, "k", "src") for i in range(6)] + [(5, prose(2, 30), "i0", "t", 1, 2, 3, 4, 5, "k", "src")]
+    df = spark.createDataFrame(rows, clash)
+    once = digest_index.keep_new(df, f"index_{random.getrandbits(60):x}", "one")
+    # Of the rows that repeat id and text the one whose columns come last as JSON stays.
+    assert sorted(tuple(r) for r in once.collect()) == [rows[1], rows[3], rows[5]]
+    assert once.columns == df.columns
+    near = near_dup.keep_one(df)
+    assert near.columns == df.columns and {r.doc_id for r in near.collect()} == {0, 2, 4}
+    mixed = mixing.repeat_copies(df, mixing.mix(df))
+    assert mixed.columns == df.columns and {tuple(r) for r in mixed.collect()} <= set(rows)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_token_store_round_trip(spark, docs):
     tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
-    tokenizer.encode_special_tokens = True
-    repeated = docs.select("doc_id", "text").union(spark.createDataFrame([(3, "again"), (None, "zz")], "doc_id bigint, text string"))
+    more = [(3, "again"), (None, "zz"), (4, "see <|endoftext|> here<|startoftext|>"), (5, "Tail's ends... ok?! a_b- x$$ it's' É!!")]
+    repeated = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id bigint, text string"))
     folder = scratch(spark, "store")
     token_store.write(repeated, folder, queries.WORD_VOCABULARY)
     keys = token_store.keys_of(repeated).union(spark.createDataFrame([(10**9, 0), (1, 0)], "doc_id bigint, nth bigint"))
