@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 from bikeflow.functions.geo import web_mercator
 from bikeflow.functions.metrics import Box, Planar
+from bikeflow.plans import skew
 from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut, spread
 from bikeflow.plans.skew import grouped, split_join
 
 PAIR_LIMIT = 16384     # box pairs with at most this many point pairs are compared directly
 BAND = 1 << 31
+ONE_TASK_EDGES = 200_000   # pairs of touching cells (3 MB) whose components one task finds at once
 
 
 def _boxed(points: DataFrame, level: int, prefix: str) -> DataFrame:
@@ -133,6 +135,10 @@ def _near_cells(rows: DataFrame, cells: DataFrame, half: bool = False) -> DataFr
     return spread.join(cells, "r_gid", "left_semi")
 
 
+def _plain_join(rows: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame | None = None) -> DataFrame:
+    return rows.join(side, keys)
+
+
 def dbscan(
     stations: DataFrame, eps: float = 400.0, minpts: int = 5, project=web_mercator
 ) -> DataFrame:
@@ -162,7 +168,9 @@ def dbscan(
     biggest = cells.agg(F.max("cell_m")).first()[0] or 0
     large = biggest * biggest > PAIR_LIMIT
     many = grouped(cells.select("gid", F.col("cell_m").alias("_n")), ["gid"])
-    sized = split_join(spots, cells.select("gid", "cell_w"), ["gid"], many)
+    # No cell has more positions than the biggest one; joins on cells are split only if that is too large for a task.
+    by_cell = split_join if biggest > skew.HOT_ROWS else _plain_join
+    sized = by_cell(spots, cells.select("gid", "cell_w"), ["gid"], many)
     dense = sized.filter(F.col("cell_w") >= minpts).drop("cell_w")
     sparse = cut(sized.filter(F.col("cell_w") < minpts))
 
@@ -200,7 +208,7 @@ def dbscan(
         .join(names.select(F.col("gid").alias("r_gid"), F.col("node").alias("b")), "r_gid")
         .select("a", "b")
     )
-    labels = components(names.select("node"), edges)
+    labels = components(names.select("node"), edges, in_one_task=ONE_TASK_EDGES)
     cell_label = cut(names.join(labels, "node").select("gid", "label"))
 
     # Border points: smallest cluster among the core points in reach.
@@ -217,7 +225,7 @@ def dbscan(
         .select(F.col("l_gid").alias("loc"), "label")
     )
     attached = same.unionByName(beside).groupBy("loc").agg(F.min("label").alias("label"))
-    clustered = split_join(cores, cell_label, ["gid"]).select("loc", "label").unionByName(attached)
+    clustered = by_cell(cores, cell_label, ["gid"]).select("loc", "label").unionByName(attached)
     by_spot = spots.select("x", "y", "loc").join(clustered, "loc", "left").select("x", "y", "label")
     return split_join(placed, by_spot, ["x", "y"]).select("station_key", F.col("label").alias("cluster"))
 

@@ -37,9 +37,11 @@ def split_join(
 
     Rows of a hot key are dealt by their hash over as many groups as their count asks
     for, and the row of ``side`` is repeated once per group. All other keys join plainly.
-    The table of hot keys is broadcast: it has at most one row per ``per_group`` rows.
+    Without a hot key, which one count decides, it is a plain join.
     """
-    hot = F.broadcast(hot_keys(rows, keys, per_group) if hot is None else hot)
+    hot = hot_keys(rows, keys, per_group) if hot is None else hot
+    if hot.isEmpty():
+        return rows.join(side, list(keys))
     groups = F.coalesce("_groups", F.lit(1).cast("bigint"))
     dealt = rows.join(hot, list(keys), "left").withColumn(
         "_group", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), groups)

@@ -302,6 +302,16 @@ def test_a_polygon_over_everything_is_many_small_pieces(spark):
     assert len(sizes) == 4 and max(sizes) <= 2 * sorted(sizes)[1]
 
 
+def test_components_of_one_task_equal_the_rounds(spark, rows):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    nodes = spark.range(500).toDF("node")
+    want = rows(comp.components(nodes, df))
+    assert rows(comp.components(nodes, df, in_one_task=1000)) == want and len(want) == 500
+    assert rows(comp.components(nodes, df.limit(0), in_one_task=1000)) == [(i, i) for i in range(500)]
+
+
 def test_service_grid_gives_every_cell_to_its_nearest(points, stations):
     step = 0.02
     got = {r["station_key"]: r["cells"] for r in proximity.service_grid(stations, step).collect()}
