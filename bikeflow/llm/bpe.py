@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from bikeflow.llm.common import row_wise, texts
 
-LEAF = 2048  # code points that are encoded in one go
+LEAF = 256  # code points that are encoded in one go; nearly all texts have several
 
 # Blanks as the pattern's \s sees them; Python's own \s has four control characters more.
 BLANK = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
