@@ -23,7 +23,7 @@ from bikeflow.operators import proximity as prox
 from bikeflow.operators import quality as qual
 from bikeflow.operators import regions as reg
 from bikeflow.plans.runtime import scratch
-from bikeflow.sources import archive, feeds, geojson, views
+from bikeflow.sources import archive, feeds, geojson, places, views
 from bikeflow.sources.schemas import EVENTS
 from bikeflow.streaming import departures as sdep
 from bikeflow.streaming import landing as sland
@@ -647,6 +647,23 @@ def radius_agg(spark, d):
     return prox.radius_agg(views.status(spark, d), views.stations(spark, d), *PLACE, 5000)
 
 
+@query
+def within_radius_placed(spark, d):
+    """The same over stations laid out by place."""
+    path = scratch(spark, "stations-by-place")
+    places.write_by_place(views.stations(spark, d), path)
+    return places.within_radius(spark, path, *PLACE, 2000).select("station_key", "name")
+
+
+@query
+def radius_agg_placed(spark, d):
+    """The same over facts and stations laid out by place."""
+    st, facts = scratch(spark, "stations-by-place"), scratch(spark, "facts-by-place")
+    places.write_by_place(views.stations(spark, d), st)
+    places.write_facts_by_place(views.status(spark, d), views.stations(spark, d), facts)
+    return places.radius_agg(spark, facts, st, *PLACE, 5000)
+
+
 @query
 def agg_by_keys(spark, d):
     keys = views.stations(spark, d).filter(F.col("capacity") >= 40)

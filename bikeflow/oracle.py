@@ -649,6 +649,8 @@ ORACLES["radius_agg"] = with_views(
     f"""SELECT count(*) AS observations, {mean("bikes", 1)} AS avg_bikes
 FROM status JOIN stations USING (station_key) WHERE {_PLACE} <= 5000""",
 )
+ORACLES["within_radius_placed"] = ORACLES["within_radius"]
+ORACLES["radius_agg_placed"] = ORACLES["radius_agg"]
 ORACLES["agg_by_keys"] = with_views(
     "status stations",
     f"""SELECT count(*) AS observations, {mean("bikes", 1)} AS avg_bikes
