@@ -18,8 +18,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
-    return digest_index.keep_new(docs, f"digest_index_{uuid.uuid4().hex}", "first")
+    """Of equal texts the document with the largest id stays. The index of this run goes once all is decided."""
+    index = f"digest_index_{uuid.uuid4().hex}"
+    kept = digest_index.keep_new(docs, index, "first")
+    spark.sql(f"DROP TABLE {index}")
+    return kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
