@@ -36,7 +36,8 @@ from bikeflow.plans.runtime import cut
 
 PARTS = 3              # of a group, of which two make a signature
 RARE = 1e-4            # wanted probability that a set must list empty projections
-HUB_ROUNDS = 2         # rounds with one hub per family before the rest meets in blocks
+HUB_ROUNDS = 1         # rounds with one more hub per family before the rest meets in blocks
+ONE_TASK_EDGES = 200_000  # links (3 MB) whose components one task finds at once; more take checkpointed rounds
 BLOCK = 512            # members of a family that meet in one piece of work
 LEAST_BITS = 256
 
@@ -217,7 +218,7 @@ def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
         F.col("la").alias("a"), F.col("lb").alias("b")
     )
     roots = label.select(F.col("label").alias("node")).distinct()
-    merged = cut(components(roots, bridges).select(F.col("node").alias("_r"), F.col("label").alias("root")))
+    merged = cut(components(roots, bridges, ONE_TASK_EDGES).select(F.col("node").alias("_r"), F.col("label").alias("root")))
     return cut(label.join(merged, F.col("label") == F.col("_r")).select("node", F.col("root").alias("label")))
 
 
@@ -282,7 +283,7 @@ def join_components(
     active = cut(marks.select("doc_id", "n", "bits").join(meeting.toDF("_i"), F.col("doc_id") == F.col("_i"), "left_semi"))
     with bounded_batches(spark):
         tested = cut(_open_pairs(family.select(*_pair("hub", "doc_id")).distinct(), active, percent))
-    label = cut(components(nodes, linked(plain, tested, size, percent).unionByName(ties)))
+    label = cut(components(nodes, linked(plain, tested, size, percent).unionByName(ties), ONE_TASK_EDGES))
 
     # Step 3. The hub has met its family; the others go on without it.
     rest = _undecided(family, label)
