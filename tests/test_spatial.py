@@ -270,6 +270,27 @@ def test_points_in_polygons(spark, points, stations):
     assert got == {(i, k) for i, r in rings.items() for k, p in points.items() if inside(p, r)}
 
 
+def test_polygons_deal_points_to_batches_and_not_to_each_of_them(spark):
+    rng = random.Random(4)
+    points = {k: (rng.random() ** 2, rng.random() ** 2) for k in range(4000)}
+    rows = [(k, x, y) for k, (x, y) in points.items()]
+    stations = spark.createDataFrame(rows, "station_key bigint, lon double, lat double")
+    polys = stations.select(
+        F.col("station_key").alias("polygon_id"),
+        F.array(*[F.struct((F.col("lon") + a).alias("lon"), (F.col("lat") + b).alias("lat")) for a, b in ((0.1, 0), (0, 0.1), (-0.1, 0), (0, -0.1))]).alias("ring"),
+    )
+    found = proximity.points_in_polygons(stations, polys).groupBy("polygon_id").agg(F.count(F.lit(1)).alias("n"))
+    at = np.array(list(points.values()))
+    got = {r.polygon_id: r.n for r in found.collect()}
+    for k in range(0, 4000, 100):
+        assert got[k] == int((np.abs(at - at[k]).sum(axis=1) < 0.1).sum())
+    # What is shuffled grows with points and polygons; pairs of a polygon and a tile were many times that.
+    dealt = proximity.dealt_polygons(stations, polys).count()
+    tiling = tiles.tile_points(stations.withColumnRenamed("lon", "x").withColumnRenamed("lat", "y"), "station_key", 64)
+    pairs = tiles.cover(polys, tiling).count()
+    assert dealt <= 4 * 4000 and 2 * dealt < pairs, (dealt, pairs)
+
+
 def test_a_polygon_over_everything_is_many_small_pieces(spark):
     rng = random.Random(9)
     points = {k: (rng.random(), rng.random()) for k in range(6000)}
