@@ -5,8 +5,9 @@ of the later one and makes a delta of its own, so the departures of a batch are
 is taken back (``sign`` -1) and the one that takes its place is added (+1). The sink adds the changes up per departure;
 whatever the order and the batches, what is left equals the batch operator's result.
 
-The state of a station is one packed value: its newest row of ``lateness`` ago or earlier, and all rows since. It goes by
-the station's own clock, so a silent station keeps just that one row and is never forgotten.
+Of a station the state has its newest row of ``lateness`` ago or earlier, and all rows since. It goes by the station's own
+clock, so a silent station keeps just that one row and is never forgotten. Stations are dealt over ``BUCKETS`` groups by hash;
+a group is one packed value and its stations are repaired together, as a call for every station would cost far more than its rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from bikeflow.streaming.repair import Repair
 
 KEY, TS, TIE = "station_key", "polled_at", "status_id"
 CHANGES = "station_key bigint, polled_at timestamp, status_id bigint, n int, sign bigint"
+BUCKETS = 1024    # groups of stations; a checkpoint keeps the number that it began with
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -57,11 +59,12 @@ def stream_departures(
     """
     spark = status.sparkSession
     rows = status.filter(F.col(TS).isNotNull()).select(
-        KEY, F.unix_micros(TS).alias("ts"), F.coalesce(F.col(TIE).cast("bigint"), F.lit(-(2**63))).alias("tie"),
+        F.pmod(F.xxhash64(F.col(KEY).cast("bigint")), F.lit(BUCKETS)).alias("bucket"),
+        F.col(KEY).isNull().alias("nokey"), F.coalesce(F.col(KEY).cast("bigint"), F.lit(0)).alias("key"), F.unix_micros(TS).alias("ts"), F.coalesce(F.col(TIE).cast("bigint"), F.lit(-(2**63))).alias("tie"),
         F.col(LEVEL).cast("int").alias("level"),
     )
     schema = f"{KEY} bigint, ts bigint, tie bigint, n bigint, sign bigint, level int, late boolean"
-    changes = rows.groupBy(KEY).transformWithStateInPandas(
+    changes = rows.groupBy("bucket").transformWithStateInPandas(
         Repair(int(lateness_s * 1_000_000), cap), schema, outputMode="Append", timeMode="None"
     )
     before = spark.conf.get(PROVIDER)

@@ -169,6 +169,38 @@ def test_rows_in_any_order_give_the_batch_result():
         assert {k[:2]: k[2] for k, v in total.items() if v} == want and set(total.values()) <= {0, 1}
 
 
+def test_stations_of_a_bucket_are_repaired_together_as_each_alone():
+    r = random.Random(6)
+    for lateness in (0, 5, 10**6):
+        held, alone = np.zeros(0, repair.KEYED), {}
+        for _ in range(12):
+            part = [(r.random() < 0.1, r.randrange(-3, 4), r.randrange(40), r.randrange(5), r.randrange(9), r.random() < 0.9, False) for _ in range(r.randrange(25))]
+            new = np.array([(a, 0 if a else b, *rest) for a, b, *rest in part], repair.KEYED)
+            held, changes, late = repair.merge_stations(held, new, lateness, 8)
+            want, behind = set(), 0
+            for a, b in {(x["nokey"], x["key"]) for x in new}:
+                mine = new[(new["nokey"] == a) & (new["key"] == b)]
+                rows, cut = alone.get((a, b), (np.zeros(0, repair.ROWS), False))
+                own = np.array([(x["ts"], x["tie"], x["level"], x["known"]) for x in mine], repair.ROWS)
+                rows, cut, moved, old = repair.merge(rows, cut, own, lateness, 8)
+                alone[a, b] = rows, cut
+                want |= {(int(a), int(b), *m) for m in moved.tolist()}
+                behind += len(old)
+            assert {tuple(c) for c in changes.tolist()} == want and len(late) == behind
+        for (a, b), (rows, cut) in alone.items():
+            mine = held[(held["nokey"] == a) & (held["key"] == b)]
+            assert [tuple(x)[2:6] for x in mine.tolist()] == rows.tolist() and set(mine["cut"]) == {cut}
+
+
+def test_stations_share_calls_of_the_state(spark, status_files, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(departures, "BUCKETS", 2)
+    status_files([(i * 10 + j, None if i == 7 else i, j, 9 - j) for i in range(30) for j in range(3)])
+    sink, state = str(tmp_path / "d"), str(tmp_path / "state")
+    run(departures.stream_departures(status_files.stream(), sink, state, lateness_s=60))
+    got = rows(departures.read_departures(spark, sink), "station_key", "status_id", "n")
+    assert got == sorted(((None if i == 7 else i, i * 10 + j, 1) for i in range(30) for j in (1, 2)), key=lambda t: (t[0] is None, t))
+
+
 def test_held_rows_are_bounded_by_the_lateness():
     held, cut = np.zeros(0, repair.ROWS), False
     for i in range(100):
