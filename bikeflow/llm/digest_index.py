@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow.llm.common import unused
-from bikeflow.plans.runtime import cut
+from bikeflow.plans.runtime import cut, parallelism
 
+BUCKETS = 64    # at least, of a new index
 SCHEMA = "text_sha256 string, keep_id bigint, first_batch string"
 
 
@@ -40,9 +41,14 @@ def _groups(rows: DataFrame) -> DataFrame:
     return rows.groupBy("text_sha256").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
 
 
-def open_index(spark: SparkSession, name: str, path: str | None = None, buckets: int = 64) -> DataFrame:
-    """The index table, created when it is missing. ``path`` re-opens one that an earlier session wrote."""
+def open_index(spark: SparkSession, name: str, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """The index table, created when it is missing. ``path`` re-opens one that an earlier session wrote.
+
+    It has as many buckets as a shuffle has partitions, unless ``buckets`` says otherwise. With fewer, a session that deals
+    rows over more tasks writes a file per task and bucket.
+    """
     if not spark.catalog.tableExists(name):
+        buckets = buckets or max(BUCKETS, parallelism(spark))
         place = f"LOCATION '{path}'" if path else ""
         spark.sql(
             f"CREATE TABLE {name} ({SCHEMA}) USING parquet "
@@ -76,7 +82,7 @@ def append_new(spark: SparkSession, name: str, groups: DataFrame, batch: str) ->
 
 def deduplicate(
     docs: DataFrame, index: str, batch: str, id_col: str = "doc_id", text_col: str = "text",
-    path: str | None = None, buckets: int = 64,
+    path: str | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """Decide every row of ``docs`` against the index and add its new texts to it.
 
@@ -104,7 +110,7 @@ def deduplicate(
 
 
 def deduplicate_in_batches(
-    docs: DataFrame, index: str, parts: int = 2, id_col: str = "doc_id", text_col: str = "text", buckets: int = 64
+    docs: DataFrame, index: str, parts: int = 2, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None
 ) -> DataFrame:
     """``deduplicate`` of the rows as they would come in ``parts`` batches, later ids first, against one growing index.
 
