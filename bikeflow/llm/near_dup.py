@@ -7,7 +7,9 @@
 2. In each bucket of a band all members are compared with the smallest one. Pairs that the sketches leave open are checked
    on the full sets, and components are formed.
 3. In buckets that still hold several components the members of different ones are compared, in blocks of bounded
-   size; again sketches first, then full sets. After this every pair that shares a bucket is in one component or refuted.
+   size; again sketches first, then full sets. A pair is taken in the first bucket that it shares only. The first rounds take
+   no more pairs of a block than would join its components, so a family of many costs pairs in proportion to its members; what
+   these leave apart is compared in full. After this every pair that shares a bucket is in one component or refuted.
 
 Bands of 4 samples, 32 of them, miss a pair of similarity 0.8 with a probability below 1e-7. The limit on differing bits
 follows from the two sizes; for sets that the sketch holds whole it refutes no pair wrongly, for larger ones it leaves
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from bikeflow.llm.common import bounded_batches, map_arrow, texts, unused
 from bikeflow.llm.hashing import U, mix
-from bikeflow.llm.set_pairs import linked, set_sums, shingles
+from bikeflow.llm.set_pairs import ONE_TASK_EDGES, linked, merged, set_sums, shingles
 from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut
 
@@ -32,6 +34,7 @@ SAMPLES = ROWS * BANDS
 BITS = 2048         # of a sketch
 FOLDED = 512        # smallest hashes that go into it
 BLOCK = 1024        # members of a bucket that meet in one piece of work
+TREE_ROUNDS = 2     # rounds that take no more pairs of a block than it has components
 
 _EDGES = np.arange(SAMPLES, dtype=U) << U(64 - 7)
 # For each slice, in which order it looks for one to borrow from: itself first, then all others by hash.
@@ -91,10 +94,11 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
             sums = np.array([set_sums(s) for s in sets], np.int64).reshape(-1, 2)
             yield {
                 "doc_id": b.column("doc_id"), "n": [len(s) for s in sets], "set_a": sums[:, 0], "set_b": sums[:, 1],
-                "bands": [next(keys) if len(s) else [] for s in sets], "sketch": [odd_sketch(s).tobytes() for s in sets],
+                "bands": (own := [next(keys) if len(s) else [] for s in sets]),
+                "keys": [np.asarray(k, np.int64).tobytes() for k in own], "sketch": [odd_sketch(s).tobytes() for s in sets],
             }
 
-    schema = "doc_id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch binary"
+    schema = "doc_id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>, keys binary, sketch binary"
     return map_arrow(docs, work, schema)
 
 
@@ -118,16 +122,23 @@ def _alike(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both.select("a", "b", "na", "nb", "sa", "sb"), work, "a bigint, b bigint")
 
 
-def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket but of different components that sizes and sketches leave open."""
-    sizes = cut(
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """``_b`` and ``_n`` (rows) of the buckets that hold several components."""
+    return cut(
         members.groupBy(F.col("band").alias("_b"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_lo"), F.max("label").alias("_hi"))
-        .filter("_n > 2 and _lo <> _hi")
+        .filter("_n > 2 and _lo <> _hi").select("_b", "_n")
     )
+
+
+def _open_pairs(members: DataFrame, buckets: DataFrame, percent: int, tree: int | None = None) -> DataFrame:
+    """Pairs of one bucket but of different components that sizes and sketches leave open.
+
+    With ``tree``, a number that changes the choice, no more pairs of a block than join the components which the open ones join.
+    """
     n_blocks = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
     placed = (
-        members.join(sizes, F.col("band") == F.col("_b"))
+        members.join(buckets, F.col("band") == F.col("_b"))
         .withColumn("mine", F.pmod(F.xxhash64("doc_id"), n_blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         .withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
@@ -135,18 +146,31 @@ def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     def pairs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         across = key[1] != key[2]
+        if tree is not None:
+            chance = mix(group["doc_id"].to_numpy().astype(np.int64).view(U) ^ U(tree + 1))
+            group = group.iloc[np.argsort(chance, kind="stable")]
         sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, BITS // 8)
+        keys = np.frombuffer(b"".join(group["bands"]), np.int64).reshape(-1, BANDS)
         label, n, doc, mine = (group[c].to_numpy() for c in ("label", "n", "doc_id", "mine"))
+        names, part = np.unique(label, return_inverse=True)
+        joined = np.arange(len(names))
         out = [np.zeros((0, 2), np.int64)]
         for i in np.flatnonzero(mine == key[1]):
             # Two blocks meet across; in a block that meets itself each pair is seen once.
             others = (mine != mine[i]) if across else np.arange(len(doc)) > i
-            at = np.flatnonzero(others & (label != label[i]))
+            at = np.flatnonzero(others & (joined[part] != joined[part[i]]))
             at = at[alike(n[at], np.full(len(at), n[i]), sketch[at], sketch[i : i + 1], percent)]
+            # Rows of a repeated id may share no key; they are taken wherever they meet.
+            same = keys[at] == keys[i]
+            at = at[(keys[i][same.argmax(axis=1)] == key[0]) | ~same.any(axis=1)]
+            if tree is not None:
+                found, first = np.unique(joined[part[at]], return_index=True)
+                at = at[first]
+                joined[np.isin(joined, found)] = joined[part[i]]
             out.append(np.stack([np.minimum(doc[at], doc[i]), np.maximum(doc[at], doc[i])], 1))
         return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
-    fields = ["band", "lo", "hi", "mine", "doc_id", "label", "n", "sketch"]
+    fields = ["band", "lo", "hi", "mine", "doc_id", "label", "n", "sketch", "bands"]
     return placed.select(*fields).groupBy("band", "lo", "hi").applyInPandas(pairs, "a bigint, b bigint").distinct()
 
 
@@ -185,29 +209,30 @@ def near_duplicates(
         in_band.groupBy(F.col("band").alias("_b")).agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("_m")).filter("hub <> _m")
     )
     shared = cut(in_band.join(hubs.select("_b", "hub"), F.col("band") == F.col("_b")).select("doc_id", "band", "hub"))
-    active = cut(marks.select("doc_id", "n", "sketch").join(shared.select(F.col("doc_id").alias("_i")), F.col("doc_id") == F.col("_i"), "left_semi"))
+    active = cut(marks.select("doc_id", "n", "sketch", "keys").join(shared.select(F.col("doc_id").alias("_i")), F.col("doc_id") == F.col("_i"), "left_semi"))
     with_hub = shared.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     with bounded_batches(docs.sparkSession):
         tested = cut(_alike(with_hub, active, percent))
     edges = linked(plain, tested, size, percent).unionByName(ties)
-    label = cut(components(nodes, edges))
+    label = cut(components(nodes, edges, ONE_TASK_EDGES))
 
     # Step 3: what is left between components.
-    labelled = active.join(label, F.col("doc_id") == F.col("node")).select(F.col("doc_id").alias("_i"), "label", "n", "sketch")
-    members = shared.select("doc_id", "band").join(labelled, F.col("doc_id") == F.col("_i")).drop("_i")
-    untested = cut(_open_pairs(members, percent).join(tested, ["a", "b"], "left_anti"))
-    more = linked(plain, untested, size, percent)
-    lower = label.select(F.col("node").alias("_x"), F.col("label").alias("la"))
-    upper = label.select(F.col("node").alias("_y"), F.col("label").alias("lb"))
-    bridges = more.join(lower, F.col("a") == F.col("_x")).join(upper, F.col("b") == F.col("_y")).select(
-        F.col("la").alias("a"), F.col("lb").alias("b")
-    )
-    roots = label.select(F.col("label").alias("node")).distinct()
-    merged = components(roots, bridges).select(F.col("node").alias("_r"), F.col("label").alias("root"))
-    final = label.join(merged, F.col("label") == F.col("_r")).select("node", "root")
+    for tree in [*range(TREE_ROUNDS), None]:
+        labelled = active.join(label, F.col("doc_id") == F.col("node")).select(
+            F.col("doc_id").alias("_i"), "label", "n", "sketch", F.col("keys").alias("bands")
+        )
+        members = shared.select("doc_id", "band").join(labelled, F.col("doc_id") == F.col("_i")).drop("_i")
+        buckets = _open_buckets(members)
+        if buckets.isEmpty():
+            break
+        untested = cut(_open_pairs(members, buckets, percent, tree).join(tested, ["a", "b"], "left_anti"))
+        if untested.isEmpty():
+            continue
+        tested = tested.unionByName(untested)
+        label = merged(label, linked(plain, untested, size, percent))
     component = (
-        class_of.join(final, F.col("rep") == F.col("node"))
-        .groupBy(F.col("doc_id").alias("_i")).agg(F.min("root").alias("root"))
+        class_of.join(label, F.col("rep") == F.col("node"))
+        .groupBy(F.col("doc_id").alias("_i")).agg(F.min("label").alias("root"))
     )
     return (
         marks.select("doc_id", F.col("n").alias("n_shingles"))

@@ -30,14 +30,13 @@ from pyspark.sql import functions as F
 from bikeflow.llm.common import bounded_batches, map_arrow, texts
 from bikeflow.llm.hashing import BASE, U, mix
 from bikeflow.llm.prefilter import probably_in
-from bikeflow.llm.set_pairs import linked, set_sums, shingles
+from bikeflow.llm.set_pairs import ONE_TASK_EDGES, linked, merged, set_sums, shingles
 from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut
 
 PARTS = 3              # of a group, of which two make a signature
 RARE = 1e-4            # wanted probability that a set must list empty projections
 HUB_ROUNDS = 1         # rounds with one more hub per family before the rest meets in blocks
-ONE_TASK_EDGES = 200_000  # links (3 MB) whose components one task finds at once; more take checkpointed rounds
 BLOCK = 512            # members of a family that meet in one piece of work
 LEAST_BITS = 256
 
@@ -210,18 +209,6 @@ def _block_pairs(family: DataFrame, percent: int) -> DataFrame:
     return placed.select(*fields).groupBy("hub", "lo", "hi").applyInPandas(pairs, "a bigint, b bigint").distinct()
 
 
-def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
-    """``node``, ``label`` after the components that ``links`` (``a``, ``b``, nodes) join have become one."""
-    lower = label.select(F.col("node").alias("_x"), F.col("label").alias("la"))
-    upper = label.select(F.col("node").alias("_y"), F.col("label").alias("lb"))
-    bridges = links.join(lower, F.col("a") == F.col("_x")).join(upper, F.col("b") == F.col("_y")).select(
-        F.col("la").alias("a"), F.col("lb").alias("b")
-    )
-    roots = label.select(F.col("label").alias("node")).distinct()
-    merged = cut(components(roots, bridges, ONE_TASK_EDGES).select(F.col("node").alias("_r"), F.col("label").alias("root")))
-    return cut(label.join(merged, F.col("label") == F.col("_r")).select("node", F.col("root").alias("label")))
-
-
 def _undecided(family: DataFrame, label: DataFrame) -> DataFrame:
     """``hub``, ``doc_id``, ``deg``, ``label``: the families whose members are not all in one component."""
     named = cut(family.join(label, F.col("doc_id") == F.col("node")).select("hub", "doc_id", "deg", "label"))
@@ -302,12 +289,12 @@ def join_components(
         with bounded_batches(spark):
             found = cut(_open_pairs(fresh.join(tested, ["a", "b"], "left_anti"), active, percent))
         tested = cut(tested.unionByName(found))
-        label = _merged(label, linked(plain, found, size, percent))
+        label = merged(label, linked(plain, found, size, percent))
         rest = _undecided(met.filter("doc_id <> head").select("hub", "doc_id", "deg"), label)
     if not rest.isEmpty():
         rows = rest.join(active.withColumnRenamed("doc_id", "_i"), F.col("doc_id") == F.col("_i"))
         found = cut(_block_pairs(rows.select("hub", "doc_id", "label", "n", "bits"), percent).join(tested, ["a", "b"], "left_anti"))
-        label = _merged(label, linked(plain, found, size, percent))
+        label = merged(label, linked(plain, found, size, percent))
     component = (
         class_of.join(label, F.col("rep") == F.col("node"))
         .groupBy(F.col("doc_id").alias("_i")).agg(F.min("label").alias("root"))

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from bikeflow.llm.common import bounded_batches, map_arrow
 from bikeflow.llm.hashing import Sequences, U, mix, word_hashes
 from bikeflow.llm.prefilter import probably_in
+from bikeflow.plans.components import components
 from bikeflow.plans.runtime import cut
 
+ONE_TASK_EDGES = 200_000    # links (3 MB) whose components one task finds at once
+
 
 def shingles(text: str, size: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; a shorter text is one shingle, one without words none."""
@@ -69,3 +72,15 @@ def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
                 yield {c: b.column(c).to_numpy()[good] for c in ("a", "b")}
 
         return cut(map_arrow(both.select("a", "b", "x", "y"), work, "a bigint, b bigint").distinct())
+
+
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``node``, ``label`` after the components that ``links`` (``a``, ``b``, nodes) join have become one."""
+    lower = label.select(F.col("node").alias("_x"), F.col("label").alias("la"))
+    upper = label.select(F.col("node").alias("_y"), F.col("label").alias("lb"))
+    bridges = links.join(lower, F.col("a") == F.col("_x")).join(upper, F.col("b") == F.col("_y")).select(
+        F.col("la").alias("a"), F.col("lb").alias("b")
+    )
+    roots = label.select(F.col("label").alias("node")).distinct()
+    merged = cut(components(roots, bridges, ONE_TASK_EDGES).select(F.col("node").alias("_r"), F.col("label").alias("root")))
+    return cut(label.join(merged, F.col("label") == F.col("_r")).select("node", F.col("root").alias("label")))

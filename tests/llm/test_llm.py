@@ -105,6 +105,51 @@ def test_blocks_of_a_bucket_meet_in_all_ways(spark, monkeypatch):
     assert by_id(near_dup.near_duplicates(df, size=1)) == whole
 
 
+def test_pairs_of_a_family_grow_with_its_members(spark):
+    n, own = 200, np.arange(1, near_dup.BANDS + 1, dtype=np.int64)
+    sketch = near_dup.odd_sketch(np.arange(300, dtype=np.uint64))
+    rows = [(d, int(own[b]), d, 300, bytearray(sketch.tobytes()), bytearray(own.tobytes())) for d in range(n) for b in range(2)]
+    members = spark.createDataFrame(rows, "doc_id bigint, band bigint, label bigint, n bigint, sketch binary, bands binary")
+    buckets = near_dup._open_buckets(members)
+    tree = {(r.a, r.b) for r in near_dup._open_pairs(members, buckets, 80, 0).collect()}
+    assert len(tree) == n - 1 and tree != {(r.a, r.b) for r in near_dup._open_pairs(members, buckets, 80, 1).collect()}
+    # In full every pair comes, from the first bucket that it shares only.
+    assert near_dup._open_pairs(members, buckets, 80).count() == n * (n - 1) // 2
+    assert near_dup._open_pairs(members.filter("band = 2"), buckets, 80).count() == 0
+
+
+def test_near_copies_that_need_many_links_are_joined(spark):
+    """Chains in one bucket: each text is like its neighbours only, and the rounds must not lose a link."""
+    r = random.Random(8)
+    words = [f"c{i}" for i in range(100)]
+    rows, seen = [], []
+    for i in range(40):
+        words[r.randrange(100)] = f"x{i}"
+        words[r.randrange(100)] = f"y{i}"
+        rows.append((i * 7 % 40, " ".join(words)))
+        seen.append((i * 7 % 40, set(words)))
+    low = {d: d for d, _ in seen}
+    for _ in seen:
+        for a, x in seen:
+            for b, y in seen:
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    low[a] = low[b] = min(low[a], low[b])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {d: r["component_id"] for d, r in by_id(near_dup.near_duplicates(df, size=1)).items()} == low
+
+
+def test_an_index_has_a_bucket_for_every_task_of_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.createDataFrame([(i, f"t{i % 50}") for i in range(300)], "doc_id bigint, text string")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "70")
+        assert digest_index.deduplicate(df, "wide_index", "one").filter("kept").count() == 50
+        assert {r.col_name: r.data_type for r in spark.sql("DESCRIBE FORMATTED wide_index").collect()}["Num Buckets"] == "70"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql("DROP TABLE IF EXISTS wide_index")
+
+
 def test_repeated_passages_equal_window_by_window(docs):
     words = {d: WORDS.findall(t or "") for d, t, *_ in corpus()}
     first = {}
