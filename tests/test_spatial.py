@@ -475,3 +475,25 @@ def test_geodesics_and_areas_on_the_spheroid(spark):
     north, east = geo.SEMI_MAJOR_M * (1 - e2) / (1 - e2 * s2) ** 1.5, geo.SEMI_MAJOR_M / math.sqrt(1 - e2 * s2)
     want = north * east * math.radians(0.001) ** 2 * math.cos(math.radians(45.0005)) / 1e6
     assert got[1] == pytest.approx(want, rel=1e-7) and got[2:] == [0.0, 0.0]
+
+
+def test_cells_are_clipped_from_columns():
+    """A batch passes as columns: a new cell starts from the outline, a held one from its ring, the rest stays as it is."""
+    import pyarrow as pa
+
+    spot = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    ring = pa.list_(pa.struct([("lon", pa.float64()), ("lat", pa.float64())]))
+    square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
+    half = [{"lon": x, "lat": y} for x, y in [(0.0, 0.0), (1.0, 0.0), (1.0, 2.0), (0.0, 2.0)]]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "loc": pa.array([7, 1, 2, 3]), "x": pa.array([0.5] * 4), "y": pa.array([0.5] * 4),
+            "others": pa.array([[{"x": 9.0, "y": 9.0}]] * 4, spot),
+            "todo": pa.array([[{"x": 8.0, "y": 8.0}], [{"x": 1.5, "y": 0.5}], [], [{"x": 0.5, "y": 1.5}]], spot),
+            "ring": pa.array([None, None, None, half], ring),
+        }
+    ).slice(1)
+    (out,) = regions._clip_step(square)(iter([batch]))
+    assert out.drop_columns(["ring"]).equals(batch.drop_columns(["ring"]))
+    rings = [{(p["lon"], p["lat"]) for p in r} for r in out.column("ring").to_pylist()]
+    assert rings == [{(0, 0), (1, 0), (1, 2), (0, 2)}, set(square), {(0, 0), (1, 0), (1, 1), (0, 1)}]
