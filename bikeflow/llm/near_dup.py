@@ -8,8 +8,8 @@
    on the full sets, and components are formed.
 3. In buckets that still hold several components the members of different ones are compared, in blocks of bounded
    size; again sketches first, then full sets. A pair is taken in the first bucket that it shares only. The first rounds take
-   no more pairs of a block than would join its components, so a family of many costs pairs in proportion to its members; what
-   these leave apart is compared in full. After this every pair that shares a bucket is in one component or refuted.
+   no more pairs of a block than would join its components, so a family of many costs pairs in proportion to its members; blocks
+   that left pairs out and stay apart are compared in full. After this every pair that shares a bucket is in one component or refuted.
 
 Bands of 4 samples, 32 of them, miss a pair of similarity 0.8 with a probability below 1e-7. The limit on differing bits
 follows from the two sizes; for sets that the sketch holds whole it refutes no pair wrongly, for larger ones it leaves
@@ -131,10 +131,13 @@ def _open_buckets(members: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(members: DataFrame, buckets: DataFrame, percent: int, tree: int | None = None) -> DataFrame:
-    """Pairs of one bucket but of different components that sizes and sketches leave open.
+def _block_pairs(
+    members: DataFrame, buckets: DataFrame, percent: int, tree: int | None = None, blocks: DataFrame | None = None
+) -> DataFrame:
+    """``band lo hi a b more``: pairs of one bucket but of different components that sizes and sketches leave open, by block.
 
-    With ``tree``, a number that changes the choice, no more pairs of a block than join the components which the open ones join.
+    With ``tree``, a number that changes the choice, no more pairs of a block than join the components which the open ones join;
+    a block that left a pair out has a row with ``more`` and no pair. With ``blocks`` (``band lo hi``) only these meet.
     """
     n_blocks = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
     placed = (
@@ -143,6 +146,10 @@ def _open_pairs(members: DataFrame, buckets: DataFrame, percent: int, tree: int
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         .withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
     )
+    if blocks is not None:
+        placed = placed.join(blocks, ["band", "lo", "hi"], "left_semi")
+
+    nothing = pd.DataFrame({"band": [0], "lo": [0], "hi": [0], "a": [0], "b": [0], "more": [False]})[:0]
 
     def pairs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         across = key[1] != key[2]
@@ -154,24 +161,44 @@ def _open_pairs(members: DataFrame, buckets: DataFrame, percent: int, tree: int
         label, n, doc, mine = (group[c].to_numpy() for c in ("label", "n", "doc_id", "mine"))
         names, part = np.unique(label, return_inverse=True)
         joined = np.arange(len(names))
-        out = [np.zeros((0, 2), np.int64)]
+        out, left_out = [np.zeros((0, 2), np.int64)], False
         for i in np.flatnonzero(mine == key[1]):
             # Two blocks meet across; in a block that meets itself each pair is seen once.
-            others = (mine != mine[i]) if across else np.arange(len(doc)) > i
+            others = ((mine != mine[i]) if across else np.arange(len(doc)) > i) & (part != part[i])
             at = np.flatnonzero(others & (joined[part] != joined[part[i]]))
+            left_out |= len(at) < others.sum()
             at = at[alike(n[at], np.full(len(at), n[i]), sketch[at], sketch[i : i + 1], percent)]
             # Rows of a repeated id may share no key; they are taken wherever they meet.
             same = keys[at] == keys[i]
             at = at[(keys[i][same.argmax(axis=1)] == key[0]) | ~same.any(axis=1)]
             if tree is not None:
                 found, first = np.unique(joined[part[at]], return_index=True)
+                left_out |= len(first) < len(at)
                 at = at[first]
                 joined[np.isin(joined, found)] = joined[part[i]]
             out.append(np.stack([np.minimum(doc[at], doc[i]), np.maximum(doc[at], doc[i])], 1))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+        if left_out:
+            out.append(np.zeros((1, 2), np.int64))
+        a, b = np.concatenate(out).T
+        if not len(a):  # as most blocks have it
+            return nothing
+        more = np.zeros(len(a), bool)
+        more[len(a) - left_out :] = True
+        return pd.DataFrame({"band": key[0], "lo": key[1], "hi": key[2], "a": a, "b": b, "more": more}, index=range(len(a)))
 
     fields = ["band", "lo", "hi", "mine", "doc_id", "label", "n", "sketch", "bands"]
-    return placed.select(*fields).groupBy("band", "lo", "hi").applyInPandas(pairs, "a bigint, b bigint").distinct()
+    return placed.select(*fields).groupBy("band", "lo", "hi").applyInPandas(
+        pairs, "band bigint, lo int, hi int, a bigint, b bigint, more boolean"
+    )
+
+
+def _pairs_of(met: DataFrame) -> DataFrame:
+    return met.filter("not more").select("a", "b").distinct()
+
+
+def _open_pairs(members: DataFrame, buckets: DataFrame, percent: int, tree: int | None = None) -> DataFrame:
+    """The pairs ``a``, ``b`` of ``_block_pairs``, each once."""
+    return _pairs_of(_block_pairs(members, buckets, percent, tree))
 
 
 def near_duplicates(
@@ -216,16 +243,20 @@ def near_duplicates(
     edges = linked(plain, tested, size, percent).unionByName(ties)
     label = cut(components(nodes, edges, ONE_TASK_EDGES))
 
-    # Step 3: what is left between components.
+    # Step 3: what is left between components. A block that left no pair out is done with.
+    blocks = None
     for tree in [*range(TREE_ROUNDS), None]:
         labelled = active.join(label, F.col("doc_id") == F.col("node")).select(
             F.col("doc_id").alias("_i"), "label", "n", "sketch", F.col("keys").alias("bands")
         )
-        members = shared.select("doc_id", "band").join(labelled, F.col("doc_id") == F.col("_i")).drop("_i")
+        within = shared if blocks is None else shared.join(blocks.select("band").distinct(), "band", "left_semi")
+        members = within.select("doc_id", "band").join(labelled, F.col("doc_id") == F.col("_i")).drop("_i")
         buckets = _open_buckets(members)
         if buckets.isEmpty():
             break
-        untested = cut(_open_pairs(members, buckets, percent, tree).join(tested, ["a", "b"], "left_anti"))
+        met = cut(_block_pairs(members, buckets, percent, tree, blocks))
+        blocks = met.filter("more").select("band", "lo", "hi")
+        untested = cut(_pairs_of(met).join(tested, ["a", "b"], "left_anti"))
         if untested.isEmpty():
             continue
         tested = tested.unionByName(untested)

@@ -118,6 +118,36 @@ def test_pairs_of_a_family_grow_with_its_members(spark):
     assert near_dup._open_pairs(members.filter("band = 2"), buckets, 80).count() == 0
 
 
+def test_a_block_without_open_pairs_meets_once(spark, monkeypatch):
+    """A block is met again only if it left pairs out; one that did gives the rest then."""
+    own = np.arange(1, near_dup.BANDS + 1, dtype=np.int64)
+    like = near_dup.odd_sketch(np.arange(300, dtype=np.uint64)).tobytes()
+    unlike = [near_dup.odd_sketch(np.arange(1000 * i, 1000 * i + 300, dtype=np.uint64)).tobytes() for i in range(1, 6)]
+    rows = [(d, 1, d, 300, bytearray(like), bytearray(own.tobytes())) for d in range(5)]
+    rows += [(10 + d, 77, 10 + d, 300, bytearray(unlike[d]), bytearray((own + 76).tobytes())) for d in range(5)]
+    members = spark.createDataFrame(rows, "doc_id bigint, band bigint, label bigint, n bigint, sketch binary, bands binary")
+    buckets = near_dup._open_buckets(members)
+    met = near_dup._block_pairs(members, buckets, 80, 0).collect()
+    assert sum(not r.more for r in met) == 4 and [(r.band, r.lo, r.hi) for r in met if r.more] == [(1, 0, 0)]
+    rest = spark.createDataFrame([(1, 0, 0)], "band bigint, lo int, hi int")
+    assert {r.band for r in near_dup._block_pairs(members, buckets, 80, None, rest).collect()} == {1}
+    assert near_dup._block_pairs(members, buckets, 80, None, rest).count() == 10
+
+    asked = []
+    plain = near_dup._block_pairs
+
+    def watched(members, *rest):
+        asked.append(members.select("band").distinct().count())
+        return plain(members, *rest)
+
+    monkeypatch.setattr(near_dup, "_block_pairs", watched)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[:i], f"v{i}", *words[i + 1 :]]) for i in range(0, 60, 6)]
+    texts += [" ".join([*words[:40], *(f"u{i}-{k}" for k in range(20))]) for i in range(10)]
+    near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), size=1).count()
+    assert all(b < a for a, b in zip(asked, asked[1:]))
+
+
 def test_near_copies_that_need_many_links_are_joined(spark):
     """Chains in one bucket: each text is like its neighbours only, and the rounds must not lose a link."""
     r = random.Random(8)
