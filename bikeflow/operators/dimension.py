@@ -56,7 +56,8 @@ def upsert_stations(dim: DataFrame, incoming: DataFrame, max_rows: int | None =
         .select("station_id", "_r.*")
     )
     known = dim.select("station_key", *STATION_COLUMNS)
-    arrived = fresh.join(known.select("station_id"), "station_id", "left_anti")
+    # Merged, not broadcast: a broadcast would read the list by the tasks that wrote it, which is one for a single file.
+    arrived = fresh.join(known.select("station_id").hint("merge"), "station_id", "left_anti")
     highest = dim.select(F.max("station_key")).scalar()
     inserts = number_after(arrived, ["station_id"], "station_key", highest, max_rows)
 
@@ -107,7 +108,11 @@ def incremental_load(fact: Facts, landing: DataFrame, dim: DataFrame) -> DataFra
     ``fact`` is the table, or its newest instant where that is known from metadata (None for an empty one): the facts are
     then not read.
     """
-    keyed = _newer(fact, landing).join(dim.select("station_id", "station_key"), "station_id")
+    return as_facts(_newer(fact, landing).join(dim.select("station_id", "station_key"), "station_id"))
+
+
+def as_facts(keyed: DataFrame) -> DataFrame:
+    """Landing rows that have their ``station_key``, typed for the fact table."""
     return keyed.select(
         "station_key", "polled_at", "last_reported",
         *STATUS_COUNTS,
@@ -115,6 +120,14 @@ def incremental_load(fact: Facts, landing: DataFrame, dim: DataFrame) -> DataFra
     )
 
 
+def keyed_landing(fact: Facts, landing: DataFrame, dim: DataFrame) -> DataFrame:
+    """Newer landing rows with ``station_key``, null where the dimension does not know the station.
+
+    The rows of ``incremental_load`` and ``unmatched_landing`` from one join.
+    """
+    return _newer(fact, landing).join(dim.select("station_id", "station_key"), "station_id", "left")
+
+
 def unmatched_landing(fact: Facts, landing: DataFrame, dim: DataFrame) -> DataFrame:
     """Newer landing rows of stations the dimension does not know yet.
 

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bikeflow.operators.dimension import (
+    as_facts,
     collapse_landing,
     incremental_load,
-    unmatched_landing,
+    keyed_landing,
     upsert_stations,
 )
+from bikeflow.plans.runtime import remove
 from bikeflow.sources.feeds import parse_status
 from bikeflow.sources.schemas import STATUS_COUNTS, STATUS_FLAGS
 from bikeflow.streaming.mergelog import FAN, MergeLog
@@ -130,25 +132,32 @@ def sync_micro_batch(
     still unknown wait apart; a batch reads them only if it brings new stations, and loads those of these stations.
     """
 
+    work = f"{target.path}/work"
+
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        # Files, as a persisted frame keeps every shuffle partition, however small, and each step after it starts that many tasks.
+        rows.write.mode("overwrite").parquet(f"{work}/{name}")
+        return target.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
+
     def run(batch: DataFrame, epoch: int) -> None:
-        merged = upsert_stations(target.stations(epoch), station_list()).persist()
-        landing = collapse_landing(batch).persist()
         try:
+            merged = staged(upsert_stations(target.stations(epoch), station_list()), "stations")
             changed = merged.filter(F.col("_change") != "same")
             target.station_log.append(
                 changed.drop("_change").withColumn("batch", F.lit(epoch).cast("bigint"))
                 .withColumn("changed_at", F.lit(None).cast("timestamp")), epoch,
             )
             dim = merged.select("station_id", "station_key")
-            keyed = incremental_load(None, landing, dim)
+            landing = staged(keyed_landing(None, collapse_landing(batch), dim), "landing")
+            keyed, waited = as_facts(landing.filter(F.col("station_key").isNotNull())), False
             added = merged.filter(F.col("_change") == "insert").select("station_id", "station_key")
-            if not added.isEmpty():
+            if not added.isEmpty() and target.waiting_log.manifest(epoch).live:
                 keyed = keyed.unionByName(incremental_load(None, target.waiting_log.read(before=epoch), added))
-            target.fact_log.append(keyed, epoch)
-            target.waiting_log.append(unmatched_landing(None, landing, dim), epoch)
+                waited = True
+            target.fact_log.append(keyed, epoch, collapsed=not waited)
+            target.waiting_log.append(landing.filter(F.col("station_key").isNull()), epoch, collapsed=True)
         finally:
-            landing.unpersist()
-            merged.unpersist()
+            remove(target.spark, work)
 
     return run
 

@@ -160,10 +160,14 @@ class MergeLog:
             remove(self.spark, f"{self.path}/runs/{name}")
         return Manifest(batch, tuple(live), tuple(gone))
 
-    def append(self, rows: DataFrame, batch: int) -> Manifest:
-        """Add the rows of ``batch``, collapsed, and merge levels that are full. A repeated batch replaces itself."""
+    def append(self, rows: DataFrame, batch: int, collapsed: bool = False) -> Manifest:
+        """Add the rows of ``batch``, collapsed, and merge levels that are full. A repeated batch replaces itself.
+
+        ``collapsed`` says that the rows have one per key already.
+        """
         earlier = self.manifest(batch)
-        fresh = self._write(self.collapse(rows.select(*self.columns)), f"{batch}-0", 0)
+        rows = rows.select(*self.columns)
+        fresh = self._write(rows if collapsed else self.collapse(rows), f"{batch}-0", 0)
         live, gone = [*earlier.live, *([fresh] if fresh else [])], []
         level = 0
         while len(full := [r for r in live if r.level == level]) >= self.fan:

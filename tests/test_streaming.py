@@ -274,3 +274,22 @@ def test_sync_of_conflicting_copies_equals_the_collapse_of_all(spark, folder, tm
     whole = landing.collapse_landing(feeds.parse_status(spark.read.text(folder.path, wholetext=True).toDF("json")))
     assert got == rows(whole, "station_id", "last_reported", "num_bikes_available") and len(got) == 9
     assert target.unmatched().count() == 0
+
+
+def test_sync_starts_no_task_for_every_shuffle_partition(spark, tmp_path, rows):
+    listed = json.dumps({"data": {"stations": [{"station_id": i, "name": i, "lat": 40.0, "lon": -73.0} for i in "ab"]}})
+    stations = lambda: feeds.parse_stations(spark.createDataFrame([(listed,)], "json string"))
+    docs = spark.createDataFrame([(document(60 * i, [("a", i), ("b", 1), ("x", 2)]),) for i in range(4)], "json string")
+    target = landing.SyncTarget(spark, str(tmp_path / "sync"))
+    before, tracker = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.sparkContext.setJobGroup("one-sync-batch", "")
+    try:
+        landing.sync_micro_batch(target, stations)(feeds.parse_status(docs), 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("one-sync-batch") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 97
+    assert rows(target.facts(), "station_key", "num_bikes_available") == [(1, 0), (1, 1), (1, 2), (1, 3)] + [(2, 1)] * 4
+    assert target.unmatched().count() == 4
