@@ -18,7 +18,7 @@ from bikeflow.functions.geo import web_mercator
 from bikeflow.functions.metrics import Box, Planar
 from bikeflow.plans import skew
 from bikeflow.plans.components import components
-from bikeflow.plans.runtime import cut, spread
+from bikeflow.plans.runtime import cut
 from bikeflow.plans.skew import grouped, split_join
 
 PAIR_LIMIT = 16384     # box pairs with at most this many point pairs are compared directly
@@ -163,7 +163,8 @@ def dbscan(
         .withColumn("cx", F.floor("tx")).withColumn("cy", F.floor("ty"))
         .withColumn("gid", _cell_id(F.col("cx"), F.col("cy")))
     )
-    spots = cut(spread(spots, "loc"))
+    # As many tasks as its size asks for: a fixed number stays with the cut frame, and each step would start that many.
+    spots = cut(spots)
     cells = spots.groupBy("gid").agg(F.sum("w").alias("cell_w"), F.count(F.lit(1)).alias("cell_m"))
     biggest = cells.agg(F.max("cell_m")).first()[0] or 0
     large = biggest * biggest > PAIR_LIMIT

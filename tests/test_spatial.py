@@ -497,3 +497,18 @@ def test_cells_are_clipped_from_columns():
     assert out.drop_columns(["ring"]).equals(batch.drop_columns(["ring"]))
     rings = [{(p["lon"], p["lat"]) for p in r} for r in out.column("ring").to_pylist()]
     assert rings == [{(0, 0), (1, 0), (1, 2), (0, 2)}, set(square), {(0, 0), (1, 0), (1, 1), (0, 1)}]
+
+
+def test_dbscan_starts_no_task_for_every_shuffle_partition(spark, station_rows):
+    st = station_rows([(i, float(i // 6), 0.01 * (i % 6)) for i in range(30)] + [(30, 50.0, 0.0)])
+    before, tracker = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.sparkContext.setJobGroup("one-dbscan", "")
+    try:
+        got = {r[0]: r[1] for r in clusters.dbscan(st, 0.15, 4, project=lambda lon, lat: (lon, lat)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("one-dbscan") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 97
+    assert got == {**{i: i // 6 * 6 for i in range(30)}, 30: None}
