@@ -215,6 +215,49 @@ def test_service_cells_match_clipping_by_every_station(points, stations, monkeyp
     assert sum(got.values()) == pytest.approx(whole, rel=1e-9)
 
 
+def test_cells_deal_stations_to_groups_and_not_to_each_other(spark):
+    """Disk of a service area: a station is sent to the groups of tiles around it, not with every station that it may be near to."""
+    rng = random.Random(12)
+    points = {k: (rng.random() ** 2, rng.random() ** 2) if k % 4 else (0.3 + rng.random() * 1e-4, 0.3 + rng.random() * 1e-4) for k in range(6000)}
+    spots = spark.createDataFrame([(k, x, y) for k, (x, y) in points.items()], "loc bigint, x double, y double")
+    tiling = tiles.tile_points(spots, "loc", 25)
+    dealt = regions.dealt_spots(tiling, 25)
+    rows = dealt.collect()
+    owner = {r.loc: r.part for r in rows if r.own}
+    assert sorted(r.loc for r in rows if r.own) == sorted(points)
+    queries = tiling.points.select(F.col("loc").alias("qid"), F.col("x").alias("qx"), F.col("y").alias("qy"), F.col("tile").alias("batch"))
+    assert len(rows) <= 6 * 6000 and 4 * len(rows) < tiles.candidates(queries, tiling, 25).count()
+    held = {}
+    for r in rows:
+        held.setdefault(r.part, set()).add(r.loc)
+    at = np.array([points[k] for k in range(6000)])
+    for k in range(0, 6000, 50):
+        assert set(np.argsort(((at - at[k]) ** 2).sum(axis=1))[:25].tolist()) <= held[owner[k]]
+
+
+def test_first_cells_of_groups_that_cross_batches():
+    import pyarrow as pa
+
+    grid = [(float(i), float(j)) for i in range(5) for j in range(5)]
+    table = {
+        "part": [0] * 25 + [1] * 25, "tile": [0] * 25 + [0] * 25, "own": [True] * 25 + [x == y == 2.0 for x, y in grid],
+        "loc": list(range(25)) * 2, "x": [x for x, _ in grid] * 2, "y": [y for _, y in grid] * 2,
+    }
+    outline = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
+    batches = pa.Table.from_pydict(table).to_batches(max_chunksize=7)
+    out = [r for b in polygons.first_cells(outline, 25)(iter(batches)) for r in b.to_pylist()]
+    assert [r["loc"] for r in out] == [*range(25), 12]
+    for r in out:
+        want = (0.5 if r["x"] in (0, 4) else 1) * (0.5 if r["y"] in (0, 4) else 1)
+        assert ring_area([(p["lon"], p["lat"]) for p in r["ring"]]) == want and r["settled"] and r["others"] == []
+    # With fewer stations than are asked for, all of them are at hand; corners farther off than a full tile stay open.
+    (few,) = polygons.first_cells(outline, 99)(iter(pa.Table.from_pydict(table).slice(0, 25).to_batches()))
+    assert set(few.column("sure").to_pylist()) == {math.inf}
+    table = {"part": [0] * 3, "tile": [0, 0, 0], "own": [True] * 3, "loc": [1, 2, 3], "x": [0.0, 0.1, 0.1], "y": [0.0, 0.0, 0.1]}
+    (far,) = polygons.first_cells(outline, 3)(iter(pa.Table.from_pydict(table).to_batches()))
+    assert far.column("settled").to_pylist() == [False] * 3 and [len(o) for o in far.column("others")] == [2] * 3
+
+
 def test_co_located_stations_share_a_service_area(station_rows):
     st = station_rows([(1, 0.1, 0.1), (2, 0.1, 0.1), (3, 0.9, 0.1), (4, 0.5, 0.9)])
     got = {r["station_key"]: r["km2"] for r in regions.service_areas(st, n=None).collect()}
